@@ -17,7 +17,7 @@ from riskfeat.functions.stats import ratio, stats_of
 from riskfeat.operators.grouping import grouped_stats, unpivot
 from riskfeat.operators.ordered import Ordering, per_key_ordered, running_sums
 from riskfeat.operators.profile import column_totals
-from riskfeat.operators.skew import hot_keys, lookup_join
+from riskfeat.operators.skew import find_hot, lookup_join
 from riskfeat.roles import LabelRoles
 
 WOE_EPS = 1e-6
@@ -281,7 +281,7 @@ class EventEncoding:
     pairs: DataFrame
     moments: DataFrame
     totals: Column
-    hot_users: DataFrame
+    hot_users: DataFrame | None
 
 
 def fit_event_encoding(
@@ -298,7 +298,7 @@ def fit_event_encoding(
     """
     long = unpivot(events, [roles.user], features).where(F.col(roles.user).isNotNull())
     counted = long.groupBy(roles.user, "column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
-    hot_users = hot_keys(events, [roles.user], hot_rows)
+    hot_users = find_hot(events, [roles.user], hot_rows)
     known = labels.select(roles.user, roles.label, roles.fold)
     pairs = lookup_join(counted, known, [roles.user], hot_users, hot_rows, inner=True)
     weight = F.lit(1).cast("long") if user_mean else F.col("n_rows")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskfeat.functions.stats import Stat, stats_of
-from riskfeat.operators.skew import split_hot
+from riskfeat.operators.skew import UNKNOWN, Hot, split_hot
 
 BINS = 4096
 ROUNDS = 2
@@ -25,7 +25,7 @@ def grouped_stats(
     keys: Sequence[str],
     stats: Iterable[Stat],
     hot_rows: int | None = None,
-    hot: DataFrame | None = None,
+    hot: Hot = UNKNOWN,
 ) -> DataFrame:
     """One row per key with every statistic, from a single aggregate for ordinary keys."""
     keys, stats = list(keys), list(stats)
@@ -37,6 +37,8 @@ def grouped_stats(
         return present.groupBy(*keys).agg(*expressions)
     cold, heavy = split_hot(df, keys, hot_rows, hot)
     plain = cold.groupBy(*keys).agg(*expressions)
+    if heavy is None:
+        return plain
     ordered = [s for s in stats if s.quantile is not None]
     combined = [s.expression() for s in stats if s.quantile is None] or [F.count(F.lit(1)).alias("__rows")]
     spread = heavy.groupBy(*keys).agg(*combined).join(_hot_quantiles(heavy, keys, ordered), keys, "left")
@@ -197,6 +199,7 @@ def pivot_stats(
     measure: str,
     kinds: Sequence[str] = ("count", "sum", "mean", "max", "min", "median"),
     hot_rows: int | None = None,
+    hot: Hot = UNKNOWN,
 ) -> DataFrame:
     """One column per listed value and statistic; a value a key never has gives 0.
 
@@ -208,7 +211,7 @@ def pivot_stats(
         for v in values
         for s in stats_of(measure, kinds, f"{column}_{v}_{measure}", where=F.col(column) == F.lit(v))
     ]
-    wide = grouped_stats(rows, keys, stats, hot_rows)
+    wide = grouped_stats(rows, keys, stats, hot_rows, hot)
     return wide.na.fill(0, subset=[s.name for s in stats])
 
 

@@ -56,7 +56,10 @@ def per_key_ordered(
 ) -> DataFrame:
     """Apply ``step(rows, chunked)`` to ordinary keys and to the chunks of hot keys."""
     keys = list(ordering.keys)
-    spans = F.broadcast(hot_spans(df, ordering, hot_rows))
+    found = hot_spans(df, ordering, hot_rows)
+    if found.isEmpty():
+        return step(df, False)
+    spans = F.broadcast(found)
     cold = df.join(spans, keys, "left_anti")
     hot = df.join(spans, keys, "inner").select(
         *df.columns,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from riskfeat.functions.scalars import composite_key
 from riskfeat.functions.stats import Stat, stats_of
 from riskfeat.operators.grouping import grouped_stats, unpivot
-from riskfeat.operators.skew import lookup_join
+from riskfeat.operators.skew import UNKNOWN, Hot, find_hot, lookup_join
 from riskfeat.roles import EventRoles
 
 ROWS = "n_rows"
@@ -63,7 +63,13 @@ def popularity_user_stats(
             "user_nuniq", kinds, f"{prefix}_{c}_user_nuniq", where=F.col("column") == c, weight=F.col(ROWS)
         )
     ]
-    return grouped_stats(popular, [roles.user], stats, hot_rows)
+    return grouped_stats(popular, [roles.user], stats, hot_rows, _hot_users(df, stats, roles, hot_rows))
+
+
+def _hot_users(df: DataFrame, stats: Sequence[Stat], roles: EventRoles, hot_rows: int | None) -> Hot:
+    """Hot users, counted on the plain events, when a statistic needs to know them."""
+    needed = any(s.quantile is not None for s in stats)
+    return find_hot(df, [roles.user], hot_rows) if needed else UNKNOWN
 
 
 def frequency_encode(
@@ -109,7 +115,7 @@ def amount_deviation(
             F.col(f"amount_to_mean_{c}") - F.col(roles.amount).cast("double"), kinds, f"{c}_amt_sub_rt"
         )
     ]
-    return grouped_stats(rows, [roles.user], stats, hot_rows)
+    return grouped_stats(rows, [roles.user], stats, hot_rows, _hot_users(df, stats, roles, hot_rows))
 
 
 def mode_frequency(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:

@@ -3,8 +3,11 @@
 A *hot* key has more than ``hot_rows`` rows. There can be at most
 ``total_rows / hot_rows`` of them, so the list of hot keys (and anything with one
 row per hot key) has a size bound and is broadcast. Everything else takes the plain
-Spark route. With no hot keys the broadcast side is empty and AQE removes the hot
-branch from the plan, so the split costs one column-pruned count.
+Spark route.
+
+Operators that need a key's rows in order look for hot keys while the plan is built,
+with one column-pruned count; only if there are any does the plan get a branch for
+them. A caller that already knows passes the list, or None for "there are none".
 """
 
 from __future__ import annotations
@@ -26,19 +29,35 @@ def hot_row_limit(spark: SparkSession, hot_rows: int | None = None) -> int:
     return int(spark.conf.get(HOT_ROWS_SETTING, str(DEFAULT_HOT_ROWS)))
 
 
+class _Unknown:
+    """Default of ``hot`` parameters: count the keys to find out."""
+
+
+UNKNOWN = _Unknown()
+Hot = DataFrame | None | _Unknown
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """Keys with more rows than one task should take (at most total/hot_rows of them)."""
     limit = hot_row_limit(df.sparkSession, hot_rows)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit).select(*keys)
 
 
+def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
+    """The hot keys, or None when there are none. Runs one count over the key columns."""
+    found = hot_keys(df.where(_all_present(keys)), keys, hot_rows)
+    return None if found.isEmpty() else found
+
+
 def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, hot: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary keys and rows of hot keys. Rows with a NULL key are in neither."""
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, hot: Hot = UNKNOWN
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys, and rows of hot keys if any. Rows with a NULL key are dropped."""
     df = df.where(_all_present(keys))
+    if isinstance(hot, _Unknown):
+        hot = find_hot(df, keys, hot_rows)
     if hot is None:
-        hot = hot_keys(df, keys, hot_rows)
+        return df, None
     marked = F.broadcast(hot)
     return df.join(marked, list(keys), "left_anti"), df.join(marked, list(keys), "left_semi")
 
@@ -47,18 +66,20 @@ def lookup_join(
     rows: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
-    hot: DataFrame | str,
+    hot: DataFrame | str | None,
     hot_rows: int | None = None,
     inner: bool = False,
 ) -> DataFrame:
     """Add the columns of ``dim`` (at most one row per key) to ``rows``, safe for hot keys.
 
-    ``hot`` is a frame of hot keys, or the name of a column of ``dim`` that holds the
-    number of rows behind each key. Hot keys are looked up in a broadcast; they and
+    ``hot`` is a frame of hot keys (None: there are none), or the name of a column of
+    ``dim`` that holds the number of rows behind each key. Hot keys are looked up in a broadcast; they and
     the NULL keys then enter the shuffle join under a salted key that matches nothing,
     so they spread over all tasks. Rows without a partner keep NULLs unless ``inner``.
     """
     on = list(on)
+    if hot is None:
+        return rows.join(dim, on, "inner" if inner else "left").select(*rows.columns, *[c for c in dim.columns if c not in on])
     added = [c for c in dim.columns if c not in on]
     if isinstance(hot, str):
         limit = hot_row_limit(rows.sparkSession, hot_rows)

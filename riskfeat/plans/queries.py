@@ -43,6 +43,14 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer with purchase statistics, first and last behaviour and session counts."""
+    log = tables.logs(spark, folder)
+    entity = tables.profile(spark, folder).select("user_id", "label", "segment")
+    amounts = grouping.grouped_stats(tables.purchases(spark, folder), USER, stats_of("amount", BASIC, "amount"))
+    return rounded(feature_matrix.assemble(entity, [amounts, feature_matrix.behaviour_block(log)]))
+
+
 # -- statistics per user
 
 
