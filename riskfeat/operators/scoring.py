@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from riskfeat.operators.ordered import global_running
 from riskfeat.operators.profile import min_max
 from riskfeat.roles import LabelRoles
+from riskfeat.session import reliable_checkpoint
 
 MISSING = -999.0
 
@@ -94,26 +95,34 @@ def gbt_oof_scores(
                     vector_to_array("probability")[1].alias("score"),
                 )
             )
-        from riskfeat.session import reliable_checkpoint
-
-        scores = (
-            reduce(DataFrame.unionByName, parts)
-            .groupBy(roles.user, "split")
-            .agg(F.avg("score").alias("score"))
-            .select(
-                roles.user,
-                "split",
-                F.lit(model).alias("model"),
-                F.lit(settings.seed).alias("seed"),
-                F.lit(feature_set).alias("feature_set"),
-                "score",
-            )
-        )
-        return reliable_checkpoint(scores)
+        every = reduce(DataFrame.unionByName, parts)
+        return reliable_checkpoint(average_fold_scores(every, model, settings.seed, feature_set, roles))
     finally:
         ready.unpersist()
 
 
+def average_fold_scores(
+    fold_scores: DataFrame, model: str, seed: int, feature_set: str, roles: LabelRoles = LabelRoles()
+) -> DataFrame:
+    """Score-table rows from the scores of k fold models, of this library or of any other.
+
+    A labelled user has the one score of its held-out fold; a user to score has k, which
+    are averaged.
+    """
+    return (
+        fold_scores.groupBy(roles.user, "split")
+        .agg(F.avg("score").alias("score"))
+        .select(
+            roles.user,
+            "split",
+            F.lit(model).alias("model"),
+            F.lit(seed).alias("seed"),
+            F.lit(feature_set).alias("feature_set"),
+            "score",
+        )
+    )
+
+
 def ablation_scores(
     matrix: DataFrame,
     feature_sets: Mapping[str, Sequence[str]],

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.functions.stats import Stat, ratio
-from riskfeat.operators.grouping import grouped_stats
+from riskfeat.functions.stats import ratio
 from riskfeat.operators.ordered import Ordering, neighbour, per_key_ordered, running_sums
 from riskfeat.roles import EventRoles
 
@@ -79,16 +78,16 @@ def session_gap_mean(sessions: DataFrame, roles: EventRoles = EventRoles()) -> D
 
 
 def session_counts(sessions: DataFrame, roles: EventRoles = EventRoles()) -> DataFrame:
-    """Whether a user has transactions, and in how many sessions each log appears."""
-    tag, session = F.col(roles.property), F.col(roles.session)
-    return grouped_stats(
-        sessions,
-        [roles.user],
-        [
-            Stat("has_trans", "max", (tag == "trans").cast("int")),
-            Stat("trans_count", "nunique", session, where=tag == "trans"),
-            Stat("op_count", "nunique", session, where=tag == "op"),
-        ],
+    """Whether a user has transactions, and in how many sessions each log appears.
+
+    Sessions are reduced to one row each first, which needs no distinct count.
+    """
+    tag = F.col(roles.property)
+    per_session = sessions.groupBy(roles.user, roles.session).agg(
+        F.max((tag == "trans").cast("int")).alias("__t"), F.max((tag == "op").cast("int")).alias("__o")
+    )
+    return per_session.groupBy(roles.user).agg(
+        F.max("__t").alias("has_trans"), F.sum("__t").alias("trans_count"), F.sum("__o").alias("op_count")
     )
 
 

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_ROWS = 2_000_000
+DEFAULT_HOT_ROWS = 1_000_000
 HOT_ROWS_SETTING = "spark.riskfeat.hotRows"
 SALTS = 4096
 

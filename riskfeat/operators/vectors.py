@@ -7,6 +7,7 @@ per (user, term), so a user with a third of the rows is many small counts.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.linalg import Vectors
@@ -18,6 +19,7 @@ from riskfeat.operators.ordered import dense_codes, positions
 from riskfeat.operators.sessions import user_order
 from riskfeat.operators.skew import lookup_join
 from riskfeat.roles import EventRoles
+from riskfeat.session import reliable_checkpoint
 
 # fixed value: a word is a run of two or more letters, digits or underscores
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -86,12 +88,8 @@ def truncated_svd(weights: DataFrame, key: str, name: str, k: int = 10, max_term
         spark = weights.sparkSession
         columns = [f"{name}_{i}" for i in range(k)]
         table = {"idx": np.arange(n_terms, dtype="int64"), **{c: basis[:, i] for i, c in enumerate(columns)}}
-        import pandas as pd
-
         local = spark.createDataFrame(pd.DataFrame(table))
-        by_term = terms.join(local, "idx").drop("idx")
-        by_term = by_term.persist()
-        by_term.count()
+        by_term = reliable_checkpoint(terms.join(local, "idx").drop("idx"))
     finally:
         terms.unpersist()
     sized = weights.groupBy("term").agg(F.count(F.lit(1)).alias("__rows")).join(by_term, "term")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +13,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # exact percentiles stay in the hash aggregate instead of sorting every row
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # more groups keep exact percentiles in the hash aggregate before it turns to sorting
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "2048",
 }
 
 
@@ -44,16 +44,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the checkpoint folder the cluster names.
 
-    The folder comes from ``spark.checkpoint.dir``; only when that is unset (tests,
-    a laptop) is a folder of our own used.
+    The folder comes from ``spark.checkpoint.dir``. Only a local session may do without;
+    it gets a folder of its own.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            import tempfile
-
-            configured = tempfile.mkdtemp(prefix="riskfeat-", dir=os.environ.get("TMPDIR", "/tmp"))
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a shared folder")
+            configured = tempfile.mkdtemp(prefix="riskfeat-")
         context.setCheckpointDir(configured)
     return df.checkpoint()
