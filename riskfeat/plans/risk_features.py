@@ -137,13 +137,37 @@ def _time_stats(prefix: str) -> list:
     return [s for c in TIME_COLUMNS for s in stats_of(c, SPREAD, f"{prefix}_{c}")]
 
 
-def profile_block(people: DataFrame) -> DataFrame:
-    """Crosses of the whole-number columns, failure ratio and value frequencies."""
-    crossed = profile.pairwise_cross(people.drop("service3_level"), NUMBER_COLUMNS)
-    with_ratio = crossed.withColumn(
-        "product7_fail_ratio", ratio(F.col("product7_fail_cnt"), F.col("product7_cnt"))
+def profile_blocks(people: DataFrame) -> dict[str, DataFrame]:
+    """Crosses of the whole-number columns, and value frequencies; each from the columns it needs."""
+    crosses = profile.cross_names(NUMBER_COLUMNS)
+    return {
+        "crosses": profile.pairwise_cross(people.select(USER, *NUMBER_COLUMNS), NUMBER_COLUMNS).select(USER, *crosses),
+        "counts": popularity.frequency_encode(people.select(USER, *COUNT_COLUMNS), COUNT_COLUMNS, USER).select(
+            USER, *[f"{c}_count" for c in COUNT_COLUMNS]
+        ),
+    }
+
+
+def category_block(people: DataFrame, behaving: DataFrame) -> DataFrame:
+    """Alphabetical codes of the text columns, and indicators of the risky provinces."""
+    ends = ["last_behaviour", "first_behaviour"]
+    flags = one_vs_rest("province", RISKY_PROVINCES)
+    text = people.select(USER, *TEXT_COLUMNS, *[x.alias(n) for n, x in flags.items()])
+    joined = text.join(behaving.select(USER, *ends), USER, "left")
+    return profile.label_encode(joined, [*TEXT_COLUMNS, "binary_province", *ends])
+
+
+def entity_columns(people: DataFrame) -> DataFrame:
+    """User, label, fold and the profile's own numbers, ordinals included."""
+    return people.select(
+        USER,
+        "label",
+        LABELS.fold,
+        *PLACE_COLUMNS,
+        *NUMBER_COLUMNS,
+        *[ordinal(F.col(c)).alias(c) for c in ORDINAL_COLUMNS],
+        ratio(F.col("product7_fail_cnt"), F.col("product7_cnt")).alias("product7_fail_ratio"),
     )
-    return popularity.frequency_encode(with_ratio, COUNT_COLUMNS, USER)
 
 
 def trans_blocks(trans: DataFrame, settings: RunSettings) -> dict[str, DataFrame]:
@@ -223,7 +247,6 @@ def log_blocks(both: DataFrame) -> dict[str, DataFrame]:
         "log_nunique": grouping.nunique_stats(both, [USER], LOG_VALUE_COLUMNS, "trans_op"),
         "log_popularity": popularity.popularity_user_stats(both, LOG_VALUE_COLUMNS, SPREAD, "trans_op", EVENTS),
         "log_pivot": property_pivot(both, EVENTS),
-        "log_behaviour": behaviour_block(both, EVENTS),
     }
 
 
@@ -258,14 +281,6 @@ def supplementary_blocks(logs: Logs) -> dict[str, DataFrame]:
     }
 
 
-def code_categories(matrix: DataFrame) -> DataFrame:
-    """Ordinal numbers, province indicators and alphabetical codes; all columns become numbers."""
-    flags = one_vs_rest("province", RISKY_PROVINCES)
-    coded = matrix.withColumns({c: ordinal(F.col(c)) for c in ORDINAL_COLUMNS}).withColumns(flags)
-    text = [c for c in (*TEXT_COLUMNS, "binary_province", "last_behaviour", "first_behaviour") if c in coded.columns]
-    return profile.label_encode(coded, text)
-
-
 def build_matrix(
     source: RiskInput, folder: str, settings: RunSettings = RunSettings(), supplementary: bool = False
 ) -> DataFrame:
@@ -274,16 +289,19 @@ def build_matrix(
     people = write_block(folded, f"{folder}/people")
     prepared = prepare_logs(source)
     logs = Logs(*[write_block(getattr(prepared, n), f"{folder}/log_{n}") for n in ("trans", "op", "both")])
+    behaving = write_block(behaviour_block(logs.both, EVENTS), f"{folder}/behaviour")
     blocks = {
+        **profile_blocks(people),
+        "categories": category_block(people, behaving),
         **trans_blocks(logs.trans, settings),
         **op_blocks(logs.op, settings),
         **log_blocks(logs.both),
+        "log_behaviour": behaving.drop("last_behaviour", "first_behaviour"),
         **encoding_blocks(people, logs),
         **(supplementary_blocks(logs) if supplementary else {}),
     }
-    entity = write_block(profile_block(people), f"{folder}/profile")
-    wide = assemble_written(entity, blocks, f"{folder}/blocks", USER)
-    return write_block(drop_features(code_categories(wide), settings.drop), f"{folder}/matrix")
+    wide = assemble_written(entity_columns(people), blocks, f"{folder}/blocks", USER)
+    return write_block(drop_features(wide, settings.drop), f"{folder}/matrix")
 
 
 def score_runs(matrix: DataFrame, settings: RunSettings = RunSettings()) -> DataFrame:
