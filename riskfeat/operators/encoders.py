@@ -19,6 +19,7 @@ from riskfeat.operators.ordered import Ordering, per_key_ordered, running_sums
 from riskfeat.operators.profile import column_totals
 from riskfeat.operators.skew import find_hot, lookup_join
 from riskfeat.roles import LabelRoles
+from riskfeat.session import reliable_checkpoint
 
 WOE_EPS = 1e-6
 TOTALS = "__totals"
@@ -356,7 +357,8 @@ def event_target_rows(
     known = labels.select(roles.user, F.col(roles.label).alias("__label"), F.col(roles.fold).alias("__fold"))
     out = lookup_join(events, known, [roles.user], fit.hot_users, hot_rows, inner=True)
     event_rows = fit.pairs.groupBy("column", "value").agg(F.sum("n_rows").alias("__events"))
-    sized = fit.moments.join(event_rows, ["column", "value"])
+    # the fitted table serves every feature, so it is computed once
+    sized = reliable_checkpoint(fit.moments.join(event_rows, ["column", "value"]))
     for c in features:
         of_column = sized.where(F.col("column") == c).select(
             F.col("value").alias("__value"), "s_all", "n_all", "by_fold", "__events"

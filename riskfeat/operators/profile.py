@@ -16,6 +16,7 @@ from riskfeat.functions.scalars import equal_width_bin
 from riskfeat.operators.grouping import category_values, unpivot
 from riskfeat.operators.ordered import dense_codes
 from riskfeat.operators.skew import lookup_join
+from riskfeat.session import reliable_checkpoint
 
 CROSS = ("div", "sub", "mul", "sum")
 
@@ -135,7 +136,7 @@ def label_encode(
     df: DataFrame, columns: Sequence[str], missing: str = "-1", hot_rows: int | None = None
 ) -> DataFrame:
     """Replace categories by alphabetical codes, fitted on all rows; NULL is a category."""
-    codes = label_codes(df, columns, missing)
+    codes = reliable_checkpoint(label_codes(df, columns, missing))
     out = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(missing)) for c in columns})
     for c in columns:
         of_column = codes.where(F.col("column") == c).select(

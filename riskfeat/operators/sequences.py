@@ -13,6 +13,7 @@ from riskfeat.operators.profile import zscore
 from riskfeat.operators.sessions import user_order
 from riskfeat.operators.skew import lookup_join
 from riskfeat.roles import EventRoles
+from riskfeat.session import reliable_checkpoint
 
 POSITION = "__pos"
 
@@ -62,7 +63,7 @@ def user_sequences(
     Codes and z-scores are fitted on the truncated rows. Missing values count as 0.
     """
     top = _truncated(df, categories, numbers, n, roles)
-    codes = appearance_codes(top, categories, roles)
+    codes = reliable_checkpoint(appearance_codes(top, categories, roles))
     coded = zscore(top, list(numbers)) if numbers else top
     for c in categories:
         of_column = codes.where(F.col("column") == c).select(

@@ -324,16 +324,18 @@ def evaluate(scores: DataFrame, labels: DataFrame, score: str = "score", keys: S
     return scoring.roc_auc(known, score, "label", keys)
 
 
-def sequence_inputs(source: RiskInput, folds: int = 5, seed: int = 1997) -> DataFrame:
+def sequence_inputs(source: RiskInput, folder: str, folds: int = 5, seed: int = 1997) -> DataFrame:
     """Inputs of a sequence model: scaled profile columns and padded event sequences.
 
     Event rows carry their out-of-fold codes; the first 200 operations and 100
     transactions of a user become arrays.
     """
-    people = with_composite_keys(stratified_folds(source.profile, folds, seed, USER, "label"), ENCODING_KEYS)
+    folded = with_composite_keys(stratified_folds(source.profile, folds, seed, USER, "label"), ENCODING_KEYS)
+    people = write_block(folded, f"{folder}/people")
     encoded = encoders.oof_encode(people, SEQUENCE_PROFILE, fill="own_mean", roles=LABELS, suffix="label_kfold_mean")
     codes = [f"{c}_label_kfold_mean" for c in SEQUENCE_PROFILE]
-    counted = popularity.frequency_encode(people, COUNT_COLUMNS, USER)
+    frequency = popularity.frequency_encode(people.select(USER, *COUNT_COLUMNS), COUNT_COLUMNS, USER)
+    counted = people.join(frequency.drop(*COUNT_COLUMNS), USER)
     numbers = [*NUMBER_COLUMNS, *[f"{c}_count" for c in COUNT_COLUMNS], *ORDINAL_COLUMNS, "product7_fail_ratio"]
     base = counted.withColumns({c: ordinal(F.col(c)) for c in ORDINAL_COLUMNS}).withColumn(
         "product7_fail_ratio", ratio(F.col("product7_fail_cnt"), F.col("product7_cnt"))
@@ -343,7 +345,8 @@ def sequence_inputs(source: RiskInput, folds: int = 5, seed: int = 1997) -> Data
         base.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("-1")) for c in category}), category
     )
     flags = [c for c in flagged.columns if c.startswith("oh_enc")]
-    joined = flagged.join(profile.mean_fill(encoded, codes), USER, "left")
+    filled = profile.mean_fill(write_block(encoded, f"{folder}/encoded"), codes)
+    joined = write_block(flagged.join(filled, USER, "left"), f"{folder}/joined")
     scaled = profile.zscore(joined, [*flags, *numbers, *codes]).select(
         USER, "label", LABELS.fold, *flags, *numbers, *codes
     )
@@ -352,7 +355,7 @@ def sequence_inputs(source: RiskInput, folds: int = 5, seed: int = 1997) -> Data
         (source.op, SEQUENCE_OP, OP_LENGTH, "op_seq"),
         (source.trans, SEQUENCE_TRANS, TRANS_LENGTH, "trans_seq"),
     ):
-        rows = encoders.event_target_rows(log, people, columns, roles=LABELS)
+        rows = write_block(encoders.event_target_rows(log, people, columns, roles=LABELS), f"{folder}/{prefix}")
         lists = sequences.user_sequences(rows, columns, [f"{c}_te" for c in columns], length, EVENTS)
         everyone = people.select(USER).join(lists, USER, "left")
         padded = sequences.pad_sequences(everyone, [*columns, *[f"{c}_te" for c in columns]])
