@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.functions.stats import ratio, stats_of
-from riskfeat.operators.grouping import grouped_stats, unpivot
+from riskfeat.functions.stats import Stat, ratio
+from riskfeat.operators.grouping import stats_by_column, unpivot
 from riskfeat.operators.ordered import Ordering, per_key_ordered, running_sums
 from riskfeat.operators.profile import column_totals
 from riskfeat.operators.skew import find_hot, lookup_join
@@ -334,13 +334,10 @@ def event_target_encode(
         rows = _with_totals(rows, fit.totals)
         code = F.coalesce(code, fitted.prior)
     coded = rows.select(roles.user, "column", "n_rows", code.alias("code"))
-    named = {k: ("sum0" if k == "sum" else k) for k in kinds}
-    stats = []
-    for c in features:
-        for kind, used in named.items():
-            (stat,) = stats_of("code", [used], f"{c}_{suffix}", where=F.col("column") == c, weight=F.col("n_rows"))
-            stats.append(type(stat)(f"{c}_{suffix}_{kind}", used, stat.column, stat.where, stat.weight))
-    return grouped_stats(coded, [roles.user], stats, hot_rows, fit.hot_users)
+    # a user with rows but no code has the sum 0
+    stats = [Stat(k, "sum0" if k == "sum" else k, F.col("code"), weight=F.col("n_rows")) for k in kinds]
+    names = {c: f"{c}_{suffix}_" for c in features}
+    return stats_by_column(coded, roles.user, names, stats, hot_rows, fit.hot_users)
 
 
 def event_target_rows(

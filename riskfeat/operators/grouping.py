@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskfeat.functions.stats import Stat, stats_of
-from riskfeat.operators.skew import UNKNOWN, Hot, split_hot
+from riskfeat.operators.skew import UNKNOWN, Hot, all_present, split_hot
 
 BINS = 4096
 ROUNDS = 2
@@ -26,16 +26,17 @@ def grouped_stats(
     stats: Iterable[Stat],
     hot_rows: int | None = None,
     hot: Hot = UNKNOWN,
+    hot_on: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per key with every statistic, from a single aggregate for ordinary keys."""
+    """One row per key with every statistic, from a single aggregate for ordinary keys.
+
+    ``hot_on`` are the key columns that decide hotness, all of them unless given.
+    """
     keys, stats = list(keys), list(stats)
     expressions = [s.expression() for s in stats]
     if all(s.quantile is None for s in stats):
-        present = df
-        for k in keys:
-            present = present.where(F.col(k).isNotNull())
-        return present.groupBy(*keys).agg(*expressions)
-    cold, heavy = split_hot(df, keys, hot_rows, hot)
+        return df.where(all_present(keys)).groupBy(*keys).agg(*expressions)
+    cold, heavy = split_hot(df.where(all_present(keys)), hot_on or keys, hot_rows, hot)
     plain = cold.groupBy(*keys).agg(*expressions)
     if heavy is None:
         return plain
@@ -119,6 +120,30 @@ def _narrow(values: DataFrame, around: DataFrame, group: list[str]) -> DataFrame
     )
 
 
+def stats_by_column(
+    long: DataFrame,
+    user: str,
+    names: dict[str, str],
+    stats: Sequence[Stat],
+    hot_rows: int | None = None,
+    hot: Hot = UNKNOWN,
+) -> DataFrame:
+    """The same statistics for every ``column`` of a long table, side by side per user.
+
+    ``names`` maps columns to the prefix of their outputs; each output is the prefix and
+    the statistic's own name. Aggregating by (user, column) before pivoting keeps the
+    generated aggregate small whatever the number of columns.
+    """
+    tall = grouped_stats(long, [user, "column"], stats, hot_rows, hot, [user])
+    return tall.groupBy(user).agg(
+        *[
+            F.max(F.when(F.col("column") == c, F.col(s.name))).alias(f"{prefix}{s.name}")
+            for c, prefix in names.items()
+            for s in stats
+        ]
+    )
+
+
 def trailing_stats(
     user: str, days: str, value: str, windows: Sequence[int], kinds: Sequence[str], name: str
 ) -> list[Stat]:

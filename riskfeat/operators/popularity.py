@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from riskfeat.functions.scalars import composite_key
 from riskfeat.functions.stats import Stat, stats_of
-from riskfeat.operators.grouping import grouped_stats, unpivot
-from riskfeat.operators.skew import UNKNOWN, Hot, find_hot, lookup_join
+from riskfeat.operators.grouping import grouped_stats, stats_by_column, unpivot
+from riskfeat.operators.skew import UNKNOWN, Hot, all_present, find_hot, lookup_join
 from riskfeat.roles import EventRoles
+from riskfeat.session import reliable_checkpoint
 
 ROWS = "n_rows"
 
@@ -32,17 +33,31 @@ def value_popularity(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("user_nuniq"))
 
 
+def attach_by_value(
+    df: DataFrame, fitted: DataFrame, columns: Sequence[str], named: dict[str, str], hot_rows: int | None = None
+) -> DataFrame:
+    """Add, per column, figures of the row's value from a table (column, value, …, __rows).
+
+    ``named`` maps a figure to its output name, with ``{}`` for the column. The table is
+    checkpointed: it serves every column, and is computed in one pass over the data.
+    """
+    fitted = reliable_checkpoint(fitted)
+    for c in columns:
+        figures = [F.col(figure).alias(name.format(c)) for figure, name in named.items()]
+        of_column = fitted.where(F.col("column") == c).select(F.col("value").alias("__value"), *figures, "__rows")
+        keyed = df.withColumn("__value", F.col(c).cast("string"))
+        df = lookup_join(keyed, of_column, ["__value"], "__rows", hot_rows).drop("__value", "__rows")
+    return df
+
+
 def with_popularity(
     df: DataFrame, columns: Sequence[str], prefix: str, roles: EventRoles = EventRoles(), hot_rows: int | None = None
 ) -> DataFrame:
     """Add to every event row the number of distinct users of its value, per column."""
-    for c in columns:
-        pairs = df.where(F.col(c).isNotNull()).groupBy(c, roles.user).agg(F.count(F.lit(1)).alias(ROWS))
-        popularity = pairs.groupBy(c).agg(
-            F.count(roles.user).alias(f"{prefix}_{c}_user_nuniq"), F.sum(ROWS).alias("__rows")
-        )
-        df = lookup_join(df, popularity, [c], "__rows", hot_rows).drop("__rows")
-    return df
+    popularity = user_values(df, columns, roles).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("user_nuniq"), F.sum(ROWS).alias("__rows")
+    )
+    return attach_by_value(df, popularity, columns, {"user_nuniq": f"{prefix}_{{}}_user_nuniq"}, hot_rows)
 
 
 def popularity_user_stats(
@@ -56,14 +71,9 @@ def popularity_user_stats(
     """Per user, statistics of the popularity of the values on the user's rows."""
     pairs = user_values(df, columns, roles)
     popular = lookup_join(pairs, value_popularity(pairs), ["column", "value"], "user_nuniq", hot_rows)
-    stats = [
-        s
-        for c in columns
-        for s in stats_of(
-            "user_nuniq", kinds, f"{prefix}_{c}_user_nuniq", where=F.col("column") == c, weight=F.col(ROWS)
-        )
-    ]
-    return grouped_stats(popular, [roles.user], stats, hot_rows, _hot_users(df, stats, roles, hot_rows))
+    stats = [Stat(k, k, F.col("user_nuniq"), weight=F.col(ROWS)) for k in kinds]
+    names = {c: f"{prefix}_{c}_user_nuniq_" for c in columns}
+    return stats_by_column(popular, roles.user, names, stats, hot_rows, _hot_users(df, stats, roles, hot_rows))
 
 
 def _hot_users(df: DataFrame, stats: Sequence[Stat], roles: EventRoles, hot_rows: int | None) -> Hot:
@@ -76,12 +86,9 @@ def frequency_encode(
     df: DataFrame, columns: Sequence[str], user: str, hot_rows: int | None = None
 ) -> DataFrame:
     """Add ``{column}_count``: how many rows share the row's value (NULL for a NULL value)."""
-    for c in columns:
-        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(
-            F.count(user).alias(f"{c}_count"), F.count(F.lit(1)).alias("__rows")
-        )
-        df = lookup_join(df, counts, [c], "__rows", hot_rows).drop("__rows")
-    return df
+    long = unpivot(df, [user], columns).where(F.col("value").isNotNull())
+    counts = long.groupBy("column", "value").agg(F.count(user).alias("__count"), F.count(F.lit(1)).alias("__rows"))
+    return attach_by_value(df, counts, columns, {"__count": "{}_count"}, hot_rows)
 
 
 def group_amount_to_rows(
@@ -92,11 +99,10 @@ def group_amount_to_rows(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Add to every row the statistics of the amount over all rows with the same value."""
-    for c in columns:
-        named = [Stat(f"amount_to_{k}_{c}", k, F.col(roles.amount)) for k in kinds]
-        stats = grouped_stats(df, [c], [*named, Stat("__rows", "count", F.lit(1))], hot_rows)
-        df = lookup_join(df, stats, [c], "__rows", hot_rows).drop("__rows")
-    return df
+    long = unpivot(df, [roles.amount], columns)
+    named = [Stat(k, k, F.col(roles.amount)) for k in kinds]
+    stats = grouped_stats(long, ["column", "value"], [*named, Stat("__rows", "count", F.lit(1))], hot_rows)
+    return attach_by_value(df, stats, columns, {k: f"amount_to_{k}_{{}}" for k in kinds}, hot_rows)
 
 
 def amount_deviation(
@@ -122,7 +128,7 @@ def mode_frequency(df: DataFrame, keys: Sequence[str], column: str, name: str) -
     """How often the most common non-null value of a column occurs in each group."""
     counts = df.groupBy(*keys, column).agg(F.count(F.col(column)).alias("__n"))
     top = F.max(F.when(F.col(column).isNotNull(), F.col("__n")))
-    present = counts.where(_all_not_null(keys))
+    present = counts.where(all_present(keys))
     return present.groupBy(*keys).agg(top.alias(name))
 
 
@@ -130,7 +136,7 @@ def value_lifespan(df: DataFrame, columns: Sequence[str], prefix: str, roles: Ev
     """Per value (or combination of values): distinct users, first, last and range of days."""
     name = "_".join(columns)
     pairs = (
-        df.where(_all_not_null(columns))
+        df.where(all_present(columns))
         .groupBy(*columns, roles.user)
         .agg(F.min(roles.days).alias("__first"), F.max(roles.days).alias("__last"))
     )
@@ -179,18 +185,9 @@ def shared_resource_stats(
         (F.max("__last") - F.min("__first")).alias("range_day"),
     )
     seen = lookup_join(used.select("column", "value", roles.user), lifespan, ["column", "value"], "cnt_user", hot_rows)
-    aggregates = []
-    for n in named:
-        for measure in MEASURES:
-            x = F.when(F.col("column") == n, F.col(measure))
-            aggregates += stats_of(x, ("max", "min", "mean"), f"relate_{measure}_{n}")
-            aggregates.append(Stat(f"relate_{measure}_{n}_skew", "skew", x))
-    return grouped_stats(seen, [roles.user], aggregates, hot_rows)
-
-
-def _all_not_null(columns: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for c in columns:
-        present = present & F.col(c).isNotNull()
-    return present
-
+    stats = [
+        Stat(f"{measure}|{kind}", kind, F.col(measure)) for measure in MEASURES for kind in ("max", "min", "mean", "skew")
+    ]
+    tall = stats_by_column(seen, roles.user, {n: f"{n}|" for n in named}, stats, hot_rows)
+    renamed = {f"{n}|{m}|{kind}": f"relate_{m}_{n}_{kind}" for n in named for m in MEASURES for kind in ("max", "min", "mean", "skew")}
+    return tall.withColumnsRenamed(renamed)

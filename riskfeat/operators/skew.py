@@ -45,7 +45,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
 
 def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
     """The hot keys, or None when there are none. Runs one count over the key columns."""
-    found = hot_keys(df.where(_all_present(keys)), keys, hot_rows)
+    found = hot_keys(df.where(all_present(keys)), keys, hot_rows)
     return None if found.isEmpty() else found
 
 
@@ -53,7 +53,7 @@ def split_hot(
     df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, hot: Hot = UNKNOWN
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of hot keys if any. Rows with a NULL key are dropped."""
-    df = df.where(_all_present(keys))
+    df = df.where(all_present(keys))
     if isinstance(hot, _Unknown):
         hot = find_hot(df, keys, hot_rows)
     if hot is None:
@@ -97,7 +97,7 @@ def lookup_join(
         payload.alias("__cold"),
     )
     looked_up = rows.join(F.broadcast(hot_side), on, "left")
-    plain = F.col("__hot").isNull() & _all_present(on)
+    plain = F.col("__hot").isNull() & all_present(on)
     spread = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)) + 1
     keyed = looked_up.select(
         "*",
@@ -114,7 +114,7 @@ def lookup_join(
     return joined.select(*rows.columns, *[found[c].alias(c) for c in added])
 
 
-def _all_present(keys: Sequence[str]) -> Column:
+def all_present(keys: Sequence[str]) -> Column:
     present = F.lit(True)
     for c in keys:
         present = present & F.col(c).isNotNull()
