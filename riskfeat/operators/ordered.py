@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from riskfeat.operators.skew import hot_row_limit
 
@@ -131,41 +132,62 @@ def global_running(
 ) -> DataFrame:
     """Running totals over the whole table (or per group) in the order of unique keys.
 
-    ``order`` must identify a row within its group. The order is cut at at most 1,000
-    keys taken from a hash sample, each bucket is windowed on its own, and the totals
-    of earlier buckets are added; no task sees the whole table. The sample depends on
-    the keys alone, so a recomputed task puts its rows in the same bucket.
+    ``order`` must identify a row within its group. A large table is cut at at most 1,000
+    keys taken from a hash sample of one key in ``bucket_rows``; each bucket is windowed on
+    its own, and the totals of earlier buckets are added, so no task sees the whole table.
+    Buckets depend on the keys alone: a recomputed task puts its rows in the same ones.
     """
-    limit = hot_row_limit(df.sparkSession, bucket_rows)
     groups, order = list(groups), list(order)
+    cuts = _cut_keys(df, order, hot_row_limit(df.sparkSession, bucket_rows))
+    end = 0 if inclusive else -1
+    if not cuts:
+        # about bucket_rows rows or fewer
+        whole = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(*order).rowsBetween(START, end)
+        return df.select("*", *[F.coalesce(F.sum(x).over(whole), F.lit(0)).alias(new) for new, x in sums.items()])
     key = F.struct(*order)
-    sampled = df.where(F.pmod(F.xxhash64(*order), F.lit(limit)) == 0)
-    cuts = sampled.agg(F.array_sort(F.collect_set(key)).alias("__all")).select(
-        F.when(F.size("__all") <= 1000, F.col("__all"))
-        .otherwise(
-            F.transform(F.sequence(F.lit(0), F.lit(999)), lambda i: F.get("__all", (i * F.size("__all") / 1000).cast("int")))
-        )
-        .alias("__cuts")
-    )
-    bucket = F.size(F.filter("__cuts", lambda cut: cut <= key))
-    cut = df.select("*", cuts.scalar().alias("__cuts")).select(*df.columns, bucket.alias("__bucket"))
-    inside = Window.partitionBy(*groups, "__bucket").orderBy(*order).rowsBetween(START, 0 if inclusive else -1)
+    kind = df.select(key.alias("key")).schema["key"].dataType
+    edges = F.array(*[_literal(cut) for cut in cuts]).cast(ArrayType(kind))
+    bucket = F.size(F.filter(edges, lambda cut: cut <= key))
+    cut = df.select("*", bucket.alias("__bucket"))
+    inside = Window.partitionBy(*groups, "__bucket").orderBy(*order).rowsBetween(START, end)
     totals = cut.groupBy(*groups, "__bucket").agg(*[F.sum(x).alias(f"__t_{new}") for new, x in sums.items()])
     # one row per group and bucket
     earlier = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("__bucket").rowsBetween(START, -1)
     carry = totals.select(
-        *groups,
-        "__bucket",
+        *[F.col(g).alias(f"__g_{g}") for g in groups],
+        F.col("__bucket").alias("__g_bucket"),
         *[F.coalesce(F.sum(f"__t_{new}").over(earlier), F.lit(0)).alias(f"__c_{new}") for new in sums],
     )
+    same = F.col("__bucket") == F.col("__g_bucket")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
     local = {new: F.coalesce(F.sum(x).over(inside), F.lit(0)) for new, x in sums.items()}
     return (
         cut.select("*", *[x.alias(f"__l_{new}") for new, x in local.items()])
-        .join(carry, [*groups, "__bucket"], "left")
+        .join(carry, same, "left")
         .select(*df.columns, *[(F.col(f"__l_{new}") + F.col(f"__c_{new}")).alias(new) for new in sums])
     )
 
 
+MAX_CUTS = 1000
+
+
+def _cut_keys(df: DataFrame, order: list[str], limit: int) -> list:
+    """At most 1,000 sorted keys that cut the table into buckets; none for a small table."""
+    sampled = df.where(F.pmod(F.xxhash64(*order), F.lit(limit)) == 0)
+    every = sampled.agg(F.array_sort(F.collect_set(F.struct(*order))).alias("all"))
+    thin = F.transform(
+        F.sequence(F.lit(0), F.lit(MAX_CUTS - 1)), lambda i: F.get("all", (i * F.size("all") / MAX_CUTS).cast("int"))
+    )
+    return every.select(F.when(F.size("all") <= MAX_CUTS, F.col("all")).otherwise(thin).alias("cuts")).head()["cuts"]
+
+
+def _literal(value) -> Column:
+    if isinstance(value, Row):
+        return F.struct(*[_literal(v).alias(n) for n, v in value.asDict().items()])
+    return F.lit(value)
+
+
 def dense_codes(df: DataFrame, order: Sequence[str], name: str, start: int = 0, groups: Sequence[str] = ()) -> DataFrame:
     """Number the rows of a table of distinct keys 0, 1, 2, … in the order of ``order``."""
     return global_running(df, order, {name: F.lit(1)}, groups).withColumn(name, F.col(name) - 1 + start)
