@@ -132,6 +132,8 @@ def ablation_scores(
     roles: LabelRoles = LabelRoles(),
 ) -> DataFrame:
     """Scores of every feature set with every seed, in one score table."""
+    # every run reads the matrix; a checkpoint computes it once and outlives executors
+    matrix = reliable_checkpoint(matrix)
     runs = [
         gbt_oof_scores(
             matrix, columns, k, TreeSettings(**{**settings.__dict__, "seed": seed}), roles, feature_set=name

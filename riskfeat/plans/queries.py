@@ -605,7 +605,7 @@ def feature_matrix_build(spark, folder):
     return rounded(feature_matrix.star_matrix(spark, folder), 4)
 
 
-SMALL_TREES = scoring.TreeSettings(rounds=10, depth=4, step=0.1)
+SMALL_TREES = scoring.TreeSettings(rounds=5, depth=4, step=0.1)
 
 
 @query
@@ -618,6 +618,6 @@ def gbt_oof_scores(spark, folder):
 def feature_set_ablation(spark, folder):
     matrix = feature_matrix.star_matrix(spark, folder)
     named = feature_matrix.feature_sets(scoring.feature_columns(matrix), feature_matrix.STAR_CROSSES)
-    settings = scoring.TreeSettings(rounds=3, depth=4, step=0.1)
+    settings = scoring.TreeSettings(rounds=2, depth=4, step=0.1)
     return scoring.ablation_scores(matrix, named, (2020,), tables.FOLDS, settings)
 
