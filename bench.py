@@ -22,26 +22,18 @@ from riskfeat.session import local_session  # noqa: E402
 HEADLINE = [
     "user_amount_stats",
     "trailing_day_stats",
-    "pivot_amount_by_category",
-    "user_nunique",
     "sessionize",
     "first_last_behaviour",
-    "has_and_session_counts",
     "popularity_user_stats",
     "value_user_popularity",
-    "group_amount_to_rows",
     "shared_resource_stats",
     "pairwise_cross",
     "label_encode",
     "stratified_folds",
     "oof_mean_encode",
-    "woe_encode",
     "event_target_encode",
-    "event_target_encode_rows",
-    "ordered_target",
     "user_sequences",
     "tfidf_weights",
-    "user_tfidf_weights",
     "roc_auc",
     "blend_scores",
 ]
