@@ -43,19 +43,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through the checkpoint folder the cluster names.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local session may do without;
-    it gets a folder of its own.
+    Only a local session may do without the setting; it gets a folder of its own.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        configured = tempfile.mkdtemp(prefix="riskfeat-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage through the checkpoint folder the cluster names."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            configured = tempfile.mkdtemp(prefix="riskfeat-")
-        context.setCheckpointDir(configured)
+        context.setCheckpointDir(checkpoint_folder(spark))
     return df.checkpoint()
