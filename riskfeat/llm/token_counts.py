@@ -1,8 +1,8 @@
 """Token counts of whole texts.
 
 Texts are taken in batches of bounded bytes. A text is split where no token can cross:
-at ASCII white space, which the tokenizer drops, and before a final full stop or comma after
-a letter. The pieces that a worker has not seen are encoded in one call of the library per
+at ASCII white space, if the tokenizer drops it, and before a final full stop or comma after
+a letter (a tokenizer for which this does not hold gets whole texts). The pieces that a worker has not seen are encoded in one call of the library per
 batch, and a text's count is the sum over its pieces; only lengths leave the function.
 """
 
@@ -33,10 +33,11 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep, self.cached, self.known = keep, cached, {}
         self.ends = {mark: self._encoded([mark])[0] for mark in (b".", b",")}
         self.lower = self._lower_cases()
+        self.splits = self._can_split()
 
     def _encoded(self, pieces: list[bytes]) -> list:
         # a lone surrogate cannot come from Spark; replace guards against it all the same
@@ -50,17 +51,33 @@ class PieceEncoder:
         steps = json.loads(self.tokenizer.to_str()).get("normalizer") or {}
         return any(s.get("type") == "Lowercase" for s in steps.get("normalizers", [steps]))
 
+    def _can_split(self) -> bool:
+        """Whether this tokenizer drops white space and keeps letters apart from marks; else texts stay whole."""
+        probes = ("Ab cd, ef.\n gh", "  x.  y,z \t w's... q\r\n", "é. 12, 3.5 .")
+        for probe in probes:
+            whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
+            parts = [p[:-1] + " " + p[-1] if p[-1] in ".," and p[-2:-1].isalpha() else p for p in probe.split()]
+            pieces = " ".join(parts).split()
+            split = [i for p in pieces for i in self.tokenizer.encode(p, add_special_tokens=False).ids]
+            if whole != split:
+                return False
+        return True
+
     def pieces(self, text: bytes) -> list[bytes]:
+        if not self.splits:
+            return [text]
+        if not self.lower:
+            return text.split()
         # special strings are found before the text is lower-cased: such texts keep their capitals
-        plain = self.lower and not any(s.lower() in text.lower() for s in self.special)
-        return (text.lower() if plain else text).split()
+        low = text.lower()
+        return (text if any(s in low for s in self.special) else low).split()
 
     def encode(self, texts: Iterable[bytes]) -> list[list]:
         split = [self.pieces(t) for t in texts]
         new = set().union(*split).difference(self.known)
         found = self.known
         if new:
-            stems = {p[:-1] if p[-1:] in (b".", b",") and p[-2:-1].isalpha() else p for p in new}
+            stems = {p[:-1] if self.splits and p[-1:] in (b".", b",") and p[-2:-1].isalpha() else p for p in new}
             stems = [s for s in stems if s not in self.known]
             extra = dict(zip(stems, self._encoded(stems), strict=True))
             for p in new:
