@@ -5,6 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from riskfeat.llm.minhash_dedup import near_duplicates
+from riskfeat.llm.mixing import ORACLE_AMOUNTS, mix_amounts
+from riskfeat.llm.quality_rules import quality_report
 from riskfeat.llm.text import shared_path
 from riskfeat.llm.token_counts import token_counts
 from riskfeat.llm.token_files import token_file_digest, write_token_files
@@ -13,6 +16,14 @@ from riskfeat.plans.tables import table
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_report(table(spark, folder, "documents"))
+
+
+def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_amounts(table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -23,9 +34,18 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_digest(spark, path)
 
 
+def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
+
+
 REGISTRY = {
+    "op1_quality_rules": op1_quality_rules,
+    "op4_mix_sources": op4_mix_sources,
     "op5_token_counts": op5_token_counts,
     "op8_token_files": op8_token_files,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_mix_sources": ORACLE_AMOUNTS,
+}
