@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from riskfeat.llm.decontaminate import contaminations
 from riskfeat.llm.minhash_dedup import near_duplicates
 from riskfeat.llm.mixing import ORACLE_AMOUNTS, mix_amounts
+from riskfeat.llm.pii_spans import pii_digest
 from riskfeat.llm.quality_rules import quality_report
 from riskfeat.llm.text import shared_path
 from riskfeat.llm.token_counts import token_counts
@@ -20,6 +22,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_amounts(table(spark, folder, "documents"))
 
@@ -28,6 +34,10 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op7_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_digest(table(spark, folder, "documents"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_path(spark, "token-files")
     write_token_files(table(spark, folder, "documents"), path, public_tokenizers.path(WORD_BPE))
@@ -40,12 +50,15 @@ def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_decontaminate": op3_decontaminate,
     "op4_mix_sources": op4_mix_sources,
     "op5_token_counts": op5_token_counts,
+    "op7_pii_spans": op7_pii_spans,
     "op8_token_files": op8_token_files,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_decontaminate": op3_decontaminate,
     "op4_mix_sources": ORACLE_AMOUNTS,
 }
