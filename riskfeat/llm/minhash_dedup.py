@@ -302,3 +302,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
+
+
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The documents that ``near_duplicates`` keeps, one row for each doc_id, all columns kept.
+
+    Rows without a doc_id stay; of rows that repeat a doc_id one stays, the one with the smallest text.
+    """
+    kept = written(near_duplicates(docs, size, percent).where("kept").select("doc_id").distinct(), "kept")
+    repeated = written(docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
+    chosen = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    if repeated.isEmpty():
+        return chosen
+    once = chosen.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    rest = chosen.join(repeated, "doc_id", "left_semi").select(*docs.columns)
+    order = F.struct(F.coalesce("text", F.lit("")).alias("text"), F.struct(*docs.columns).alias("row"))
+    least = rest.groupBy("doc_id").agg(F.min(order).alias("least"))
+    return once.unionByName(least.select(*[F.col(f"least.row.{c}").alias(c) for c in docs.columns]))

@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from riskfeat.llm.chat_perspectives import ORACLE_PERSPECTIVES, perspective_table
 from riskfeat.llm.decontaminate import contaminations
+from riskfeat.llm.hmm_lm import language_scores
+from riskfeat.llm.line_dedup import duplicate_lines
 from riskfeat.llm.minhash_dedup import near_duplicates
 from riskfeat.llm.mixing import ORACLE_AMOUNTS, mix_amounts
 from riskfeat.llm.pii_spans import pii_digest
@@ -22,6 +25,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return duplicate_lines(table(spark, folder, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -34,6 +41,10 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op6_hmm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return language_scores(table(spark, folder, "documents"))
+
+
 def op7_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
     return pii_digest(table(spark, folder, "documents"))
 
@@ -44,21 +55,30 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_digest(spark, path)
 
 
+def op9_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    return perspective_table(table(spark, folder, "conversations"))
+
+
 def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
 
 
 REGISTRY = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_mix_sources": op4_mix_sources,
     "op5_token_counts": op5_token_counts,
+    "op6_hmm_scores": op6_hmm_scores,
     "op7_pii_spans": op7_pii_spans,
     "op8_token_files": op8_token_files,
+    "op9_chat_perspectives": op9_chat_perspectives,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_mix_sources": ORACLE_AMOUNTS,
+    "op9_chat_perspectives": ORACLE_PERSPECTIVES,
 }
