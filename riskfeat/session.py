@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE_PARENT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 # AQE does three jobs here: it drops the hot-key branches when there are no hot
 # keys, it splits skewed join partitions, and it coalesces small shuffles.
 SQL_SETTINGS = {
@@ -24,9 +27,18 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to a session someone else created."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    _let_workers_import(spark)
     return spark
 
 
+def _let_workers_import(spark: SparkSession) -> None:
+    """Workers on this machine find the package wherever they start; a cluster gets it with --py-files."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if PACKAGE_PARENT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_PARENT, *filter(None, paths)])
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-JVM session for tests and benchmarks."""
     builder = (
@@ -40,6 +52,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    _let_workers_import(spark)
     return spark
 
 
