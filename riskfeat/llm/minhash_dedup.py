@@ -2,16 +2,17 @@
 
 1. Each text becomes its set of word shingles, a signature of ``HASHES`` minima, and a fingerprint of the set.
    Equal sets are one class; only classes go on, so copies never meet in pairs.
-2. Signatures are cut into bands. In every bucket of equal bands each class meets the smallest class of
-   the bucket, and in later rounds the classes of other components: never all pairs of a group
-   that hangs together already.
+2. Signatures are cut into bands. In every bucket of equal bands each class first meets one class, drawn
+   at random; that joins most groups. In buckets that still hold several components, classes of different
+   components meet: as pairs in small buckets, in blocks of ``BLOCK`` classes in larger ones. A block
+   works on bounded arrays and hands out links only, so the pairs of a large group never become rows.
 3. A candidate pair compares its signatures a batch of hashes at a time and is dropped as soon as the posterior
    probability that its similarity reaches the threshold falls below the miss probability.
 4. Survivors are confirmed on their full sets, and links are joined into components.
 
 The number of rows to a band follows from the miss probability: the largest with
-(1 - t^rows)^bands at most ``MISS``. Every bucket is finished: rounds go on until no bucket holds two
-components whose classes have not all been compared.
+(1 - t^rows)^bands at most ``MISS``. Every bucket is finished: no two of its classes stay in different
+components without having been compared.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ HASHES = 128
 BATCH = 32
 MISS = 1e-6
 CACHED_WORDS = 300_000
+SMALL = 16
+BLOCK = 1024
 MASK = (1 << 64) - 1
 
 
@@ -58,14 +61,14 @@ def least_matches(threshold: float, hashes: int = HASHES, batch: int = BATCH, mi
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, computed once while the table is not full."""
+    """64-bit hashes of words; frequent words come early and are kept, the rest are hashed each time."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        found = xxhash.xxh3_64_intdigest(word)
+        if len(self) < CACHED_WORDS:
+            self[word] = found
         return found
 
 
@@ -136,20 +139,29 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(sketch, "doc_id long, n_shingles long, set_id binary, signature binary")
 
 
+def _bands(signs: np.ndarray, rows: int) -> np.ndarray:
+    """For each signature a hash of the place and the values of each band."""
+    bands = HASHES // rows
+    signs = signs.astype(np.uint64)
+    total = np.tile(np.arange(bands, dtype=np.uint64), (len(signs), 1))
+    for i in range(rows):
+        total = mixed(total ^ signs[:, i : bands * rows : rows]) + np.uint64(i + 1)
+    return total.view(np.int64)
+
+
+def _signs(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u4").reshape(-1, HASHES)
+
+
 def banded(classes: DataFrame, rows: int) -> DataFrame:
     """(bucket, node): each class once per band; the bucket is a hash of the band's place and values."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = HASHES // rows
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u4").reshape(-1, HASHES).astype(np.uint64)
-            total = np.tile(np.arange(bands, dtype=np.uint64), (len(signs), 1))
-            for i in range(rows):
-                total = mixed(total ^ signs[:, i : bands * rows : rows]) + np.uint64(i + 1)
-            nodes = np.repeat(np.asarray(batch.column(0)), bands)
-            yield pa.RecordBatch.from_arrays([pa.array(total.view(np.int64).ravel()), pa.array(nodes)], ["bucket", "node"])
+            if batch.num_rows:
+                buckets = _bands(_signs(batch.column(1)), rows)
+                nodes = np.repeat(np.asarray(batch.column(0)), buckets.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(nodes)], ["bucket", "node"])
 
     return classes.select("node", "signature").mapInArrow(cut, "bucket long, node long")
 
@@ -162,9 +174,7 @@ def likely(pairs: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             alive = np.arange(batch.num_rows)
             if batch.num_rows:
-                left, right = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u4").reshape(-1, HASHES) for c in (2, 3)
-                )
+                left, right = _signs(batch.column(2)), _signs(batch.column(3))
                 matches, seen = np.zeros(len(left), dtype=np.int64), 0
                 for n, least in steps:
                     matches[alive] += (left[alive, seen:n] == right[alive, seen:n]).sum(axis=1)
@@ -199,6 +209,92 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
 
 
+def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of (node, text): the sorted set as little-endian 64-bit numbers."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py() or b"", size).tobytes() for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(build, "node long, shingles binary")
+
+
+class Forest:
+    """Components while links are found, so that only links that join two of them are handed out."""
+
+    def __init__(self, labels: list[int]):
+        self.parent = {x: x for x in labels}
+
+    def top(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = x = self.parent[self.parent[x]]
+        return x
+
+
+def links_in_block(table: pa.Table, percent: int, rows: int) -> list[tuple[int, int]]:
+    """Links between the two sides of a block (or inside it, if both sides are the same) that join components.
+
+    A pair is compared in the first band that it shares only, and only if its components differ, if the shingles that
+    each side shares with anyone in the block leave room for the threshold, and if the sequential test lets it pass.
+    """
+    nodes, labels = table["node"].to_pylist(), table["label"].to_pylist()
+    mine, inside = np.asarray(table["block"]), table["i"][0].as_py() == table["j"][0].as_py()
+    sets = [np.frombuffer(b, dtype=np.uint64) for b in table["shingles"].to_pylist()]
+    signs = _signs(table["signature"].combine_chunks())
+    bands = _bands(signs, rows)
+    band = int(np.flatnonzero(bands[0] == table["bucket"][0].as_py())[0])
+    sizes = np.array([len(s) for s in sets])
+    seen, counts = np.unique(np.concatenate(sets), return_counts=True)
+    shared = np.array([(counts[np.searchsorted(seen, s)] > 1).sum() for s in sets])
+    names = np.unique(np.array(labels), return_inverse=True)[1]
+    left = np.arange(len(nodes)) if inside else np.flatnonzero(mine == table["i"][0].as_py())
+    right = left if inside else np.flatnonzero(mine == table["j"][0].as_py())
+    steps = least_matches(percent / 100)
+    forest, found = Forest(labels), []
+    for a in left:
+        others = right[right > a] if inside else right
+        others = others[names[others] != names[a]]
+        room = np.minimum(shared[others], shared[a]) * (100 + percent) >= percent * (sizes[others] + sizes[a])
+        others = others[room]
+        others = others[~(bands[others, :band] == bands[a, :band]).any(axis=1)]
+        matches, before = np.zeros(len(others), dtype=np.int64), 0
+        for n, least in steps:
+            matches += (signs[others, before:n] == signs[a, before:n]).sum(axis=1)
+            others, matches, before = others[matches >= least], matches[matches >= least], n
+        for b in others:
+            one, two = forest.top(labels[a]), forest.top(labels[b])
+            if one == two:
+                continue
+            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                forest.parent[max(one, two)] = min(one, two)
+                found.append((min(nodes[a], nodes[b]), max(nodes[a], nodes[b])))
+    return found
+
+
+def block_links(large: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
+    """(a, b): links between components in large buckets of (bucket, node, label, n), block against block."""
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
+    last = (F.ceil(F.col("n") / BLOCK) - 1).cast("int")
+    dealt = (
+        large.withColumn("block", block.cast("int"))
+        .join(classes.select("node", "signature"), "node")
+        .join(sets, "node")
+        # each block meets itself and every other one
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .select("bucket", "i", "j", "block", "node", "label", "signature", "shingles")
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        found = links_in_block(table, percent, rows)
+        return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("ab")})
+
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node each node of an edge can reach.
 
@@ -232,12 +328,6 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return buckets.withColumn("label", F.col("node"))
-    return buckets.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"))
-
-
 def _signed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     sign = classes.select("node", "signature")
     return pairs.join(sign.withColumnsRenamed({"node": "a", "signature": "sign_a"}), "a").join(
@@ -248,36 +338,45 @@ def _signed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def links(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, component) of all classes that are linked to another one."""
     threshold = percent / 100
-    spread = banded(classes, band_rows(threshold))
+    rows = band_rows(threshold)
+    spread = written(banded(classes, rows), "bands")
     # a bucket with one class has no pair
-    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    buckets = written(written(spread, "bands").join(shared, "bucket"), "buckets")
+    shared = spread.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("node", F.xxhash64("bucket", "node")).alias("hub")
+    )
+    buckets = written(spread.join(shared.where("n > 1"), "bucket"), "buckets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        few = written(likely(_signed(pairs.select("a", "b").distinct(), classes), threshold), "likely")
-        needed = few.select(F.col("a").alias("node")).unionByName(few.select(F.col("b").alias("node"))).distinct()
+    def texts_of(nodes: DataFrame) -> DataFrame:
         # an id that repeats with other texts is compared by its smallest text
-        found = texts.join(written(needed, "needed"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
-        found = written(found, "texts")
-        return written(confirmed(few, found, size, percent), "links")
+        needed = written(nodes.distinct(), "needed")
+        return texts.join(needed, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        distinct = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        few = written(likely(_signed(distinct, classes), threshold), "likely")
+        nodes = few.select(F.col("a").alias("node")).unionByName(few.select(F.col("b").alias("node")))
+        return written(confirmed(few, written(texts_of(nodes), "texts"), size, percent), "links")
 
-    # first each class with the smallest of its bucket, then what is still apart in a bucket
-    hub = buckets.groupBy("bucket").agg(F.min("node").alias("hub"))
-    stars = buckets.join(hub, "bucket").where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    stars = buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     edges = verified(stars)
     first = written(components(edges), "components")
-    apart = written(_labelled(buckets, first), "labelled")
-    several = (
-        apart.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.min("node").alias("hub"))
-        .where("one < other").select("bucket", "hub")
+    labelled = written(
+        buckets.join(first, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("label")),
+        "labelled",
     )
-    # pairs with the hub are known; of the others those from different components
-    open_rows = written(apart.join(several, "bucket").where("node > hub").drop("hub"), "open")
-    left = open_rows.select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"))
-    right = open_rows.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    rest = left.join(right, "bucket").where("a < b AND label_a <> label_b").select("a", "b")
-    more = verified(rest)
-    return components(edges.unionByName(more))
+    several = labelled.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other"))
+    # two classes that are apart have met already
+    still_open = labelled.where("n > 2").join(several.where("one < other").select("bucket"), "bucket")
+    still_open = written(still_open, "open")
+    small = still_open.where(F.col("n") <= SMALL)
+    left = small.select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"))
+    right = small.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
+    pairs = left.join(right, "bucket").where("a < b AND label_a <> label_b").select("a", "b")
+    more = verified(pairs)
+    large = written(still_open.where(F.col("n") > SMALL), "large")
+    sets = written(shingle_sets(texts_of(large.select("node")), size), "sets")
+    blocks = written(block_links(large, classes, sets, percent, rows), "block-links")
+    return components(edges.unionByName(more).unionByName(blocks))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
