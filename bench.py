@@ -36,6 +36,14 @@ HEADLINE = [
     "tfidf_weights",
     "roc_auc",
     "blend_scores",
+    "pivot_amount_by_category",
+    "user_nunique",
+    "has_and_session_counts",
+    "group_amount_to_rows",
+    "woe_encode",
+    "event_target_encode_rows",
+    "ordered_target",
+    "user_tfidf_weights",
 ]
 
 

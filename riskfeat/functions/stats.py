@@ -87,11 +87,25 @@ def _weighted_mean(x: Column, w: Column) -> Column:
     return ratio(F.sum(x * w), _weighted_count(x, w))
 
 
+def _exact_scatter(x: Column, w: Column) -> Column:
+    """n * sum(w x^2) - (sum w x)^2 of whole numbers, without rounding; NULL if a value is not whole or too large."""
+    whole = "decimal(38,0)"
+    value = F.when(x.isNotNull() & w.isNotNull(), F.when(x == F.floor(x), x.try_cast("decimal(19,0)")))
+    weight = F.when(x.isNotNull(), w).try_cast("decimal(19,0)")
+    first = F.try_multiply(value, weight).cast(whole)
+    n, one = F.try_sum(weight).cast(whole), F.try_sum(first).cast(whole)
+    two = F.try_sum(F.try_multiply(first, value).cast(whole)).cast(whole)
+    scatter = F.try_subtract(F.try_multiply(n, two), F.try_multiply(one, one))
+    return F.when(F.count(value) == F.count(weight), scatter.try_cast("double"))
+
+
 def _weighted_std(x: Column, w: Column) -> Column:
+    """Sample standard deviation; exact sums for whole numbers, whose squares may be far apart from their spread."""
     d = x.cast("double")
     n = _weighted_count(x, w).cast("double")
     total = F.sum(d * w)
-    scatter = F.greatest(F.sum(d * d * w) - total * total / F.nullif(n, F.lit(0.0)), F.lit(0.0))
+    rough = F.greatest(F.sum(d * d * w) - total * total / F.nullif(n, F.lit(0.0)), F.lit(0.0))
+    scatter = F.coalesce(F.try_divide(_exact_scatter(x, w), n), rough)
     return F.when(n > 1, F.when(F.min(x) == F.max(x), F.lit(0.0)).otherwise(F.sqrt(F.try_divide(scatter, n - 1))))
 
 

@@ -1,8 +1,9 @@
 """Neighbouring rows and running totals per key, without one task per hot key.
 
-Ordinary keys use a plain window. A hot key's rows are cut into order ranges
-(chunks) of about ``hot_rows`` rows; each chunk is windowed on its own and then gets
-the carry of the chunks before it from a summary with one row per chunk.
+Ordinary keys use a plain window. The rows of hot keys are dealt out by ranges of (key, order), so that a
+burst at one time is cut as well; the part of a key in one range is a chunk. Each chunk is windowed on its
+own and then gets the carry of the chunks before it from a summary with one row per chunk. Both ways
+sort NULL times first and treat NULL keys as one key, so a key's result does not depend on its size.
 """
 
 from __future__ import annotations
@@ -10,13 +11,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
-from riskfeat.operators.skew import hot_row_limit
+from riskfeat.operators.skew import hot_keys, hot_row_limit, is_limited, null_safe
+from riskfeat.session import reliable_checkpoint
 
 CHUNK = "__chunk"
+# the key of a chunked row as one text that is never NULL
+HOT_KEY = "__hot_key"
 START = Window.unboundedPreceding
 
 
@@ -33,20 +36,21 @@ class Ordering:
         return [self.by, *self.ties]
 
     def window(self, chunked: bool):
-        parts = [*self.keys, CHUNK] if chunked else list(self.keys)
+        parts = [HOT_KEY, CHUNK] if chunked else list(self.keys)
         return Window.partitionBy(*parts).orderBy(*self.columns)
 
 
-def hot_spans(df: DataFrame, ordering: Ordering, hot_rows: int | None = None) -> DataFrame:
-    """Hot keys with the start and the width of their chunks."""
-    limit = hot_row_limit(df.sparkSession, hot_rows)
-    by = F.col(ordering.by)
-    stats = df.groupBy(*ordering.keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(by).alias("__lo"), F.max(by).alias("__hi")
-    )
-    chunks = F.ceil(F.col("__n") / F.lit(limit))
-    width = F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) / chunks))
-    return stats.where(F.col("__n") > limit).select(*ordering.keys, "__lo", width.alias("__width"))
+def _dealt(df: DataFrame, columns: Sequence[str], limit: int, n_rows: int | None) -> DataFrame:
+    """Rows dealt out by ranges of the columns, with the number of the range; written, so that it stays.
+
+    With ``n_rows`` there are as many ranges as it takes for about ``limit`` rows each, else as many as the session
+    has shuffle partitions, joined where they are small.
+    """
+    if n_rows is None:
+        spread = df.repartitionByRange(*columns)
+    else:
+        spread = df.repartitionByRange(max(1, -(-n_rows // limit)), *columns)
+    return reliable_checkpoint(spread.withColumn(CHUNK, F.spark_partition_id()))
 
 
 def per_key_ordered(
@@ -57,17 +61,17 @@ def per_key_ordered(
 ) -> DataFrame:
     """Apply ``step(rows, chunked)`` to ordinary keys and to the chunks of hot keys."""
     keys = list(ordering.keys)
-    found = hot_spans(df, ordering, hot_rows)
-    if found.isEmpty():
+    found = hot_keys(df, keys, hot_rows)
+    n_hot = found.agg(F.sum("__n").alias("n")).head()["n"]
+    if not n_hot:
         return step(df, False)
-    spans = F.broadcast(found)
-    cold = df.join(spans, keys, "left_anti")
-    hot = df.join(spans, keys, "inner").select(
-        *df.columns,
-        F.floor((F.col(ordering.by) - F.col("__lo")) / F.col("__width")).alias(CHUNK),
-    )
-    plain = step(cold, False)
-    return plain.unionByName(step(hot, True).drop(CHUNK))
+    marked = F.broadcast(found.drop("__n").withColumnsRenamed({k: f"__h_{k}" for k in keys}))
+    same = null_safe(df, marked, {k: f"__h_{k}" for k in keys})
+    cold = df.join(marked, same, "left_anti")
+    hot = df.join(marked, same, "left_semi").withColumn(HOT_KEY, F.to_json(F.struct(*keys)))
+    limit = hot_row_limit(df.sparkSession, hot_rows)
+    chunks = _dealt(hot, [HOT_KEY, *ordering.columns], limit, n_hot)
+    return step(cold, False).unionByName(step(chunks, True).drop(CHUNK, HOT_KEY))
 
 
 def neighbour(
@@ -82,13 +86,14 @@ def neighbour(
             *df.columns, *[F.col("__near")[new].alias(new) for new in columns]
         )
     pick = F.min_by if ahead else F.max_by
-    edges = df.groupBy(*ordering.keys, CHUNK).agg(pick(value, F.struct(*ordering.columns)).alias("__edge"))
-    across = shift("__edge").over(Window.partitionBy(*ordering.keys).orderBy(CHUNK))
-    carry = edges.select(*ordering.keys, CHUNK, across.alias("__carry"))
+    edges = df.groupBy(HOT_KEY, CHUNK).agg(pick(value, F.struct(*ordering.columns)).alias("__edge"))
+    # one row per chunk
+    across = shift("__edge").over(Window.partitionBy(HOT_KEY).orderBy(CHUNK))
+    carry = edges.select(HOT_KEY, CHUNK, across.alias("__carry"))
     near = F.coalesce(F.col("__near"), F.col("__carry"))
     return (
         df.select("*", local.alias("__near"))
-        .join(F.broadcast(carry), [*ordering.keys, CHUNK], "left")
+        .join(carry, [HOT_KEY, CHUNK])
         .select(*df.columns, *[near[new].alias(new) for new in columns])
     )
 
@@ -101,16 +106,22 @@ def running_sums(
     local = {new: F.coalesce(F.sum(x).over(frame), F.lit(0)) for new, x in sums.items()}
     if not chunked:
         return df.select("*", *[x.alias(new) for new, x in local.items()])
-    totals = df.groupBy(*ordering.keys, CHUNK).agg(*[F.sum(x).alias(f"__t_{new}") for new, x in sums.items()])
-    before = Window.partitionBy(*ordering.keys).orderBy(CHUNK).rowsBetween(START, -1)
+    return _carried(df, [HOT_KEY], local, sums)
+
+
+def _carried(df: DataFrame, groups: Sequence[str], local: Mapping[str, Column], sums: Mapping[str, Column]) -> DataFrame:
+    """Running totals inside chunks plus the totals of the group's earlier chunks."""
+    named = {g: f"__g_{g}" for g in [*groups, CHUNK]}
+    totals = df.groupBy(*groups, CHUNK).agg(*[F.sum(x).alias(f"__t_{new}") for new, x in sums.items()])
+    # one row per group and chunk
+    before = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(CHUNK).rowsBetween(START, -1)
     carry = totals.select(
-        *ordering.keys,
-        CHUNK,
+        *[F.col(g).alias(new) for g, new in named.items()],
         *[F.coalesce(F.sum(f"__t_{new}").over(before), F.lit(0)).alias(f"__c_{new}") for new in sums],
     )
     return (
         df.select("*", *[x.alias(f"__l_{new}") for new, x in local.items()])
-        .join(F.broadcast(carry), [*ordering.keys, CHUNK], "left")
+        .join(carry, null_safe(df, carry, named))
         .select(*df.columns, *[(F.col(f"__l_{new}") + F.col(f"__c_{new}")).alias(new) for new in sums])
     )
 
@@ -132,60 +143,17 @@ def global_running(
 ) -> DataFrame:
     """Running totals over the whole table (or per group) in the order of unique keys.
 
-    ``order`` must identify a row within its group. A large table is cut at at most 1,000
-    keys taken from a hash sample of one key in ``bucket_rows``; each bucket is windowed on
-    its own, and the totals of earlier buckets are added, so no task sees the whole table.
-    Buckets depend on the keys alone: a recomputed task puts its rows in the same ones.
+    ``order`` must identify a row within its group. Rows are dealt out by ranges of (groups, order) and written
+    once; each range is windowed on its own, and the totals of the group's earlier ranges are added, so no task
+    sees the whole table. The number of ranges follows the data.
     """
     groups, order = list(groups), list(order)
-    cuts = _cut_keys(df, order, hot_row_limit(df.sparkSession, bucket_rows))
-    end = 0 if inclusive else -1
-    if not cuts:
-        # about bucket_rows rows or fewer
-        whole = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(*order).rowsBetween(START, end)
-        return df.select("*", *[F.coalesce(F.sum(x).over(whole), F.lit(0)).alias(new) for new, x in sums.items()])
-    key = F.struct(*order)
-    kind = df.select(key.alias("key")).schema["key"].dataType
-    edges = F.array(*[_literal(cut) for cut in cuts]).cast(ArrayType(kind))
-    bucket = F.size(F.filter(edges, lambda cut: cut <= key))
-    cut = df.select("*", bucket.alias("__bucket"))
-    inside = Window.partitionBy(*groups, "__bucket").orderBy(*order).rowsBetween(START, end)
-    totals = cut.groupBy(*groups, "__bucket").agg(*[F.sum(x).alias(f"__t_{new}") for new, x in sums.items()])
-    # one row per group and bucket
-    earlier = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("__bucket").rowsBetween(START, -1)
-    carry = totals.select(
-        *[F.col(g).alias(f"__g_{g}") for g in groups],
-        F.col("__bucket").alias("__g_bucket"),
-        *[F.coalesce(F.sum(f"__t_{new}").over(earlier), F.lit(0)).alias(f"__c_{new}") for new in sums],
-    )
-    same = F.col("__bucket") == F.col("__g_bucket")
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+    asked = bucket_rows is not None or is_limited(df.sparkSession)
+    limit = hot_row_limit(df.sparkSession, bucket_rows)
+    dealt = _dealt(df, [*groups, *order], limit, df.count() if asked else None)
+    inside = Window.partitionBy(*groups, CHUNK).orderBy(*order).rowsBetween(START, 0 if inclusive else -1)
     local = {new: F.coalesce(F.sum(x).over(inside), F.lit(0)) for new, x in sums.items()}
-    return (
-        cut.select("*", *[x.alias(f"__l_{new}") for new, x in local.items()])
-        .join(carry, same, "left")
-        .select(*df.columns, *[(F.col(f"__l_{new}") + F.col(f"__c_{new}")).alias(new) for new in sums])
-    )
-
-
-MAX_CUTS = 1000
-
-
-def _cut_keys(df: DataFrame, order: list[str], limit: int) -> list:
-    """At most 1,000 sorted keys that cut the table into buckets; none for a small table."""
-    sampled = df.where(F.pmod(F.xxhash64(*order), F.lit(limit)) == 0)
-    every = sampled.agg(F.array_sort(F.collect_set(F.struct(*order))).alias("all"))
-    thin = F.transform(
-        F.sequence(F.lit(0), F.lit(MAX_CUTS - 1)), lambda i: F.get("all", (i * F.size("all") / MAX_CUTS).cast("int"))
-    )
-    return every.select(F.when(F.size("all") <= MAX_CUTS, F.col("all")).otherwise(thin).alias("cuts")).head()["cuts"]
-
-
-def _literal(value) -> Column:
-    if isinstance(value, Row):
-        return F.struct(*[_literal(v).alias(n) for n, v in value.asDict().items()])
-    return F.lit(value)
+    return _carried(dealt, groups, local, sums).drop(CHUNK)
 
 
 def dense_codes(df: DataFrame, order: Sequence[str], name: str, start: int = 0, groups: Sequence[str] = ()) -> DataFrame:

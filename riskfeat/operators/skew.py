@@ -1,9 +1,8 @@
 """Keeping hot keys from landing in one task.
 
-A *hot* key has more than ``hot_rows`` rows. There can be at most
-``total_rows / hot_rows`` of them, so the list of hot keys (and anything with one
-row per hot key) has a size bound and is broadcast. Everything else takes the plain
-Spark route.
+A *hot* key has more than ``hot_rows`` rows and is among the ``MAX_HOT_KEYS`` with the most rows, so the list of
+hot keys (and anything with one row per hot key) has a fixed size bound and is broadcast. Everything
+else takes the plain Spark route; a key beyond the list has at most one row in ``MAX_HOT_KEYS``.
 
 Operators that need a key's rows in order look for hot keys while the plan is built,
 with one column-pruned count; only if there are any does the plan get a branch for
@@ -12,13 +11,14 @@ them. A caller that already knows passes the list, or None for "there are none".
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 1_000_000
 HOT_ROWS_SETTING = "spark.riskfeat.hotRows"
+MAX_HOT_KEYS = 10_000
 SALTS = 4096
 
 
@@ -29,6 +29,19 @@ def hot_row_limit(spark: SparkSession, hot_rows: int | None = None) -> int:
     return int(spark.conf.get(HOT_ROWS_SETTING, str(DEFAULT_HOT_ROWS)))
 
 
+def is_limited(spark: SparkSession) -> bool:
+    """Whether the session sets how many rows a task may take."""
+    return spark.conf.get(HOT_ROWS_SETTING, None) is not None
+
+
+def null_safe(left: DataFrame, right: DataFrame, names: Mapping[str, str]) -> Column:
+    """Join condition {left column: right column} in which NULL equals NULL."""
+    match = F.lit(True)
+    for one, other in names.items():
+        match = match & left[one].eqNullSafe(right[other])
+    return match
+
+
 class _Unknown:
     """Default of ``hot`` parameters: count the keys to find out."""
 
@@ -38,14 +51,15 @@ Hot = DataFrame | None | _Unknown
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """Keys with more rows than one task should take (at most total/hot_rows of them)."""
+    """Keys with more rows than one task should take, and ``__n``, their rows; at most ``MAX_HOT_KEYS``."""
     limit = hot_row_limit(df.sparkSession, hot_rows)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit).select(*keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
+    return counts.orderBy(F.col("__n").desc(), *keys).limit(MAX_HOT_KEYS)
 
 
 def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
     """The hot keys, or None when there are none. Runs one count over the key columns."""
-    found = hot_keys(df.where(all_present(keys)), keys, hot_rows)
+    found = hot_keys(df.where(all_present(keys)), keys, hot_rows).select(*keys)
     return None if found.isEmpty() else found
 
 
@@ -83,14 +97,12 @@ def lookup_join(
     added = [c for c in dim.columns if c not in on]
     if isinstance(hot, str):
         limit = hot_row_limit(rows.sparkSession, hot_rows)
-        dim_hot = dim.where(F.col(hot) > limit)
-        dim_cold = dim.where(F.col(hot) <= limit)
+        dim_hot = dim.where(F.col(hot) > limit).orderBy(F.col(hot).desc(), *on).limit(MAX_HOT_KEYS)
     else:
-        dim_hot = dim.join(F.broadcast(hot), on, "left_semi")
-        dim_cold = dim
+        dim_hot = dim.join(F.broadcast(hot.select(*on)), on, "left_semi")
     payload = F.struct(*added)
     hot_side = dim_hot.select(*on, payload.alias("__hot"))
-    cold_side = dim_cold.select(
+    cold_side = dim.select(
         *[F.col(c).alias(f"__d_{c}") for c in on],
         # always 0, yet not a literal: a literal would be folded out of the join key
         F.pmod(F.xxhash64(*on), F.lit(1)).alias("__d_salt"),

@@ -48,7 +48,9 @@ sess AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY timestamp, seq)
 
 
 def r(expr: str, digits: int = 6) -> str:
-    return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
+    """Rounded through a decimal of 12 places, as the queries are."""
+    double = f"CAST({expr} AS DOUBLE)"
+    return f"(coalesce(CAST(round(TRY_CAST({double} AS DECIMAL(38,12)), {digits}) AS DOUBLE), round({double}, {digits})) + 0.0)"
 
 
 def stat(kind: str, x: str, where: str | None = None) -> str:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +28,18 @@ def query(f: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Comparable figures: decimals and doubles rounded, spreads to 4 digits, no -0.0."""
+    """Comparable figures: decimals and doubles rounded, spreads to 4 digits, no -0.0.
+
+    Figures pass through a decimal of 12 places, so that the last bits of a double do not decide a tie.
+    """
     kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
     out = []
     for c, kind in kinds.items():
         if kind in ("double", "float") or kind.startswith("decimal"):
             places = 4 if any(s in c for s in FOUR_DIGITS) else digits
-            out.append((F.round(F.col(c).cast("double"), places) + F.lit(0.0)).alias(c))
+            figure = F.col(c).cast("double")
+            exact = F.round(figure.try_cast("decimal(38,12)"), places).cast("double")
+            out.append((F.coalesce(exact, F.round(figure, places)) + F.lit(0.0)).alias(c))
         elif kind in ("integer", "short", "byte"):
             out.append(F.col(c).cast("long").alias(c))
         else:
@@ -535,12 +539,12 @@ def tfidf_svd(spark, folder):
 
 @query
 def value_word2vec(spark, folder):
-    return vectors.value_word2vec(tables.logs(spark, folder), "ip", iterations=5)
+    return vectors.value_word2vec(tables.logs(spark, folder), "ip", iterations=20)
 
 
 @query
 def user_doc_embedding(spark, folder):
-    return vectors.user_doc_embedding(tables.logs(spark, folder), "ip", iterations=5)
+    return vectors.user_doc_embedding(tables.logs(spark, folder), "ip", iterations=20)
 
 
 # -- scores
@@ -556,21 +560,19 @@ def _scores(spark: SparkSession, folder: str) -> DataFrame:
         (32452843, "gbt", 779, "without_crosses"),
         (49979687, "nn", 1997, "all"),
     )
-    users = tables.labels(spark, folder)
-    parts = [
-        users.select(
-            "user_id",
-            "label",
-            "fold",
-            F.when(F.col("label").isNull(), "test").otherwise("oof").alias("split"),
-            F.lit(model).alias("model"),
-            F.lit(seed).alias("seed"),
-            F.lit(name).alias("feature_set"),
-            ((F.col("user_id") * factor) % 1000 / 1000.0).alias("score"),
-        )
-        for factor, model, seed, name in runs
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    score = F.array(
+        *[
+            F.struct(
+                F.lit(model).alias("model"),
+                F.lit(seed).alias("seed"),
+                F.lit(name).alias("feature_set"),
+                ((F.col("user_id") * factor) % 1000 / 1000.0).alias("score"),
+            )
+            for factor, model, seed, name in runs
+        ]
+    )
+    split = F.when(F.col("label").isNull(), "test").otherwise("oof").alias("split")
+    return tables.labels(spark, folder).select("user_id", "label", "fold", split, F.inline(score))
 
 
 @query
@@ -605,7 +607,7 @@ def feature_matrix_build(spark, folder):
     return rounded(feature_matrix.star_matrix(spark, folder), 4)
 
 
-SMALL_TREES = scoring.TreeSettings(rounds=5, depth=4, step=0.1)
+SMALL_TREES = scoring.TreeSettings(rounds=10, depth=4, step=0.1)
 
 
 @query
@@ -618,6 +620,6 @@ def gbt_oof_scores(spark, folder):
 def feature_set_ablation(spark, folder):
     matrix = feature_matrix.star_matrix(spark, folder)
     named = feature_matrix.feature_sets(scoring.feature_columns(matrix), feature_matrix.STAR_CROSSES)
-    settings = scoring.TreeSettings(rounds=2, depth=4, step=0.1)
-    return scoring.ablation_scores(matrix, named, (2020,), tables.FOLDS, settings)
+    settings = scoring.TreeSettings(rounds=3, depth=4, step=0.1)
+    return scoring.ablation_scores(matrix, named, (2020, 779), tables.FOLDS, settings)
 

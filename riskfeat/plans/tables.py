@@ -45,7 +45,8 @@ def purchases(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def operations(spark: SparkSession, folder: str) -> DataFrame:
-    return activity(spark, folder).where(F.col("event_type") != "purchase")
+    """All other events, also those without a type."""
+    return activity(spark, folder).where(~F.col("event_type").eqNullSafe("purchase"))
 
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,12 +1,17 @@
-"""Reading the seven input files, with declared schemas."""
+"""Reading the seven input files, with declared schemas.
+
+Numbers may be written with or without a fraction: files made by tools that keep gaps as floating point have
+``3.0`` for 3. Counts and amounts are read as doubles; codes and labels are whole numbers, and ``3.0`` is 3 there too.
+A text that is no number (or no whole number where one is needed) is never dropped silently.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from riskfeat.functions.scalars import with_relative_time
 
@@ -27,32 +32,61 @@ NUMBER_COLUMNS = [
 ]
 
 
-def _schema(text: list[str], whole: list[str] = (), small: list[str] = ()) -> StructType:
+def _schema(text: list[str], whole: list[str] = (), small: list[str] = (), number: list[str] = ()) -> StructType:
     return StructType(
         [StructField(c, StringType()) for c in text]
         + [StructField(c, LongType()) for c in whole]
+        + [StructField(c, DoubleType()) for c in number]
         + [StructField(c, IntegerType()) for c in small]
     )
 
 
 LABEL_SCHEMA = _schema(["user"], small=["label"])
-BASE_SCHEMA = _schema(["user", *TEXT_COLUMNS, *ORDINAL_COLUMNS, "service3_level"], [*PLACE_COLUMNS, *NUMBER_COLUMNS])
+BASE_SCHEMA = _schema(["user", *TEXT_COLUMNS, *ORDINAL_COLUMNS, "service3_level"], PLACE_COLUMNS, number=NUMBER_COLUMNS)
 TRANS_SCHEMA = _schema(
-    ["user", "platform", "tunnel_in", "tunnel_out", "type1", "type2", "ip", "ip_3", "tm_diff"], ["amount"]
+    ["user", "platform", "tunnel_in", "tunnel_out", "type1", "type2", "ip", "ip_3", "tm_diff"], number=["amount"]
 )
 OP_SCHEMA = _schema(["user", "op_type", "op_mode", "op_device", "ip", "ip_3", "net_type", "channel", "tm_diff"])
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A headed CSV file or folder; columns are matched to the schema by name."""
-    header = spark.read.option("header", True).csv(path)
+def _typed(text: Column, kind: DataType) -> Column:
+    """The text as a value of the type; NULL for a blank, and for a text that does not fit."""
+    trimmed = F.nullif(F.trim(text), F.lit(""))
+    if isinstance(kind, StringType):
+        return F.nullif(text, F.lit(""))
+    if isinstance(kind, DoubleType):
+        return trimmed.try_cast(kind)
+    exact = trimmed.try_cast("decimal(38,10)")
+    return F.when(exact == F.floor(exact), exact.try_cast(kind))
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, rejected: str | None = None) -> DataFrame:
+    """A headed CSV file or folder; columns are matched to the schema by name, others stay texts.
+
+    A field that does not fit its type stops the read with its column and text. With ``rejected`` it is NULL
+    instead, and a column of that name has the number of such fields in the row.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    # the header gives the names only: every field is read as text and typed below
+    rows = spark.read.option("header", True).schema(StructType([StructField(c, StringType()) for c in header])).csv(path)
     known = {f.name: f.dataType for f in schema.fields}
-    return header.select(
-        *[
-            (F.nullif(F.col(f"`{c}`"), F.lit("")).try_cast(known[c]) if c in known else F.col(f"`{c}`")).alias(c)
-            for c in header.columns
-        ]
-    )
+    out, misfits = [], []
+    for c in header:
+        text = F.col(f"`{c}`")
+        if c not in known:
+            out.append(text)
+            continue
+        value = _typed(text, known[c])
+        if not isinstance(known[c], StringType):
+            misfit = (F.trim(text) != "") & value.isNull()
+            misfits.append(F.coalesce(misfit.cast("int"), F.lit(0)))
+            if rejected is None:
+                told = F.concat(F.lit(f"{path}: {c} cannot be "), text)
+                value = F.when(misfit, F.raise_error(told).cast(known[c])).otherwise(value)
+        out.append(value.alias(c))
+    if rejected is not None:
+        out.append(sum(misfits, F.lit(0)).alias(rejected))
+    return rows.select(*out)
 
 
 @dataclass(frozen=True)

@@ -90,6 +90,35 @@ def test_lookup_join(spark, limit):
     assert got == {i: {"a": 1, "b": 2}[v] for i, v in rows if v in ("a", "b")}
 
 
+def test_weighted_std_of_large_numbers(spark):
+    rows = [("a", 1e9 + i, 1) for i in range(3)] + [("b", 2.5, 2), ("b", 3.5, 2), ("c", 7.0, 1)]
+    df = spark.createDataFrame(rows, "k string, x double, w long")
+    got = {r["k"]: r["s"] for r in grouping.grouped_stats(df, ["k"], [Stat("s", "std", F.col("x"), weight=F.col("w"))]).collect()}
+    assert got["a"] == 1.0 and got["c"] is None
+    assert got["b"] == pytest.approx(np.std([2.5, 2.5, 3.5, 3.5], ddof=1))
+
+
+@pytest.mark.parametrize("limit", [4, 10**6])
+def test_missing_times_and_bursts(spark, limit):
+    """A key's sessions do not depend on whether it counts as hot: NULL times, one burst, NULL users."""
+    from riskfeat.operators import sessions
+
+    rng = random.Random(17)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, 5, 5, 5, 5000, 9000]), i, float(i % 3)) for i in range(150)]
+    df = spark.createDataFrame(rows, "user_id string, timestamp long, seq long, amount double")
+    got = {r["seq"]: r["session"] for r in sessions.sessionize(df, hot_rows=limit).collect()}
+    gaps = {r["seq"]: r["time_diff"] for r in sessions.amount_rate(df, hot_rows=limit).collect()}
+    for user in ("a", "b", None):
+        mine = sorted((r for r in rows if r[0] == user), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        session = 0
+        for i, r in enumerate(mine):
+            before = mine[i - 1][1] if i else None
+            session += r[1] is not None and before is not None and r[1] - before > 600
+            assert got[r[2]] == session
+            after = mine[i + 1][1] if i + 1 < len(mine) else None
+            assert gaps[r[2]] == (None if r[1] is None or after is None else r[1] - after)
+
+
 def test_svd_spans_the_right_space(spark):
     rng = np.random.default_rng(1)
     dense = rng.integers(0, 4, size=(30, 12)).astype(float)

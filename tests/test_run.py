@@ -45,7 +45,7 @@ def matrix(source, work):
 def test_input(source):
     known, unknown = split_labelled(source.profile)
     assert known.count() == 60 and unknown.count() == 20
-    assert dict(source.trans.dtypes)["amount"] == "bigint"
+    assert dict(source.trans.dtypes)["amount"] == "double"
     assert source.trans.where(F.col("timestamp").isNull()).count() == 0
 
 
@@ -84,3 +84,17 @@ def test_sequence_inputs(source, work):
 def test_deny_list_file(spark, tmp_path):
     (tmp_path / "drop.txt").write_text("a\n\nb\n")
     assert read_feature_list(spark, str(tmp_path / "drop.txt")) == ["a", "b"]
+
+
+def test_numbers_in_files(spark, tmp_path):
+    """Fractions, gaps and junk: nothing is lost without notice."""
+    from riskfeat.sources.readers import BASE_SCHEMA, LABEL_SCHEMA, read_csv
+
+    (tmp_path / "base.csv").write_text("user,age,province,sex\na,3.0,21.0,x\nb,12.5,,\nc, ,3,y\n")
+    rows = read_csv(spark, str(tmp_path / "base.csv"), BASE_SCHEMA).collect()
+    assert [tuple(r) for r in rows] == [("a", 3.0, 21, "x"), ("b", 12.5, None, None), ("c", None, 3, "y")]
+    (tmp_path / "label.csv").write_text("user,label\na,1.0\nb,junk\nc,0.5\nd,0\n")
+    rows = read_csv(spark, str(tmp_path / "label.csv"), LABEL_SCHEMA, rejected="bad").collect()
+    assert [tuple(r) for r in rows] == [("a", 1, 0), ("b", None, 1), ("c", None, 1), ("d", 0, 0)]
+    with pytest.raises(Exception, match="label cannot be junk"):
+        read_csv(spark, str(tmp_path / "label.csv"), LABEL_SCHEMA).collect()
