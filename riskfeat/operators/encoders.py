@@ -60,12 +60,30 @@ def _woe(f: Fitted, eps: float = WOE_EPS) -> Column:
     return F.when(f.n > 0, F.log(bad_share / good_share))
 
 
+def _seen_twice(f: Fitted) -> Column:
+    """Leave-one-out code of a row that was not fitted: the category's mean; none for a category of a single row."""
+    return F.when(f.n > 1, f.mean)
+
+
+def _smooth_woe(f: Fitted, add: float = 1.0) -> Column:
+    """Weight of evidence with both shares regularised; 0 for a category of a single row."""
+    bad_share = (f.bad + add) / (f.all_bad + 2 * add)
+    good_share = (f.n - f.bad + add) / (f.all_n - f.all_bad + 2 * add)
+    return F.when(f.n > 1, F.log(bad_share / good_share)).when(f.n > 0, F.lit(0.0))
+
+
 METHODS: dict[str, Callable[[Fitted], Column]] = {
     "mean": lambda f: f.mean,
     "m_estimate": _m_estimate,
     "james_stein": _james_stein,
     "woe": _woe,
+    "smooth_woe": _smooth_woe,
+    "leave_one_out": _seen_twice,
+    # the expanding statistic after all fitted rows
+    "ordered": _m_estimate,
 }
+# the code of an event value that was not fitted; the label mean for methods not named here
+UNSEEN = {"mean": None, "smooth_woe": 0.0}
 
 
 def category_moments(long: DataFrame, label_sum: Column, label_rows: Column, roles: LabelRoles) -> DataFrame:
@@ -323,8 +341,8 @@ def event_target_encode(
 ) -> DataFrame:
     """Per user, statistics of the out-of-fold codes of the values on the user's events.
 
-    With ``method="mean"`` a value unseen in the other folds has no code; the other
-    methods give it the label mean.
+    With ``method="mean"`` a value unseen in the other folds has no code; it is 0 for "smooth_woe" and the label
+    mean for the other methods.
     """
     fit = fit_event_encoding(events, labels, features, user_mean, roles, hot_rows)
     rows = lookup_join(fit.pairs, fit.moments, ["column", "value"], "__rows", hot_rows)
@@ -332,7 +350,8 @@ def event_target_encode(
     code = METHODS[method](fitted)
     if method != "mean":
         rows = _with_totals(rows, fit.totals)
-        code = F.coalesce(code, fitted.prior)
+        unseen = UNSEEN.get(method)
+        code = F.coalesce(code, fitted.prior if unseen is None else F.lit(unseen))
     coded = rows.select(roles.user, "column", "n_rows", code.alias("code"))
     # a user with rows but no code has the sum 0
     stats = [Stat(k, "sum0" if k == "sum" else k, F.col("code"), weight=F.col("n_rows")) for k in kinds]

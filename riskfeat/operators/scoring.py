@@ -64,6 +64,18 @@ def gbt_oof_scores(
 
     The held-out fold also stops boosting early, as a validation set.
     """
+    every = fold_scores(matrix, features, k, settings, roles)
+    return average_fold_scores(every, model, settings.seed, feature_set, roles)
+
+
+def fold_scores(
+    matrix: DataFrame,
+    features: Sequence[str],
+    k: int = 5,
+    settings: TreeSettings = TreeSettings(),
+    roles: LabelRoles = LabelRoles(),
+) -> DataFrame:
+    """(user, split, score) of every fold's model for the users it did not see."""
     numbers = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in features]
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     rows = matrix.select(roles.user, F.col(roles.label).cast("double").alias("label"), roles.fold, *numbers)
@@ -95,8 +107,7 @@ def gbt_oof_scores(
                     vector_to_array("probability")[1].alias("score"),
                 )
             )
-        every = reduce(DataFrame.unionByName, parts)
-        return reliable_checkpoint(average_fold_scores(every, model, settings.seed, feature_set, roles))
+        return reliable_checkpoint(reduce(DataFrame.unionByName, parts))
     finally:
         ready.unpersist()
 

@@ -7,15 +7,12 @@ per (user, term), so a user with a third of the rows is many small counts.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskfeat.operators.ordered import dense_codes, positions
+from riskfeat.operators.ordered import positions
 from riskfeat.operators.sessions import user_order
 from riskfeat.operators.skew import lookup_join
 from riskfeat.roles import EventRoles
@@ -24,7 +21,9 @@ from riskfeat.session import reliable_checkpoint
 # fixed value: a word is a run of two or more letters, digits or underscores
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 SENTENCE_WORDS = 1000
-MAX_TERMS = 5_000_000
+CONTEXT_WORDS = 10
+# sentences that one partition trains on before the vectors are averaged
+PART_SENTENCES = 10_000
 
 
 def words(text: Column) -> Column:
@@ -63,64 +62,106 @@ def document_count(df: DataFrame, key: str) -> Column:
     return df.agg(F.count_distinct(key).alias("n")).scalar()
 
 
-def truncated_svd(weights: DataFrame, key: str, name: str, k: int = 10, max_terms: int = MAX_TERMS) -> DataFrame:
+def _direction(term: Column, i: int) -> Column:
+    """A standard normal number that is a function of the term and i alone."""
+
+    def uniform(part: int) -> Column:
+        return (F.pmod(F.xxhash64(term, F.lit(i), F.lit(part)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+
+    return F.sqrt(-2 * F.log(uniform(0))) * F.cos(2 * np.pi * uniform(1))
+
+
+def _gram(rows: DataFrame, size: int) -> np.ndarray:
+    """Products of all pairs of columns c0, c1, …, summed over the rows: size x size figures reach the driver."""
+    pairs = [(i, j) for i in range(size) for j in range(i + 1)]
+    sums = rows.agg(*[F.coalesce(F.sum(F.col(f"c{i}") * F.col(f"c{j}")), F.lit(0.0)) for i, j in pairs]).head()
+    out = np.zeros((size, size))
+    for (i, j), x in zip(pairs, sums, strict=True):
+        out[i, j] = out[j, i] = x
+    return out
+
+
+def _turned(rows: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
+    """The rows of columns c0, c1, … times a small matrix."""
+    columns = [F.col(f"c{i}") for i in range(matrix.shape[0])]
+    return rows.select(
+        key, *[sum((c * float(m) for c, m in zip(columns, column)), F.lit(0.0)).alias(f"c{j}") for j, column in enumerate(matrix.T)]
+    )
+
+
+def _times(weights: DataFrame, rows: DataFrame, on: str, by: str, size: int) -> DataFrame:
+    """The sparse rows (or their transpose) times the rows of columns: a join and a grouped sum."""
+    sized = rows.join(weights.groupBy(on).agg(F.count(F.lit(1)).alias("__rows")), on)
+    joined = lookup_join(weights, sized, [on], "__rows")
+    return joined.groupBy(by).agg(*[F.sum(F.col("weight") * F.col(f"c{i}")).alias(f"c{i}") for i in range(size)])
+
+
+def _orthonormal(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """The same column space with orthonormal columns; directions without length become 0."""
+    values, vectors = np.linalg.eigh(_gram(rows, size))
+    kept = values > 1e-12 * max(values.max(), 1e-300)
+    scale = np.where(kept, 1 / np.sqrt(np.where(kept, values, 1.0)), 0.0)
+    return _turned(rows, key, vectors * scale)
+
+
+def truncated_svd(
+    weights: DataFrame, key: str, name: str, k: int = 10, more: int = 10, rounds: int = 4
+) -> DataFrame:
     """Project sparse rows (key, term, weight) on the first k right singular vectors.
 
-    The rows stay distributed; the driver holds vectors as long as the vocabulary, so
-    a vocabulary above ``max_terms`` is refused.
+    Randomised: the rows are projected on k + ``more`` directions that are hashes of the terms, the space is sharpened by
+    ``rounds`` of multiplying by the rows and their transpose, and the small problem left is solved on the driver. Every
+    product is a join and a grouped sum; neither keys nor terms reach the driver or one task.
     """
-    terms = dense_codes(weights.select("term").distinct(), ["term"], "idx").persist()
-    try:
-        n_terms = terms.count()
-        if n_terms > max_terms:
-            raise ValueError(f"{n_terms} terms exceed {max_terms}")
-        indexed = weights.join(terms, "term").select(key, "idx", F.col("weight").cast("double").alias("weight"))
-        sparse = indexed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("v")).select("v")
-        rows = sparse.rdd.map(
-            lambda row: Vectors.sparse(n_terms, [int(e["idx"]) for e in row["v"]], [e["weight"] for e in row["v"]])
-        ).persist()
-        try:
-            found = RowMatrix(rows, 0, n_terms).computeSVD(min(k, n_terms), computeU=False)
-        finally:
-            rows.unpersist()
-        basis = np.zeros((n_terms, k))
-        basis[:, : len(found.s)] = found.V.toArray()
-        spark = weights.sparkSession
-        columns = [f"{name}_{i}" for i in range(k)]
-        table = {"idx": np.arange(n_terms, dtype="int64"), **{c: basis[:, i] for i, c in enumerate(columns)}}
-        local = spark.createDataFrame(pd.DataFrame(table))
-        by_term = reliable_checkpoint(terms.join(local, "idx").drop("idx"))
-    finally:
-        terms.unpersist()
-    sized = weights.groupBy("term").agg(F.count(F.lit(1)).alias("__rows")).join(by_term, "term")
-    projected = lookup_join(weights, sized, ["term"], "__rows")
-    return projected.groupBy(key).agg(*[F.sum(F.col("weight") * F.col(c)).alias(c) for c in columns])
+    size = k + more
+    entries = reliable_checkpoint(weights.select(key, "term", F.col("weight").cast("double").alias("weight")))
+    spread = [F.sum(F.col("weight") * _direction(F.col("term"), i)).alias(f"c{i}") for i in range(size)]
+    by_key = reliable_checkpoint(entries.groupBy(key).agg(*spread))
+    for _ in range(rounds):
+        by_term = reliable_checkpoint(_times(entries, _orthonormal(by_key, key, size), key, "term", size))
+        by_key = reliable_checkpoint(_times(entries, _orthonormal(by_term, "term", size), "term", key, size))
+    by_term = reliable_checkpoint(_times(entries, _orthonormal(by_key, key, size), key, "term", size))
+    # squares of the singular values, the largest first
+    values, vectors = np.linalg.eigh(_gram(by_term, size))
+    first = np.argsort(values)[::-1][:k]
+    lengths = np.sqrt(np.maximum(values[first], 0.0))
+    scale = np.where(lengths > 1e-9 * max(lengths.max(), 1e-300), 1 / np.where(lengths > 0, lengths, 1.0), 0.0)
+    right = reliable_checkpoint(_turned(by_term, "term", vectors[:, first] * scale))
+    out = _times(entries, right, "term", key, k)
+    return out.withColumnsRenamed({f"c{i}": f"{name}_{i}" for i in range(k)})
 
 
 def value_sentences(
     df: DataFrame, value: str, roles: EventRoles = EventRoles(), hot_rows: int | None = None
 ) -> DataFrame:
-    """Each user's values in time order, cut into sentences of at most 1,000 words."""
+    """Each user's values in time order, in sentences of 1,000 words and the first words of the next one.
+
+    The overlap is as wide as the context of a word, so no pair of neighbours is lost at a cut.
+    """
     order = user_order(df, roles)
     placed = positions(df.select(value, *order.keys, *order.columns), order, "__pos", hot_rows)
     word = F.coalesce(F.col(value).cast("string"), F.lit("nan"))
     cut = F.floor((F.col("__pos") - 1) / SENTENCE_WORDS)
-    grouped = placed.groupBy(roles.user, cut.alias("__sentence")).agg(
+    inside = F.pmod(F.col("__pos") - 1, F.lit(SENTENCE_WORDS))
+    both = F.when((cut > 0) & (inside < CONTEXT_WORDS), F.array(cut, cut - 1)).otherwise(F.array(cut))
+    grouped = placed.withColumn("__sentence", F.explode(both)).groupBy(roles.user, "__sentence").agg(
         F.array_sort(F.collect_list(F.struct(F.col("__pos").alias("pos"), word.alias("word")))).alias("__w")
     )
     return grouped.select(roles.user, F.col("__w")["word"].alias("sentence"))
 
 
-def value_vectors(sentences: DataFrame, size: int = 10, iterations: int = 20, seed: int = 2020, parts: int = 1) -> DataFrame:
-    """Skip-gram vectors of the values: rows (value, vector array)."""
+def value_vectors(sentences: DataFrame, size: int = 10, iterations: int = 20, seed: int = 2020) -> DataFrame:
+    """Skip-gram vectors of the values: rows (value, vector array). The number of partitions follows the sentences."""
+    sentences = reliable_checkpoint(sentences)
+    parts = max(2, -(-sentences.count() // PART_SENTENCES))
     model = Word2Vec(
         vectorSize=size,
-        windowSize=10,
+        windowSize=CONTEXT_WORDS,
         minCount=1,
         maxIter=iterations,
         seed=seed,
         numPartitions=parts,
-        maxSentenceLength=SENTENCE_WORDS,
+        maxSentenceLength=SENTENCE_WORDS + CONTEXT_WORDS,
         inputCol="sentence",
         outputCol="vector",
     ).fit(sentences)

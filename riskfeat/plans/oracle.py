@@ -48,9 +48,9 @@ sess AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY timestamp, seq)
 
 
 def r(expr: str, digits: int = 6) -> str:
-    """Rounded through a decimal of 12 places, as the queries are."""
+    """Rounded through a decimal of 9 places, as the queries are."""
     double = f"CAST({expr} AS DOUBLE)"
-    return f"(coalesce(CAST(round(TRY_CAST({double} AS DECIMAL(38,12)), {digits}) AS DOUBLE), round({double}, {digits})) + 0.0)"
+    return f"(coalesce(CAST(round(TRY_CAST({double} AS DECIMAL(38,9)), {digits}) AS DOUBLE), round({double}, {digits})) + 0.0)"
 
 
 def stat(kind: str, x: str, where: str | None = None) -> str:
@@ -337,6 +337,34 @@ def _event_encoders() -> str:
     return f"SELECT * FROM {parts['me']} a JOIN {parts['js']} b USING (user_id)"
 
 
+SMOOTH_WOE_CODE = "CASE WHEN n0 > 1 THEN ln(((s0 + 1.0) / (s + 2.0)) / ((n0 - s0 + 1.0) / (n - s + 2.0))) ELSE 0.0 END"
+LOO_CODE = "CASE WHEN n0 > 1 THEN s0 * 1.0 / n0 END"
+
+
+def _event_transforms() -> str:
+    parts = []
+    for name, code, unseen in (
+        ("woe", SMOOTH_WOE_CODE, "0.0"), ("loo", LOO_CODE, "tot.s * 1.0 / tot.n"), ("cbt", ME_CODE, "tot.s * 1.0 / tot.n"),
+    ):
+        cols = ", ".join(f"{r(f'avg(coalesce({c}_te, {unseen}))')} AS {c}_{name}_mean" for c in ("ip", "k7"))
+        parts.append(
+            f"""(WITH {_event_codes(('ip', 'k7'), False, code)}
+          SELECT user_id, {cols} FROM coded JOIN tot USING (t) GROUP BY 1)"""
+        )
+    return f"SELECT * FROM {parts[0]} a JOIN {parts[1]} b USING (user_id) JOIN {parts[2]} c USING (user_id)"
+
+
+FILES = f"""WITH {ACT}, trans AS (
+  SELECT user_id, count(*) AS n_trans, sum(amount) AS amount_sum FROM act WHERE property = 'trans' GROUP BY 1),
+op AS (SELECT user_id, count(*) AS n_op, max(timestamp) AS last_op FROM act WHERE property = 'op' GROUP BY 1)
+SELECT CAST(c_custkey AS VARCHAR) AS user, CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_acctbal < 0 AS BIGINT) END AS label,
+  c_mktsegment AS sex, CAST(c_nationkey AS BIGINT) AS province,
+  CASE WHEN c_custkey % 7 > 0 THEN CAST(c_custkey % 90 + 0.5 AS DOUBLE) END AS age,
+  CASE WHEN c_custkey % 3 > 0 THEN 'level ' || c_custkey % 20 END AS balance,
+  n_trans, {r('amount_sum')} AS amount_sum, n_op, last_op
+FROM customer LEFT JOIN trans ON trans.user_id = c_custkey LEFT JOIN op ON op.user_id = c_custkey"""
+
+
 TOP = (
     ACT
     + """, top AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY timestamp, rank, seq) AS pos,
@@ -555,6 +583,7 @@ def oracle() -> dict[str, str]:
         "m_estimate": _refits(ME_CODE, "prior", "me"),
         "james_stein": _refits(JS_CODE, "prior", "js"),
         "leave_one_out": _leave_one_out(),
+        "leave_one_out_folds": _refits(LOO_CODE, "prior", "loo"),
         "ordered_target": _ordered_rows(),
         "ordered_target_encode": _ordered_encode(),
         "event_target_encode": _event_stats(),
@@ -562,6 +591,11 @@ def oracle() -> dict[str, str]:
         "event_target_encode_rows": f"""WITH {_event_codes(EVENT_FEATURES, False)} SELECT seq, user_id, {', '.join(
             f"{r(f'{c}_te')} AS {c}_te" for c in EVENT_FEATURES)} FROM coded""",
         "event_category_encoders": _event_encoders(),
+        "event_transform_encoders": _event_transforms(),
+        "files_to_input": FILES,
+        "fold_score_contract": f"""WITH {PROF} SELECT user_id, CASE WHEN label IS NULL THEN 'test' ELSE 'oof' END AS split,
+            CAST(CASE WHEN label IS NULL THEN 5 ELSE 1 END AS BIGINT) AS n_models, CAST(0 AS BIGINT) AS off,
+            CAST(1 AS BIGINT) AS in_range FROM prof""",
         "user_sequences": f"""WITH {TOP}, {_appearance('event_type')}, {_appearance('k7')},
             m AS (SELECT avg(hour) AS a, stddev_samp(hour) AS s FROM top)
             SELECT user_id, string_agg(c_event_type.code, ',' ORDER BY pos) AS event_type,

@@ -11,7 +11,8 @@ from riskfeat.functions.scalars import composite_key, one_vs_rest, ordinal, with
 from riskfeat.functions.stats import BASIC, SPREAD, WITH_STD, Stat, stats_of
 from riskfeat.operators import behaviour, encoders, folds, grouping, popularity, profile, scoring, sequences, sessions
 from riskfeat.operators import vectors
-from riskfeat.plans import feature_matrix, tables
+from riskfeat.plans import feature_matrix, input_files, tables
+from riskfeat.sources.readers import read_risk_input
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -30,7 +31,7 @@ def query(f: Query) -> Query:
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Comparable figures: decimals and doubles rounded, spreads to 4 digits, no -0.0.
 
-    Figures pass through a decimal of 12 places, so that the last bits of a double do not decide a tie.
+    Figures pass through a decimal of 9 places, so that the last bits of a double do not decide a tie.
     """
     kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
     out = []
@@ -38,7 +39,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         if kind in ("double", "float") or kind.startswith("decimal"):
             places = 4 if any(s in c for s in FOUR_DIGITS) else digits
             figure = F.col(c).cast("double")
-            exact = F.round(figure.try_cast("decimal(38,12)"), places).cast("double")
+            exact = F.round(figure.try_cast("decimal(38,9)"), places).cast("double")
             out.append((F.coalesce(exact, F.round(figure, places)) + F.lit(0.0)).alias(c))
         elif kind in ("integer", "short", "byte"):
             out.append(F.col(c).cast("long").alias(c))
@@ -440,6 +441,11 @@ def leave_one_out(spark, folder):
     return rounded(encoders.leave_one_out_encode(tables.profile(spark, folder), CATEGORIES))
 
 
+@query
+def leave_one_out_folds(spark, folder):
+    return rounded(encoders.oof_encode(tables.profile(spark, folder), CATEGORIES, "leave_one_out", suffix="loo"))
+
+
 @query
 def ordered_target(spark, folder):
     return rounded(encoders.ordered_target_rows(tables.profile(spark, folder), CATEGORIES, "user_id"))
@@ -482,6 +488,16 @@ def event_category_encoders(spark, folder):
     return rounded(parts[0].join(parts[1], "user_id"))
 
 
+@query
+def event_transform_encoders(spark, folder):
+    rows, known = tables.logs(spark, folder), tables.labels(spark, folder)
+    parts = [
+        encoders.event_target_encode(rows, known, ("ip", "k7"), ("mean",), method, suffix=suffix)
+        for method, suffix in (("smooth_woe", "woe"), ("leave_one_out", "loo"), ("ordered", "cbt"))
+    ]
+    return rounded(parts[0].join(parts[1], "user_id").join(parts[2], "user_id"))
+
+
 # -- sequences and vectors
 
 
@@ -616,6 +632,32 @@ def gbt_oof_scores(spark, folder):
     return scoring.gbt_oof_scores(matrix, scoring.feature_columns(matrix), tables.FOLDS, SMALL_TREES)
 
 
+@query
+def fold_score_contract(spark, folder):
+    """How many fold models score each user, and how far the score table is from their mean."""
+    matrix = feature_matrix.star_matrix(spark, folder)
+    features = scoring.feature_columns(matrix)[:40]
+    every = scoring.fold_scores(matrix, features, tables.FOLDS, SMALL_TREES)
+    table = scoring.average_fold_scores(every, "gbt", SMALL_TREES.seed, "all")
+    n = every.groupBy("user_id", "split").agg(F.count(F.lit(1)).alias("n_models"), F.avg("score").alias("mean_score"))
+    off = F.abs(F.col("score") - F.col("mean_score")) > 1e-9
+    return n.join(table, ["user_id", "split"]).select(
+        "user_id", "split", "n_models", off.cast("long").alias("off"), F.col("score").between(0, 1).cast("long").alias("in_range")
+    )
+
+
+@query
+def files_to_input(spark, folder):
+    """Customers and events written as the seven input files and read back, with figures per user."""
+    root = input_files.write_input_files(spark, folder)
+    source = read_risk_input(spark, root)
+    trans = source.trans.groupBy("user").agg(F.count(F.lit(1)).alias("n_trans"), F.sum("amount").alias("amount_sum"))
+    op = source.op.groupBy("user").agg(F.count(F.lit(1)).alias("n_op"), F.max("timestamp").alias("last_op"))
+    out = source.profile.join(trans, "user", "left").join(op, "user", "left")
+    chosen = out.select("user", "label", "sex", "province", "age", "balance", "n_trans", "amount_sum", "n_op", "last_op")
+    return rounded(chosen)
+
+
 @query
 def feature_set_ablation(spark, folder):
     matrix = feature_matrix.star_matrix(spark, folder)

@@ -132,12 +132,13 @@ def test_svd_spans_the_right_space(spark):
     assert np.allclose(np.linalg.norm(got, axis=0), s[:4])
 
 
-def test_sentences_keep_order_and_are_bounded(spark, monkeypatch):
+def test_sentences_keep_order_and_overlap(spark, monkeypatch):
     monkeypatch.setattr(vectors, "SENTENCE_WORDS", 4)
+    monkeypatch.setattr(vectors, "CONTEXT_WORDS", 2)
     rows = [("u", t, t, f"w{t}") for t in range(10)]
     df = spark.createDataFrame(rows, "user_id string, timestamp long, seq long, v string")
     found = sorted(r["sentence"] for r in vectors.value_sentences(df, "v").collect())
-    assert found == [["w0", "w1", "w2", "w3"], ["w4", "w5", "w6", "w7"], ["w8", "w9"]]
+    assert found == [[f"w{i}" for i in span] for span in (range(0, 6), range(4, 10), range(8, 10))]
 
 
 def test_auc_of_random_scores(spark):
