@@ -17,7 +17,7 @@ from riskfeat.functions.scalars import composite_key, one_vs_rest, ordinal, with
 from riskfeat.functions.stats import BASIC, SPREAD, WITH_STD, ratio, stats_of
 from riskfeat.operators import behaviour, encoders, grouping, popularity, profile, scoring, sequences, sessions, vectors
 from riskfeat.operators.folds import stratified_folds
-from riskfeat.plans.feature_matrix import assemble_written, behaviour_block, feature_sets, property_pivot
+from riskfeat.plans.feature_matrix import assemble, behaviour_block, feature_sets, property_pivot
 from riskfeat.roles import EventRoles, LabelRoles
 from riskfeat.sources.readers import NUMBER_COLUMNS, ORDINAL_COLUMNS, PLACE_COLUMNS, TEXT_COLUMNS, RiskInput
 from riskfeat.sources.sinks import drop_features, write_block
@@ -149,12 +149,13 @@ def profile_blocks(people: DataFrame) -> dict[str, DataFrame]:
 
 
 def category_block(people: DataFrame, behaving: DataFrame) -> DataFrame:
-    """Alphabetical codes of the text columns, and indicators of the risky provinces."""
+    """Alphabetical codes of the text columns and composite keys, and indicators of the risky provinces."""
     ends = ["last_behaviour", "first_behaviour"]
     flags = one_vs_rest("province", RISKY_PROVINCES)
-    text = people.select(USER, *TEXT_COLUMNS, *[x.alias(n) for n, x in flags.items()])
+    keyed = combined_profile_keys(people)
+    text = keyed.select(USER, *TEXT_COLUMNS, *PROFILE_KEYS, *[x.alias(n) for n, x in flags.items()])
     joined = text.join(behaving.select(USER, *ends), USER, "left")
-    return profile.label_encode(joined, [*TEXT_COLUMNS, "binary_province", *ends])
+    return profile.label_encode(joined, [*TEXT_COLUMNS, *PROFILE_KEYS, "binary_province", *ends])
 
 
 def entity_columns(people: DataFrame) -> DataFrame:
@@ -281,12 +282,14 @@ def supplementary_blocks(logs: Logs) -> dict[str, DataFrame]:
     }
 
 
-def build_matrix(
+def build_matrices(
     source: RiskInput, folder: str, settings: RunSettings = RunSettings(), supplementary: bool = False
-) -> DataFrame:
-    """The feature matrix: user, label, fold and one numeric column per feature."""
-    folded = stratified_folds(source.profile, settings.folds, settings.trees.seed, USER, "label")
-    people = write_block(folded, f"{folder}/people")
+) -> dict[int, DataFrame]:
+    """The feature matrix of every seed: user, label, fold and one numeric column per feature.
+
+    A seed draws its own folds, and with them its own target encodings; all other blocks are computed once.
+    """
+    people = write_block(source.profile, f"{folder}/people")
     prepared = prepare_logs(source)
     logs = Logs(*[write_block(getattr(prepared, n), f"{folder}/log_{n}") for n in ("trans", "op", "both")])
     behaving = write_block(behaviour_block(logs.both, EVENTS), f"{folder}/behaviour")
@@ -297,24 +300,41 @@ def build_matrix(
         **op_blocks(logs.op, settings),
         **log_blocks(logs.both),
         "log_behaviour": behaving.drop("last_behaviour", "first_behaviour"),
-        **encoding_blocks(people, logs),
         **(supplementary_blocks(logs) if supplementary else {}),
     }
-    wide = assemble_written(entity_columns(people), blocks, f"{folder}/blocks", USER)
-    return write_block(drop_features(wide, settings.drop), f"{folder}/matrix")
+    shared = [write_block(block, f"{folder}/blocks/{name}") for name, block in blocks.items()]
+    out = {}
+    for seed in settings.runs:
+        folded = write_block(
+            stratified_folds(people, settings.folds, seed, USER, "label"), f"{folder}/people_{seed}"
+        )
+        coded = [
+            write_block(block, f"{folder}/blocks_{seed}/{name}") for name, block in encoding_blocks(folded, logs).items()
+        ]
+        wide = assemble(entity_columns(folded), [*shared, *coded], USER)
+        # a user without events has a code of its own
+        wide = wide.withColumn("has_trans", F.coalesce("has_trans", F.lit(-1)))
+        out[seed] = write_block(drop_features(wide, settings.drop), f"{folder}/matrix_{seed}")
+    return out
 
 
-def score_runs(matrix: DataFrame, settings: RunSettings = RunSettings()) -> DataFrame:
-    """The score table of every (feature set, seed) run."""
-    features = scoring.feature_columns(matrix, LABELS)
-    named = feature_sets(features, profile.cross_names(NUMBER_COLUMNS))
-    runs = [
-        scoring.gbt_oof_scores(
-            matrix, named[name], settings.folds, replace(settings.trees, seed=seed), LABELS, feature_set=name
-        )
-        for seed, names in settings.runs.items()
-        for name in names
-    ]
+def build_matrix(
+    source: RiskInput, folder: str, settings: RunSettings = RunSettings(), supplementary: bool = False
+) -> DataFrame:
+    """The feature matrix of the first seed."""
+    first = next(iter(settings.runs))
+    return build_matrices(source, folder, replace(settings, runs={first: settings.runs[first]}), supplementary)[first]
+
+
+def score_runs(matrices: Mapping[int, DataFrame], settings: RunSettings = RunSettings()) -> DataFrame:
+    """The score table of every (feature set, seed) run; the trees keep one seed, the folds have the run's."""
+    runs = []
+    for seed, names in settings.runs.items():
+        matrix = matrices[seed]
+        named = feature_sets(scoring.feature_columns(matrix, LABELS), profile.cross_names(NUMBER_COLUMNS))
+        for name in names:
+            every = scoring.fold_scores(matrix, named[name], settings.folds, settings.trees, LABELS)
+            runs.append(scoring.average_fold_scores(every, "gbt", seed, name, LABELS))
     return reduce(DataFrame.unionByName, runs)
 
 
@@ -366,7 +386,3 @@ def sequence_inputs(source: RiskInput, folder: str, folds: int = 5, seed: int =
 def combined_profile_keys(people: DataFrame) -> DataFrame:
     """The profile with its composite category keys."""
     return people.select("*", *[composite_key(*parts).alias(name) for name, parts in PROFILE_KEYS.items()])
-
-
-def read_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/matrix")

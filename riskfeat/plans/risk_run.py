@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskfeat.operators import scoring
 from riskfeat.plans.feature_matrix import BLEND_FAMILIES, BLEND_WEIGHTS
-from riskfeat.plans.risk_features import USER, RunSettings, build_matrix, evaluate, score_runs
+from riskfeat.plans.risk_features import USER, RunSettings, build_matrices, evaluate, score_runs
 from riskfeat.roles import LabelRoles
 from riskfeat.sources.readers import read_risk_input
 from riskfeat.sources.sinks import read_scores, write_scores, write_submission
@@ -52,8 +52,8 @@ def run(
     table. Without them the blend is made of the tree families alone.
     """
     source = read_risk_input(spark, root)
-    matrix = build_matrix(source, f"{work}/features", settings)
-    write_scores(score_runs(matrix, settings), f"{work}/scores")
+    matrices = build_matrices(source, f"{work}/features", settings)
+    write_scores(score_runs(matrices, settings), f"{work}/scores")
     if other_scores is not None:
         write_scores(other_scores, f"{work}/scores")
     if families is None:

@@ -16,7 +16,7 @@ SETTINGS = risk_features.RunSettings(
     folds=2,
     vector_rounds=1,
     trees=scoring.TreeSettings(rounds=2, depth=3, step=0.3),
-    runs={2020: ("all", "without_crosses")},
+    runs={2020: ("all", "without_crosses"), 779: ("without_crosses",)},
     drop=("trans_hour_std",),
 )
 FAMILIES = {
@@ -38,8 +38,18 @@ def source(spark, work):
 
 
 @pytest.fixture(scope="module")
-def matrix(source, work):
-    return risk_features.build_matrix(source, f"{work}/features", SETTINGS)
+def matrices(source, work):
+    return risk_features.build_matrices(source, f"{work}/features", SETTINGS)
+
+
+@pytest.fixture(scope="module")
+def matrix(matrices):
+    return matrices[2020]
+
+
+def test_seeds_draw_their_own_folds(matrices):
+    folds = [{r["user"]: r["fold"] for r in m.select("user", "fold").collect()} for m in matrices.values()]
+    assert folds[0] != folds[1] and folds[0].keys() == folds[1].keys()
 
 
 def test_input(source):
@@ -59,13 +69,14 @@ def test_matrix(source, matrix):
     sums = {r["user"]: r["s"] for r in source.trans.groupBy("user").agg(F.sum("amount").alias("s")).collect()}
     for r in matrix.select("user", "amount_sum", "has_trans").collect():
         assert r["amount_sum"] == sums.get(r["user"])
+        assert r["has_trans"] is not None
 
 
-def test_scores_and_blend(spark, source, matrix, work):
-    scores = risk_features.score_runs(matrix, SETTINGS)
+def test_scores_and_blend(spark, source, matrices, work):
+    scores = risk_features.score_runs(matrices, SETTINGS)
     write_scores(scores, f"{work}/scores")
     stored = read_scores(spark, f"{work}/scores")
-    assert stored.count() == 2 * 80
+    assert stored.count() == 3 * 80
     aucs = risk_run.blend_and_write(stored, source.labels, f"{work}/out", FAMILIES, {"full": 0.7, "lean": 0.3})
     # the made labels follow one category, which out-of-fold trees must find
     assert all(r["auc"] > 0.6 for r in aucs.collect())
