@@ -40,6 +40,7 @@ FLAGS = 4
 SLOT = {"number": 0x1F83D9AB, "name": 0x5BE0CD19, "unit": 0x9B05688C}
 # what it takes from the sides of a word; the inside stays
 _MARKS = re.compile(r"^[^\w$€£%+-]+|[^\w$€£%]+$")
+_SENTENCE_END = re.compile(r"[.!?:;][\"'”’)\]]*$")
 _NUMBER = re.compile(r"^[+-]?[$€£]?[0-9][0-9.,:/]*[%$€£]?$")
 
 
@@ -49,20 +50,25 @@ class TemplateWords(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        text = word.decode("utf-8", "replace")
-        core = _MARKS.sub("", text)
-        low = core.lower()
-        kind = KIND_NUMBER if _NUMBER.match(core) else KIND_UNIT if low in _UNIT_SET else KIND_WORD
-        ends = bool(re.search(r"[.!?:;][\"'”’)\]]*$", text)) or not core
-        flags = kind | CAPITAL * core[:1].isupper() | ENDS * ends
-        found = (xxhash.xxh3_64_intdigest(low.encode()) >> FLAGS << FLAGS) | flags
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = found
+        stem, ends = (word[:-1], word[-1:] != b",") if word[-1:] in (b".", b",", b"!", b"?", b";", b":") else (word, False)
+        if stem.isalpha():
+            # letters A-Z, perhaps with one closing mark: what the patterns below would find, without them
+            low = stem.lower()
+            flags = (KIND_UNIT if low in _UNIT_SET else KIND_WORD) | CAPITAL * stem[:1].isupper() | ENDS * ends
+        else:
+            text = word.decode("utf-8", "replace")
+            core = _MARKS.sub("", text)
+            low = core.lower().encode()
+            kind = KIND_NUMBER if _NUMBER.match(core) else KIND_UNIT if low in _UNIT_SET else KIND_WORD
+            ends = bool(_SENTENCE_END.search(text)) or not core
+            flags = kind | CAPITAL * core[:1].isupper() | ENDS * ends
+        found = (xxhash.xxh3_64_intdigest(low) >> FLAGS << FLAGS) | flags
+        if len(self) < CACHED_WORDS:
+            self[word] = found
         return found
 
 
-_UNIT_SET = frozenset(UNITS)
+_UNIT_SET = frozenset(u.encode() for u in UNITS)
 _WORDS = TemplateWords()
 
 
