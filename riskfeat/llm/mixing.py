@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskfeat.llm.text import WORD, fresh, word_count, written
+from riskfeat.llm.text import WORD, broadcast_if_small, fresh, word_count, written
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -98,7 +98,7 @@ def mix_plan(
         F.greatest(F.lit(1), F.ceil(F.col("n_docs") / range_rows)).alias("ranges"),
     )
     by_key = (
-        sized.join(goals, "source_key")
+        sized.join(broadcast_if_small(goals), "source_key")
         .where(F.col("rest") > 0)
         .select(
             "source_key",
@@ -135,7 +135,8 @@ def mix_plan(
             F.ceil((F.col("rest") - F.col("before")) * F.col("size") / F.col("total")).cast("long").alias("cut_words"),
         )
     )
-    return sized, written(goals.select("source_key", "source_size", "target", "whole").join(cut, "source_key", "left"), "cuts")
+    cuts = goals.select("source_key", "source_size", "target", "whole").join(cut, "source_key", "left")
+    return sized, broadcast_if_small(written(cuts, "cuts"))
 
 
 def _part(key: Column, size: Column) -> Column:

@@ -58,12 +58,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of the keys in which NULL equals NULL."""
-    match = F.lit(True)
-    for key in keys:
-        match = match & left[key].eqNullSafe(right[key])
-    return match
+BROADCAST_ROWS = 20_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Marked for broadcast if it has at most ``rows`` narrow rows, which is counted; else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
