@@ -77,7 +77,7 @@ def lines_that_go(docs, percent=80):
     found = []
     for i, t in docs:
         for k, line in enumerate((t or "").split("\n")):
-            w = frozenset(low_words(line))
+            w = frozenset(words(line.lower()))
             if w:
                 found.append(((i, k), w))
     found.sort(key=lambda x: x[0])
