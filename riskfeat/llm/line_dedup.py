@@ -1,6 +1,6 @@
 """Near-duplicate lines by an exact set-similarity join.
 
-A line is the set of its words (A-Z in lower case). Lines with equal sets are one class. The words of a line are put in
+A line is the set of its words in lower case. Lines with equal sets are one class. The words of a line are put in
 an order that is the same for all lines, rarest first; two sets with a Jaccard similarity of at least t then share a
 word among the first n - ceil(t n) + 1 of each. Pairs that share such a word pass a length filter and a
 positional filter and are verified on the whole sets. A line goes if an earlier one, by document and
@@ -8,42 +8,44 @@ place, is similar enough.
 
 Rarity: the ``FREQUENT`` most frequent words of the corpus are ordered by their exact counts; every other word is
 rarer than these and comes before them, longer words first. Any fixed order finds all pairs; rare words
-just make the candidate lists short.
+just make the candidate lists short. Words are 64-bit numbers that sort by length, then by hash.
 
 Lists of candidates are worked off in two rounds. First each class meets the earliest class of each of its lists;
 a class that is similar to that one is settled, since one earlier match is enough. Only classes that are still open
-meet the other classes of their lists.
+meet the other classes of their lists. Whole sets are made again from the texts, for candidates only:
+stored for all lines they would be several times the input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskfeat.llm.text import let, lower_ascii, words, written
+from riskfeat.llm.text import broadcast_if_small, let, words, written
 
 PERCENT = 80
-FREQUENT = 512
+FREQUENT = 128
 MIN_WORDS = 1
+BROADCAST_LINES = 500_000
+
+
+def word_key(word: Column) -> Column:
+    """A number for a word: longer words have smaller ones, words of a length are in the order of their hash."""
+    short = F.lit(63) - F.least(F.length(word), F.lit(63))
+    return F.shiftleft(short.cast("long"), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 7))
 
 
 def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[str]:
     """The most frequent words of all texts, the rarest of them first."""
-    every = docs.select(F.explode(words(lower_ascii(F.col("text")))).alias("word"))
+    every = docs.select(F.explode(words(F.lower("text"))).alias("word"))
     top = every.groupBy("word").count().orderBy(F.col("count").desc(), "word").limit(most)
     return [r["word"] for r in reversed(top.collect())]
 
 
-def ordered_words(line: Column, frequent: list[str]) -> Column:
-    """The distinct words of a line, rarest first."""
-    usual = F.lit(frequent) if frequent else F.array().cast("array<string>")
-
-    def order(distinct: Column) -> Column:
-        rare = F.array_except(distinct, usual)
-        by_length = F.sort_array(F.transform(rare, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
-        return F.concat(F.transform(by_length, lambda s: s["w"]), F.array_intersect(usual, distinct))
-
-    return let(F.array_distinct(words(lower_ascii(line))), order)
+def ordered_keys(line: Column, usual: Column) -> Column:
+    """The distinct words of a line as numbers, rarest first."""
+    keys = F.array_distinct(F.transform(words(F.lower(line)), word_key))
+    return let(keys, lambda k: F.concat(F.sort_array(F.array_except(k, usual)), F.array_intersect(usual, k)))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -63,65 +65,86 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MI
     Lines with fewer than ``min_words`` different words are left alone, as are lines without words. Lines
     are in the order of doc_id (NULL first) and line number; repeated documents follow each other.
     """
-    frequent = frequent_words(docs)
-    hashes = F.transform(ordered_words(F.col("line"), frequent), lambda w: F.xxhash64(w))
-    lines = lines_of(docs).select(F.struct("doc_id", "line_no").alias("at"), hashes.alias("set"))
-    lines = lines.where(F.size("set") >= min_words)
-    # equal sets have their words in the same order, so the hash of the array names the set
-    named = written(lines.select("at", F.xxhash64("set").alias("set_id"), "set"), "lines")
-    classes = named.groupBy("set_id").agg(F.min("at").alias("at"), F.first("set").alias("set"))
-    classes = written(classes.withColumn("n", F.size("set")), "line-classes")
-
-    prefixes = classes.select(
-        "set_id",
-        "at",
-        "n",
-        F.posexplode(F.slice("set", F.lit(1), _first(F.col("n"), percent))).alias("place", "word"),
+    frequent = docs.sparkSession.range(1).select(
+        F.transform(F.lit(frequent_words(docs)).cast("array<string>"), word_key).alias("keys")
+    )
+    # at most FREQUENT numbers
+    usual = F.lit(frequent.head()["keys"] or []).cast("array<bigint>")
+    keyed = lines_of(docs).select("doc_id", "line_no", ordered_keys(F.col("line"), usual).alias("keys"))
+    n = F.size("keys")
+    lines = written(
+        keyed.where(n >= min_words).select(
+            "doc_id",
+            "line_no",
+            # equal sets have their words in the same order, so the hash of the array names the set
+            F.xxhash64("keys").alias("set_id"),
+            n.alias("n"),
+            F.slice("keys", F.lit(1), _first(n, percent)).alias("prefix"),
+        ),
+        "lines",
     )
-    shared = prefixes.groupBy("word").agg(F.count(F.lit(1)).alias("lists"), F.min(F.struct("at", "set_id", "n", "place")).alias("first"))
-    shared = written(shared.where("lists > 1").select("word", "first"), "lists")
+    at = F.struct("doc_id", "line_no").alias("at")
+    classes = lines.groupBy("set_id").agg(F.min(at).alias("at"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    # one row per class and word of its prefix, with the earliest of the word's list
+    entries = classes.select("at.doc_id", "at.line_no", "n", F.posexplode("prefix").alias("place", "word"))
+    listed = entries.select("word", F.struct("doc_id", "line_no", "n", "place").alias("me"))
+    whole_list = Window.partitionBy("word")
+    listed = listed.select(
+        "word", "me", F.min("me").over(whole_list).alias("first"), F.count(F.lit(1)).over(whole_list).alias("lists")
+    )
+    listed = written(listed.where("lists > 1").drop("lists"), "listed")
 
-    def fitting(n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Column:
+    def fitting(one: str, two: str) -> Column:
         """Length filter, and what can still be shared after the first common word."""
-        small, large = F.least(n_a, n_b), F.greatest(n_a, n_b)
+        n_a, n_b, place_a, place_b = (F.col(f"{side}.{c}") for c in ("n", "place") for side in (one, two))
         rest = F.least(n_a - place_a, n_b - place_b)
-        return (100 * small >= percent * large) & ((100 + percent) * rest >= percent * (n_a + n_b))
-
-    sets = classes.select("set_id", "set")
+        length = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+        return length & ((100 + percent) * rest >= percent * (n_a + n_b))
+
+    def before(one: str, two: str) -> Column:
+        return F.struct(f"{one}.doc_id", f"{one}.line_no") < F.struct(f"{two}.doc_id", f"{two}.line_no")
+
+    def pairs_of(candidates: DataFrame, earlier: str, later: str) -> DataFrame:
+        chosen = candidates.where(before(earlier, later) & fitting(earlier, later))
+        place = lambda side: F.struct(f"{side}.doc_id", f"{side}.line_no")
+        return chosen.select(place(later).alias("later"), place(earlier).alias("earlier")).distinct()
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """(at, set) of the lines in the pairs."""
+        needed = pairs.select(F.explode(F.array("later", "earlier")).alias("at")).distinct()
+        # a document has a bounded number of lines
+        by_doc = needed.groupBy(F.col("at.doc_id").alias("__doc")).agg(F.collect_set("at.line_no").alias("__lines"))
+        by_doc = broadcast_if_small(written(by_doc, "needed"), BROADCAST_LINES)
+        # of rows that repeat a document any one will do: those with the class's text
+        texts = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("__doc")))
+        split = texts.select("doc_id", "__lines", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        chosen = split.where(F.array_contains("__lines", F.col("line_no")))
+        return chosen.select(at, ordered_keys(F.col("line"), usual).alias("set")).dropDuplicates(["at"])
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """(later, earlier, at) of the pairs whose sets are similar enough."""
-        both = (
-            pairs.distinct()
-            .join(sets.withColumnsRenamed({"set_id": "later", "set": "set_a"}), "later")
-            .join(sets.withColumnsRenamed({"set_id": "earlier", "set": "set_b"}), "earlier")
+        """(later, earlier) of the pairs whose sets are similar enough."""
+        pairs = written(pairs, "line-pairs")
+        sets = written(sets_of(pairs), "line-sets")
+        both = pairs.join(sets.select(F.col("at").alias("later"), F.col("set").alias("set_a")), "later").join(
+            sets.select(F.col("at").alias("earlier"), F.col("set").alias("set_b")), "earlier"
         )
         common = F.size(F.array_intersect("set_a", "set_b"))
-        enough = 100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)
-        return both.where(enough).select("later", "earlier", "at")
-
-    listed = written(prefixes.join(shared, "word"), "listed")
-    stars = listed.where(
-        (F.col("first.at") < F.col("at")) & fitting(F.col("n"), F.col("place"), F.col("first.n"), F.col("first.place"))
-    ).select(F.col("set_id").alias("later"), F.col("first.set_id").alias("earlier"), F.col("first.at").alias("at"))
-    settled = written(similar(stars), "settled")
-    rest = listed.join(settled.select(F.col("later").alias("set_id")).distinct(), "set_id", "left_anti")
-    mine = rest.select("word", F.col("set_id").alias("later"), F.col("at").alias("at_a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"))
-    others = listed.where(F.col("set_id") != F.col("first.set_id")).select(
-        "word", F.col("set_id").alias("earlier"), "at", F.col("n").alias("n_b"), F.col("place").alias("place_b")
-    )
-    more = (
-        mine.join(others, "word")
-        .where((F.col("at") < F.col("at_a")) & fitting(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b")))
-        .select("later", "earlier", "at")
+        return both.where(100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)).select("later", "earlier")
+
+    settled = written(similar(pairs_of(listed, "first", "me")), "settled")
+    done = settled.select(F.col("later.doc_id").alias("d"), F.col("later.line_no").alias("l")).distinct()
+    mine = listed.where(F.col("me") != F.col("first")).join(
+        done, F.col("me.doc_id").eqNullSafe(F.col("d")) & (F.col("me.line_no") == F.col("l")), "left_anti"
     )
-    matched = settled.unionByName(similar(more)).groupBy("later").agg(F.min("at").alias("like"))
-    firsts = classes.select(F.col("set_id").alias("later"), F.col("at").alias("first_at"))
+    others = listed.where(F.col("me") != F.col("first")).select("word", F.col("me").alias("other"))
+    more = similar(pairs_of(mine.select("word", "me").join(others, "word"), "other", "me"))
+    matched = settled.unionByName(more).groupBy("later").agg(F.min("earlier").alias("like"))
     # of a class the later lines go; its first goes too if an earlier class is similar
-    known = firsts.join(matched, "later", "left")
+    firsts = lines.groupBy("set_id").agg(F.min(at).alias("first_at"))
+    known = firsts.join(matched, F.col("first_at").eqNullSafe(F.col("later")), "left").select("set_id", "first_at", "like")
     return (
-        named.select("at", F.col("set_id").alias("later"))
-        .join(known, "later")
+        lines.select(at, "set_id")
+        .join(known, "set_id")
         .select("at", F.coalesce("like", F.when(F.col("first_at") < F.col("at"), F.col("first_at"))).alias("like"))
         .where("like IS NOT NULL")
         .select("at.doc_id", "at.line_no", F.col("like.doc_id").alias("like_doc"), F.col("like.line_no").alias("like_line"))
