@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskfeat.functions.stats import Stat, stats_of
-from riskfeat.operators.skew import UNKNOWN, Hot, all_present, split_hot
+from riskfeat.operators.skew import UNKNOWN, Hot, all_present, hot_row_limit, split_hot
+from riskfeat.session import reliable_checkpoint
 
 BINS = 4096
-ROUNDS = 2
 
 
 def grouped_stats(
@@ -42,11 +42,12 @@ def grouped_stats(
         return plain
     ordered = [s for s in stats if s.quantile is not None]
     combined = [s.expression() for s in stats if s.quantile is None] or [F.count(F.lit(1)).alias("__rows")]
-    spread = heavy.groupBy(*keys).agg(*combined).join(_hot_quantiles(heavy, keys, ordered), keys, "left")
+    limit = hot_row_limit(df.sparkSession, hot_rows)
+    spread = heavy.groupBy(*keys).agg(*combined).join(_hot_quantiles(heavy, keys, ordered, limit), keys, "left")
     return plain.unionByName(spread.select(*plain.columns))
 
 
-def _hot_quantiles(heavy: DataFrame, keys: list[str], stats: list[Stat]) -> DataFrame:
+def _hot_quantiles(heavy: DataFrame, keys: list[str], stats: list[Stat], limit: int) -> DataFrame:
     slots = F.array(
         *[
             F.struct(
@@ -73,8 +74,14 @@ def _hot_quantiles(heavy: DataFrame, keys: list[str], stats: list[Stat]) -> Data
         .agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"), F.sum("__w").alias("__n"))
         .select(*group, "__lo", "__hi", rank.alias("__rank"), F.lit(0).cast("long").alias("__below"))
     )
-    for _ in range(ROUNDS):
-        around = _narrow(values, around, group)
+    values = reliable_checkpoint(values)
+    # outliers can leave most values in one bin: narrow while a task would get more than the limit and it helps
+    before, most = None, limit + 1
+    while most > limit and most != before:
+        before = most
+        around = reliable_checkpoint(_narrow(values, around, group))
+        sizes = _inside(values, around, group).groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        most = sizes.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).head()["n"]
     kept = _inside(values, around, group)
     cumulative = F.sum("__w").over(Window.partitionBy(*group).orderBy("__x").rowsBetween(Window.unboundedPreceding, 0))
     ranked = kept.select("*", (F.col("__below") + cumulative).alias("__upto"))

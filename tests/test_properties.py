@@ -25,7 +25,8 @@ def test_leave_fold_out_equals_refits(spark):
 @pytest.mark.parametrize("limit", [1, 7, 10**6])
 def test_quantiles_of_a_hot_key(spark, limit):
     rng = random.Random(limit)
-    numbers = {"hot": [rng.lognormvariate(3, 4) for _ in range(301)] + [1e15], "cold": [2.0, 9.0], "flat": [5.0] * 40}
+    numbers = {"hot": [rng.lognormvariate(3, 4) for _ in range(300)] + [1e15, 1e200], "cold": [2.0, 9.0], "flat": [5.0] * 40}
+    numbers["halves"] = [float(i) for i in range(50)] + [1e200 + 1e190 * i for i in range(50)]
     df = spark.createDataFrame([(k, x) for k, xs in numbers.items() for x in xs], "k string, x double")
     stats = stats_of("x", ("median", "q1", "q3", "count"), "x")
     for r in grouping.grouped_stats(df, ["k"], stats, hot_rows=limit).collect():
