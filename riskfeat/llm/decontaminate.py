@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskfeat.llm.minhash_dedup import mixed
-from riskfeat.llm.text import written
+from riskfeat.llm.text import map_texts, worker_cache, written
 
 WINDOW = 10
 BITMAP_BITS = 24
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 # fixed values
 UNITS = (
     "m km cm mm mi mile miles ft feet foot inch inches yard yards metre metres meter meters g kg mg lb lbs pound pounds "
@@ -69,7 +69,6 @@ class TemplateWords(dict):
 
 
 _UNIT_SET = frozenset(u.encode() for u in UNITS)
-_WORDS = TemplateWords()
 
 
 class Template:
@@ -77,7 +76,7 @@ class Template:
 
     def __init__(self, text: bytes):
         found = text.split()
-        coded = np.fromiter(map(_WORDS.__getitem__, found), dtype=np.uint64, count=len(found))
+        coded = np.fromiter(map(worker_cache("template-words", TemplateWords).__getitem__, found), dtype=np.uint64, count=len(found))
         flags = (coded & np.uint64(15)).astype(np.uint8)
         self.values = coded >> np.uint64(FLAGS)
         number = (flags & 3) == KIND_NUMBER
@@ -131,7 +130,7 @@ def template_windows(rows: DataFrame, width: int, bitmap=None) -> DataFrame:
             columns = [pa.array(ids, pa.int64()), pa.array(places, pa.int64()), window, pa.array(slots, _SLOTS)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "place", "window", "slots"])
 
-    return rows.select(F.col("id").cast("long").alias("id"), "text").mapInArrow(cut, WINDOW_COLUMNS)
+    return map_texts(rows.select(F.col("id").cast("long").alias("id"), "text"), cut, WINDOW_COLUMNS)
 
 
 def _places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

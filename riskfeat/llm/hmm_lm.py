@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.text import written
+from riskfeat.llm.text import map_texts, written
 
 STATES = 8
 PASSES = 5
@@ -69,7 +69,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
                     yield flushed()
         yield flushed()
 
-    return rows.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    return map_texts(rows.select("text"), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 @dataclass
@@ -82,6 +82,8 @@ class Vocabulary:
     distinct: int
     ending_tokens: np.ndarray
     ending_words: np.ndarray
+    # words with fewer occurrences are not known
+    least: int
 
     def __post_init__(self) -> None:
         own = min(OWN_CLASSES, len(self.words))
@@ -110,7 +112,8 @@ class Vocabulary:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """At most ``KNOWN_WORDS`` words and one figure per ending reach the driver."""
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).head()
-    top = counts.orderBy(F.col("c").desc(), "word").limit(KNOWN_WORDS).collect()
+    least = _least_count(counts, KNOWN_WORDS)
+    top = sorted(counts.where(F.col("c") >= least).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
     own = frozenset(bytes(r["word"]) for r in top[:OWN_CLASSES])
 
     def by_ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +129,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         yield pa.RecordBatch.from_arrays(columns, ["ending", "n", "v"])
 
     ending_tokens, ending_words = np.zeros(ENDING_CLASSES), np.zeros(ENDING_CLASSES)
-    grouped = counts.select("word", "c").mapInArrow(by_ending, "ending long, n long, v long")
+    grouped = map_texts(counts.select("word", "c"), by_ending, "ending long, n long, v long")
     for r in grouped.groupBy("ending").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         ending_tokens[r["ending"]], ending_words[r["ending"]] = r["n"], r["v"]
     return Vocabulary(
@@ -136,9 +139,22 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         sums["v"],
         ending_tokens,
         ending_words,
+        least,
     )
 
 
+def _least_count(counts: DataFrame, most: int) -> int:
+    """The smallest count such that at most ``most`` words have it or more."""
+    # different counts only: far fewer than words, and each of them stands for a word at least
+    steps = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("c").desc()).limit(most + 1).collect()
+    total = 0
+    for r in steps:
+        total += r["n"]
+        if total > most:
+            return r["c"] + 1
+    return 1
+
+
 class Codes(dict):
     """Code of each known word; of any other word, by its ending, without keeping it."""
 
@@ -200,7 +216,7 @@ def encoded(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
             names = [c.split()[0] for c in ENCODED.split(", ")[:8]] + ["rare"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.select("doc_id", "held_out", "text").mapInArrow(encode, ENCODED)
+    return map_texts(rows.select("doc_id", "held_out", "text"), encode, ENCODED)
 
 
 @dataclass
@@ -323,7 +339,7 @@ def improved(sequences: DataFrame, model: Model, vocab: Vocabulary) -> Model:
         arrays = [pa.array(some, pa.int64())] + [pa.array(np.ascontiguousarray(total[some, k])) for k in range(states)]
         yield pa.RecordBatch.from_arrays(arrays, ["at"] + [f"s{k}" for k in range(states)])
 
-    sums = sequences.select("classes").mapInArrow(expect, f"at long, {columns}").groupBy("at")
+    sums = map_texts(sequences.select("classes"), expect, f"at long, {columns}").groupBy("at")
     total = np.zeros((1 + states + len(model.emit), states))
     for r in sums.agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(states)]).collect():
         total[r["at"]] = [r[f"s{k}"] for k in range(states)]
@@ -354,7 +370,7 @@ def class_scores(sequences: DataFrame, model: Model) -> DataFrame:
 
     kept = [c for c in sequences.columns if c != "classes"]
     kinds = ", ".join(f"{c} {sequences.schema[c].dataType.simpleString()}" for c in kept)
-    return sequences.select(*kept, "classes").mapInArrow(forward, f"{kinds}, path_score double")
+    return map_texts(sequences.select(*kept, "classes"), forward, f"{kinds}, path_score double")
 
 
 def language_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES) -> DataFrame:
@@ -376,8 +392,7 @@ def language_scores(docs: DataFrame, states: int = STATES, passes: int = PASSES)
     )
     # the other words: their own counts, a word that was never seen has none
     rare = found.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.n")
-    # a word that is known is in no list
-    looked_up = rare.join(counts.where(F.col("c") <= int(vocab.counts.min() if len(vocab.words) == KNOWN_WORDS else 0)), "word", "left")
+    looked_up = rare.join(counts.where(F.col("c") < vocab.least), "word", "left")
     sums = looked_up.groupBy("uid").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD))).alias("rare_log"),
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),

@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.text import written
+from riskfeat.llm.text import map_texts, worker_cache, written
 
 HASHES = 128
 BATCH = 32
 MISS = 1e-6
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 SMALL = 16
 BLOCK = 1024
 MASK = (1 << 64) - 1
@@ -72,9 +72,6 @@ class WordHashes(dict):
         return found
 
 
-_HASHES = WordHashes()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -88,7 +85,7 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
     n = len(found)
     if not n:
         return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, found), dtype=np.uint64, count=n)
+    h = np.fromiter(map(worker_cache("word-hashes", WordHashes).__getitem__, found), dtype=np.uint64, count=n)
     width = min(size, n)
     total = np.full(n - width + 1, width, dtype=np.uint64)
     for i in range(width):
@@ -136,7 +133,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(sketch, "doc_id long, n_shingles long, set_id binary, signature binary")
+    return map_texts(rows, sketch, "doc_id long, n_shingles long, set_id binary, signature binary")
 
 
 def _bands(signs: np.ndarray, rows: int) -> np.ndarray:
@@ -163,7 +160,7 @@ def banded(classes: DataFrame, rows: int) -> DataFrame:
                 nodes = np.repeat(np.asarray(batch.column(0)), buckets.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(nodes)], ["bucket", "node"])
 
-    return classes.select("node", "signature").mapInArrow(cut, "bucket long, node long")
+    return map_texts(classes.select("node", "signature"), cut, "bucket long, node long")
 
 
 def likely(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -182,7 +179,7 @@ def likely(pairs: DataFrame, threshold: float) -> DataFrame:
             kept = pa.array(alive)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], ["a", "b"])
 
-    return pairs.select("a", "b", "sign_a", "sign_b").mapInArrow(compare, "a long, b long")
+    return map_texts(pairs.select("a", "b", "sign_a", "sign_b"), compare, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -206,7 +203,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0).take(some), batch.column(1).take(some)], ["a", "b"])
 
     both = pairs.join(left, "a").join(right, "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
+    return map_texts(both.select("a", "b", "text_a", "text_b"), verify, "a long, b long")
 
 
 def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
@@ -217,7 +214,7 @@ def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
             sets = [shingle_set(t.as_py() or b"", size).tobytes() for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    return texts.select("node", "text").mapInArrow(build, "node long, shingles binary")
+    return map_texts(texts.select("node", "text"), build, "node long, shingles binary")
 
 
 class Forest:

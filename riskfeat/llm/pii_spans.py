@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskfeat.llm.text import map_texts
+
 KINDS = ("email", "ip", "card", "phone")
 
 
@@ -291,7 +293,7 @@ def find_pii(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     kind = docs.schema[id_column].dataType.simpleString()
     spans = "array<struct<kind string, start long, end long>>"
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    out = rows.mapInArrow(search, f"id {kind}, base {spans}, spans {spans}")
+    out = map_texts(rows, search, f"id {kind}, base {spans}, spans {spans}")
     return out.withColumnRenamed("id", id_column)
 
 

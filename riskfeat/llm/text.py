@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Hashable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +59,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_texts(rows: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` in batches of bounded bytes; a worker gives memory back when its task ends."""
+    rows.sparkSession.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(bounded, schema)
+
+
+_WORKER: dict = {}
+
+
+def worker_cache(name: Hashable, make: Callable[[], object]):
+    """What an operator keeps in a worker process between tasks; there is one at a time, so that they don't add up."""
+    found = _WORKER.get(name)
+    if found is None:
+        _WORKER.clear()
+        found = _WORKER[name] = make()
+    return found
+
+
 BROADCAST_ROWS = 20_000
 
 

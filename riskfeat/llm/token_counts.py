@@ -15,8 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskfeat.llm.text import map_texts, worker_cache
+
 BATCH_BYTES = 4 << 20
-CACHED_PIECES = 500_000
+CACHED_PIECES = 400_000
 
 
 class PieceEncoder:
@@ -96,15 +98,10 @@ class PieceEncoder:
         return [list(map(found.__getitem__, row)) for row in split]
 
 
-_ENCODERS: dict = {}
-
-
 def encoder(path: str, kind: str) -> PieceEncoder:
-    """One per worker process, tokenizer file and kind of result."""
-    if (path, kind) not in _ENCODERS:
-        keep = len if kind == "lengths" else _packed
-        _ENCODERS[path, kind] = PieceEncoder(path, keep)
-    return _ENCODERS[path, kind]
+    """One per worker process, for a tokenizer file and a kind of result."""
+    keep = len if kind == "lengths" else _packed
+    return worker_cache((path, kind), lambda: PieceEncoder(path, keep))
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -155,7 +152,7 @@ def token_counts(
             )
 
     kind = docs.schema[id_column].dataType.simpleString()
-    counted = rows.mapInArrow(count, f"id {kind}, n_bytes long, n_tokens long")
+    counted = map_texts(rows, count, f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(
         F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

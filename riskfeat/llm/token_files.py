@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskfeat.llm.text import written
+from riskfeat.llm.text import map_texts, written
 from riskfeat.llm.token_counts import by_bytes, encoder, utf8
 
 # fixed values of the zstandard format
@@ -153,7 +153,7 @@ def write_token_files(
         for row in build.close():
             yield out(row)
 
-    frames = ordered.mapInArrow(encode, "frames binary")
+    frames = map_texts(ordered, encode, "frames binary")
     frames.select(F.col("frames").cast("string")).write.option("lineSep", SKIPPABLE_EMPTY.decode()).text(path)
 
 
