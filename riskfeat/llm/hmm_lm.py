@@ -36,6 +36,7 @@ ADD = 0.1
 PRIOR = 5.0
 COUNTED_WORDS = 200_000
 CELLS = 1 << 18
+PIECE = 1024
 # no word holds white space
 END = b"\n"
 
@@ -171,7 +172,6 @@ ENCODED = (
 def encoded(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
     """Each text as a sequence of classes, with the sums over its known words and the list of its other words."""
     shared = rows.sparkSession.sparkContext.broadcast(vocab)
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -180,28 +180,26 @@ def encoded(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
         codes = Codes((w, i) for i, w in enumerate(vocab.words))
         part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+            uid, n_tokens, n_known, base, within, classes = [], [], [], [], [], []
+            rare_words, rare_counts, ends = [], [], [0]
             for text in batch.column(2).cast(pa.binary()):
                 found = tokens(text.as_py() or b"")
                 coded = np.fromiter(map(codes.__getitem__, found), dtype=np.int32, count=len(found))
                 other = np.flatnonzero(coded >= KNOWN_WORDS)
-                rare = Counter(found[i] for i in other)
-                for column, value in zip(
-                    out,
-                    (
-                        f"{part}-{row}",
-                        len(found),
-                        len(found) - len(other),
-                        float(vocab.count_log[coded].sum() - len(found) * vocab.base_norm),
-                        float(vocab.within[coded].sum()),
-                        vocab.class_of[coded].tobytes(),
-                        [{"word": w, "n": n} for w, n in rare.items()],
-                    ),
-                    strict=True,
-                ):
-                    column.append(value)
+                rare = Counter([found[i] for i in other.tolist()])
+                uid.append(f"{part}-{row}")
+                n_tokens.append(len(found))
+                n_known.append(len(found) - len(other))
+                base.append(vocab.count_log[coded].sum() - len(found) * vocab.base_norm)
+                within.append(vocab.within[coded].sum())
+                classes.append(vocab.class_of[coded].tobytes())
+                rare_words += rare.keys()
+                rare_counts += rare.values()
+                ends.append(len(rare_words))
                 row += 1
-            uid, n_tokens, n_known, base, within, classes, rares = out
+            words = pa.StructArray.from_arrays(
+                [pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int64())], ["word", "n"]
+            )
             columns = [
                 pa.array(uid, pa.string()),
                 batch.column(0),
@@ -211,7 +209,7 @@ def encoded(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
                 pa.array(base, pa.float64()),
                 pa.array(within, pa.float64()),
                 pa.array(classes, pa.binary()),
-                pa.array(rares, rare_type),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words),
             ]
             names = [c.split()[0] for c in ENCODED.split(", ")[:8]] + ["rare"]
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -250,7 +248,7 @@ def _chunks(sequences: list[np.ndarray]) -> Iterator[list[int]]:
 class Lattice:
     """Forward probabilities of a chunk of sequences, the longest first; rows are times."""
 
-    def __init__(self, sequences: list[np.ndarray], model: Model, start: np.ndarray | None = None):
+    def __init__(self, sequences: list[np.ndarray], model: Model):
         lengths = np.array([len(s) for s in sequences])
         self.steps, self.model = int(lengths[0]), model
         # how many sequences are still running at each time
@@ -261,7 +259,7 @@ class Lattice:
         self.emitted = model.emit[self.seen]
         self.alpha = np.zeros_like(self.emitted)
         self.scale = np.ones(self.seen.shape)
-        now = (model.start if start is None else start) * self.emitted[0]
+        now = model.start * self.emitted[0]
         for t in range(self.steps):
             m = self.active[t]
             if t:
@@ -270,10 +268,6 @@ class Lattice:
             self.scale[t, :m] = total
             self.alpha[t, :m] = now / total[:, None]
 
-    def log10(self) -> np.ndarray:
-        """Exact log likelihood of each sequence: the sum of the logarithms of the scales."""
-        return np.log10(self.scale).sum(axis=0)
-
     def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected starts, moves and emissions, summed over the chunk."""
         states = len(self.model.start)
@@ -298,23 +292,33 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
 
 
 def _pieces(sequences: list[np.ndarray]) -> list[np.ndarray]:
-    """Sequences of at most ``CELLS`` tokens: of a longer one, each piece is trained on as a sequence."""
-    return [s[at : at + CELLS] for s in sequences for at in range(0, len(s), CELLS)]
+    """Sequences of at most ``PIECE`` tokens: of a longer one, each piece is trained on as a sequence."""
+    return [s[at : at + PIECE] for s in sequences for at in range(0, len(s), PIECE)]
 
 
 def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
-    """Exact log10 likelihood of each sequence; a long one goes piece by piece, its forward state carried on."""
-    scores = np.zeros(len(sequences))
-    short = [i for i, s in enumerate(sequences) if len(s) <= CELLS]
-    for chunk in _chunks([sequences[i] for i in short]):
-        places = [short[i] for i in chunk]
-        scores[places] = Lattice([sequences[i] for i in places], model).log10()
-    for i in set(range(len(sequences))).difference(short):
-        start = None
-        for piece in _pieces([sequences[i]]):
-            lattice = Lattice([piece], model, start)
-            scores[i] += lattice.log10()[0]
-            start = lattice.alpha[-1, 0] @ model.move
+    """Exact log10 likelihood of each sequence: the sum of the logarithms of the forward recursion's scales.
+
+    All sequences advance a token at a time; only their current states are kept, however long they are.
+    """
+    order = np.argsort([-len(s) for s in sequences], kind="stable")
+    lengths = np.array([len(sequences[i]) for i in order])
+    scores = np.zeros(len(order))
+    if not len(order):
+        return scores
+    flat = np.concatenate([sequences[i] for i in order])
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    # the shorter ones are done first and stand last
+    active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
+    alpha = np.broadcast_to(model.start, (len(order), len(model.start)))
+    logs = np.zeros(len(order))
+    for t in range(int(lengths[0])):
+        m = active[t]
+        alpha = (alpha[:m] @ model.move if t else alpha[:m]) * model.emit[flat[starts[:m] + t]]
+        total = alpha.sum(axis=1)
+        alpha = alpha / total[:, None]
+        logs[:m] += np.log10(total)
+    scores[order] = logs
     return scores
 
 

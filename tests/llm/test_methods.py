@@ -110,13 +110,16 @@ def test_forward_recursion_is_exact():
         assert got == pytest.approx(np.log10(total))
 
 
-def test_long_sequences_carry_their_state(monkeypatch):
+def test_expected_counts_add_up():
+    """Every token is emitted once in expectation, every step moves once, and pieces are no longer than allowed."""
     rng = np.random.default_rng(5)
     model = hmm_lm.Model.initial(np.full(7, 1 / 7), 3)
-    s = [rng.integers(0, 7, 50).astype(np.int16), rng.integers(0, 7, 9).astype(np.int16)]
-    whole = hmm_lm.log_likelihoods(s, model)
-    monkeypatch.setattr(hmm_lm, "CELLS", 16)
-    assert hmm_lm.log_likelihoods(s, model) == pytest.approx(whole)
+    sequences = sorted((rng.integers(0, 7, n).astype(np.int16) for n in (50, 9, 9, 1)), key=len, reverse=True)
+    start, moves, emitted = hmm_lm.Lattice(sequences, model).expected()
+    assert start.sum() == pytest.approx(4) and moves.sum() == pytest.approx(49 + 8 + 8)
+    assert emitted.sum(axis=1) == pytest.approx(np.bincount(np.concatenate(sequences), minlength=7))
+    pieces = hmm_lm._pieces([np.zeros(2500, dtype=np.int16), np.zeros(3, dtype=np.int16)])
+    assert [len(p) for p in pieces] == [1024, 1024, 452, 3]
 
 
 def test_each_pass_raises_the_likelihood(spark, documents):
@@ -129,6 +132,7 @@ def test_each_pass_raises_the_likelihood(spark, documents):
         scores.append(hmm_lm.log_likelihoods(found, model).sum())
         model = hmm_lm.improved(sequences, model, vocab)
     assert scores == sorted(scores)
+    assert len(hmm_lm.log_likelihoods([], model)) == 0
 
 
 @pytest.mark.parametrize(
