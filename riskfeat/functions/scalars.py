@@ -55,23 +55,3 @@ def equal_width_bin(x: Column, low: Column, high: Column, k: int = 10) -> Column
     step = (high - low).cast("double") / k
     place = F.floor(F.try_divide((x - low).cast("double"), step))
     return F.when(x.isNotNull(), F.least(F.coalesce(place, F.lit(0)), F.lit(k - 1))).cast("int")
-
-
-def null_flag(column: str) -> Column:
-    return F.col(column).isNull().cast("int")
-
-
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Floating NaN becomes NULL in every float or double column."""
-    fields = {f.name: f.dataType.typeName() for f in df.schema.fields}
-    return df.select(
-        *[
-            F.when(~F.isnan(F.col(c)), F.col(c)).alias(c) if kind in ("double", "float") else F.col(c)
-            for c, kind in fields.items()
-        ]
-    )
-
-
-def columns_of_type(df: DataFrame, *kinds: str) -> list[str]:
-    """Column names whose type name is one of ``kinds`` (metadata only)."""
-    return [f.name for f in df.schema.fields if f.dataType.typeName() in kinds]

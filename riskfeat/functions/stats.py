@@ -118,7 +118,6 @@ PLAIN: dict[str, Callable[[Column], Column]] = {
     "sum0": lambda x: F.coalesce(F.sum(x), F.lit(0)),
     "count": F.count,
     "nunique": F.count_distinct,
-    "approx_nunique": F.approx_count_distinct,
     "skew": adjusted_skew,
     "share": lambda x: F.avg(x.cast("double")),
     **{kind: (lambda x, q=q: F.percentile(x.cast("double"), q)) for kind, q in QUANTILES.items()},
