@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskfeat.llm.minhash_dedup import mixed
-from riskfeat.llm.text import map_texts, worker_cache, written
+from riskfeat.llm.text import broadcast_if_small, map_texts, scratch, worker_cache, written
 
 WINDOW = 10
 BITMAP_BITS = 24
+# ids of found documents that a broadcast may have
+FOUND = 500_000
 CACHED_WORDS = 200_000
 # fixed values
 UNITS = (
@@ -230,5 +232,6 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """The documents in which no item was found, all columns kept; rows with a NULL id stay."""
-    found = written(contaminations(docs, benchmark, width).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    with scratch(docs.sparkSession) as keep:
+        found = keep(contaminations(docs, benchmark, width).select("doc_id").distinct(), "contaminated")
+    return docs.join(broadcast_if_small(found, FOUND), "doc_id", "left_anti").select(*docs.columns)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.text import map_texts, worker_cache, written
+from riskfeat.llm.text import broadcast_if_small, map_texts, scratch, worker_cache, written
 
 HASHES = 128
 BATCH = 32
@@ -33,6 +33,8 @@ MISS = 1e-6
 CACHED_WORDS = 200_000
 SMALL = 16
 BLOCK = 1024
+# ids of documents to look up; as many longs as a broadcast may have
+LOOKED_UP = 500_000
 MASK = (1 << 64) - 1
 
 
@@ -345,7 +347,7 @@ def links(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         # an id that repeats with other texts is compared by its smallest text
-        needed = written(nodes.distinct(), "needed")
+        needed = broadcast_if_small(written(nodes.distinct(), "needed"), LOOKED_UP)
         return texts.join(needed, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -391,7 +393,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     classes = written(classes, "classes")
     # the smallest document of a class stands for it
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    linked = links(classes, texts, size, percent)
+    # bands, buckets, candidates and their texts are not needed once the components are known
+    with scratch(docs.sparkSession) as keep:
+        linked = keep(links(classes, texts, size, percent), "linked")
     named = classes.join(linked, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
     out = found.drop("signature").join(named, "set_id", "left")
     component = F.coalesce("component_id", "doc_id")
@@ -405,7 +409,9 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -
 
     Rows without a doc_id stay; of rows that repeat a doc_id one stays, the one with the smallest text.
     """
-    kept = written(near_duplicates(docs, size, percent).where("kept").select("doc_id").distinct(), "kept")
+    with scratch(docs.sparkSession) as keep:
+        kept = keep(near_duplicates(docs, size, percent).where("kept").select("doc_id").distinct(), "kept")
+    kept = broadcast_if_small(kept, LOOKED_UP)
     repeated = written(docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
     chosen = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
     if repeated.isEmpty():
@@ -415,3 +421,32 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -
     order = F.struct(F.coalesce("text", F.lit("")).alias("text"), F.struct(*docs.columns).alias("row"))
     least = rest.groupBy("doc_id").agg(F.min(order).alias("least"))
     return once.unionByName(least.select(*[F.col(f"least.row.{c}").alias(c) for c in docs.columns]))
+
+
+def oracle_near_duplicates(size: int, percent: int) -> str:
+    """``near_duplicates`` as SQL that joins the shingle sets themselves, for small tables with unique ids."""
+    return rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^ \x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {size}
+    THEN list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes nx ON nx.doc_id = x JOIN sizes ny ON ny.doc_id = y
+  WHERE 100 * c >= {percent} * (nx.n + ny.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS label FROM words
+  UNION
+  SELECT y, label FROM reached JOIN both_ways ON x = doc_id WHERE label < y)
+SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(label) AS component_id, r.doc_id = min(label) AS kept
+FROM reached r LEFT JOIN sizes ON sizes.doc_id = r.doc_id GROUP BY r.doc_id
+"""

@@ -116,6 +116,8 @@ def mix_plan(
         .where((F.col("before") < F.col("rest")) & (F.col("rest") <= F.col("before") + F.col("total")))
         .select("source_key", "range", "before")
     )
+    # one row per source
+    cut_range = broadcast_if_small(written(cut_range, "cut-ranges"))
     inside = Window.partitionBy("source_key").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     cut = (
         by_key.join(cut_range, ["source_key", "range"])

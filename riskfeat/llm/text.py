@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from collections.abc import Callable, Hashable, Iterator, Sequence
 
 import pyarrow as pa
@@ -52,13 +53,41 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_SCRATCH: list[list[str]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back: computed once, safe from lost executors."""
     path = shared_path(df.sparkSession, name)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables written inside are removed at its end, but for those written with the function it gives."""
+    _SCRATCH.append([])
+    kept: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = written(df, name)
+        kept.append(_SCRATCH[-1].pop())
+        return out
+
+    try:
+        yield keep
+    finally:
+        paths = _SCRATCH.pop()
+        if _SCRATCH:
+            _SCRATCH[-1].extend(kept)
+        configuration = spark._jsc.hadoopConfiguration()
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(configuration).delete(target, True)
+
+
 BATCH_BYTES = 8 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
