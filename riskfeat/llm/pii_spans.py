@@ -12,7 +12,6 @@ at places where a match can start.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator

@@ -220,3 +220,37 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] = MORE_RULES) -> DataF
             F.col(verdict).alias("kept"),
         )
     )
+
+
+ORACLE_QUALITY = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ \x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS v
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM texts WHERE len(w) > 8)),
+again AS (SELECT doc_id, v FROM windows GROUP BY doc_id, v HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM windows JOIN again USING (doc_id, v), (SELECT unnest(range(8)) AS k)
+  GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, t, w, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[ \x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+    length(regexp_replace(t, '\P{L}+', '', 'g')) AS letters, length(regexp_replace(t, '\P{Lu}+', '', 'g')) AS capitals
+  FROM texts LEFT JOIN covered USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    n_symbols * 10 > n_words
+    OR len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) > n_words * 0.3
+    OR word_chars * 1.0 / greatest(n_words, 1) < 2.5 OR word_chars * 1.0 / greatest(n_words, 1) > 14
+    OR n_dup_lines * 2 > len(string_split(t, chr(10)))
+    OR (letters >= 40 AND capitals * 2 > letters)
+    OR len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) * 5 > n_words AS rejected
+  FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT rejected AS kept
+FROM judged
+"""

@@ -9,16 +9,17 @@ from riskfeat.llm.chat_perspectives import ORACLE_PERSPECTIVES, perspective_tabl
 from riskfeat.llm.decontaminate import contaminations
 from riskfeat.llm.hmm_lm import language_scores
 from riskfeat.llm.line_dedup import duplicate_lines
-from riskfeat.llm.minhash_dedup import near_duplicates
+from riskfeat.llm.minhash_dedup import near_duplicates, oracle_near_duplicates
 from riskfeat.llm.mixing import ORACLE_AMOUNTS, mix_amounts
 from riskfeat.llm.pii_spans import pii_digest
-from riskfeat.llm.quality_rules import quality_report
+from riskfeat.llm.quality_rules import ORACLE_QUALITY, quality_report
 from riskfeat.llm.text import shared_path
 from riskfeat.llm.token_counts import token_counts
 from riskfeat.llm.token_files import token_file_digest, write_token_files
 from riskfeat.plans.tables import table
 
 WORD_BPE = "word_bpe_49k.json"
+NEAR_WORDS, NEAR_PERCENT = 3, 85
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,7 +61,7 @@ def op9_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
+    return near_duplicates(table(spark, folder, "documents"), NEAR_WORDS, NEAR_PERCENT)
 
 
 REGISTRY = {
@@ -78,6 +79,8 @@ REGISTRY = {
 
 # the others are beyond SQL: tests hold them against brute force
 ORACLE: dict[str, str] = {
+    "op1_quality_rules": ORACLE_QUALITY,
     "op4_mix_sources": ORACLE_AMOUNTS,
     "op9_chat_perspectives": ORACLE_PERSPECTIVES,
+    "op10_minhash_dedup": oracle_near_duplicates(NEAR_WORDS, NEAR_PERCENT),
 }
