@@ -18,7 +18,7 @@ from riskfeat.llm.text import WORD, broadcast_if_small, fresh, word_count, writt
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 KEY_RANGES = 16**8
 
 
