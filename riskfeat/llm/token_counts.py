@@ -9,6 +9,7 @@ batch, and a text's count is the sum over its pieces; only lengths leave the fun
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -21,6 +22,13 @@ BATCH_BYTES = 4 << 20
 CACHED_PIECES = 400_000
 
 
+# small letters that a lower-casing or composing normaliser leaves as they are
+_SMALL = re.compile("[a-zß-öø-ÿ]+")
+_KEPT_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
+# byte-level vocabularies write each byte as a character: printable ones as themselves, the others from 256 on
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _KEPT_BYTES)}
+
+
 class PieceEncoder:
     """Encodes pieces of text with a tokenizers file, each distinct piece once while it is kept.
 
@@ -37,14 +45,36 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep, self.cached, self.known = keep, cached, {}
-        self.ends = {mark: self._encoded([mark])[0] for mark in (b".", b",")}
+        self.model = self.tokenizer.model
         self.lower = self._lower_cases()
         self.splits = self._can_split()
+        self.direct = self.splits and self._goes_direct()
+        self.ends = {mark: self._encoded([mark])[0] for mark in (b".", b",")}
 
     def _encoded(self, pieces: list[bytes]) -> list:
-        # a lone surrogate cannot come from Spark; replace guards against it all the same
-        encoded = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
-        return [self.keep(e.ids) for e in encoded]
+        """What the library makes of each piece; words of small letters go straight to its model."""
+        out: list = [None] * len(pieces)
+        others = []
+        for i, piece in enumerate(pieces):
+            # a lone surrogate cannot come from Spark; replace guards against it all the same
+            text = piece.decode("utf-8", "replace")
+            if self.direct and _SMALL.fullmatch(text):
+                out[i] = self.keep(self._word(piece))
+            else:
+                others.append((i, text))
+        encoded = self.tokenizer.encode_batch([t for _, t in others], add_special_tokens=False)
+        for (i, _), e in zip(others, encoded, strict=True):
+            out[i] = self.keep(e.ids)
+        return out
+
+    def _word(self, word: bytes) -> list[int]:
+        return [t.id for t in self.model.tokenize(word.decode("latin-1").translate(_BYTE_LETTERS))]
+
+    def _goes_direct(self) -> bool:
+        """Whether words of small letters pass normaliser and pre-tokenizer as one byte-level word, unchanged."""
+        letters = "".join(map(chr, [*range(ord("a"), ord("z") + 1), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+        probes = [*letters, letters[:26], letters[26:], *(f"{a}{b}" for a in "sté" for b in letters), "thes", "lles", "ñandú"]
+        return all(self.tokenizer.encode(p, add_special_tokens=False).ids == self._word(p.encode()) for p in probes)
 
     def _lower_cases(self) -> bool:
         """Whether capitals make no difference, so that one piece stands for all its spellings."""
