@@ -2,9 +2,10 @@
 
 Texts become templates: every word is lower-cased and freed of marks, and numbers, names and
 units are replaced by typed placeholders. Windows of template words are hashed and joined with the
-windows of the benchmark. A match counts if its slots are consistent: within a document's alignment with an item,
-equal slots of the item hold equal values in the document and different ones different values. So a
-question with other numbers is found, and a text that only shares a pattern of slots is not.
+windows of the benchmark. A window counts if its slots are consistent: equal slots of the item hold equal values in
+the document and different ones different values. So a question with other numbers is found, and a text that only
+shares a pattern of slots is not. The query and the pipeline ask this of each window; ``contaminations`` asks it of
+a document's whole alignment with an item unless told otherwise.
 
 The windows of documents never leave the workers unless a bitmap of fixed size, made from the benchmark's
 windows, lets them pass; the hash join decides on those that do, whatever the benchmark's size.
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskfeat.llm.minhash_dedup import mixed
@@ -169,11 +170,21 @@ def window_bitmap(windows: DataFrame):
     return windows.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+def _one_to_one(slots: str) -> Column:
+    """Whether equal slots of the item hold equal values and different ones different values."""
+    pairs = F.size(F.array_distinct(F.transform(slots, lambda s: F.struct(s["theirs"], s["ours"]))))
+    theirs = F.size(F.array_distinct(F.transform(slots, lambda s: s["theirs"])))
+    ours = F.size(F.array_distinct(F.transform(slots, lambda s: s["ours"])))
+    return (pairs == theirs) & (pairs == ours)
+
+
+def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, each_window: bool = False) -> DataFrame:
     """(doc_id, item_id, n_windows, first_word, n_slots, n_changed): each document with each item found in it.
 
     ``n_windows`` counts the places of matching windows of the best alignment, ``first_word`` is the first of them,
-    ``n_changed`` the slots with a value other than the benchmark's. NULL, empty and wordless texts match nothing; a
+    ``n_changed`` the slots with a value other than the benchmark's. With ``each_window`` a window counts if it is
+    consistent in itself, whatever stands elsewhere in its alignment; without it, one slot that disagrees
+    anywhere in an alignment refuses the whole alignment, verbatim windows too. NULL, empty and wordless texts match nothing; a
     text or item shorter than the window is one window of its own length. NULL ids are not reported.
     Repeated documents are found once per id; repeated items each. Further columns are ignored.
     """
@@ -186,36 +197,30 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -
     theirs = items.distinct().select(
         F.col("id").alias("item_id"), F.col("place").alias("item_place"), "window", F.col("slots").alias("item_slots")
     )
+    pairs = F.arrays_zip("item_slots", "slots")
     matched = passed.join(theirs, "window").select(
         F.col("id").alias("doc_id"),
         "item_id",
         "place",
         (F.col("place") - F.col("item_place")).alias("shift"),
-        F.arrays_zip("item_slots", "slots").alias("pairs"),
+        F.transform(
+            pairs,
+            lambda p: F.struct(
+                (F.col("place") + p["slots"]["at"]).alias("at"),
+                p["item_slots"]["value"].alias("theirs"),
+                p["slots"]["value"].alias("ours"),
+            ),
+        ).alias("slots"),
     )
+    if each_window:
+        matched = matched.where(_one_to_one("slots"))
     # a group is one document, item and alignment: at most as many windows as the item has words
     aligned = matched.groupBy("doc_id", "item_id", "shift").agg(
         F.countDistinct("place").alias("n_windows"),
         F.min("place").alias("first_word"),
-        F.array_distinct(
-            F.flatten(
-                F.collect_set(
-                    F.transform(
-                        "pairs",
-                        lambda p: F.struct(
-                            (F.col("place") + p["slots"]["at"]).alias("at"),
-                            p["item_slots"]["value"].alias("theirs"),
-                            p["slots"]["value"].alias("ours"),
-                        ),
-                    )
-                )
-            )
-        ).alias("slots"),
+        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
-    pairs = F.array_distinct(F.transform("slots", lambda s: F.struct(s["theirs"], s["ours"])))
-    theirs_n = F.size(F.array_distinct(F.transform("slots", lambda s: s["theirs"])))
-    ours_n = F.size(F.array_distinct(F.transform("slots", lambda s: s["ours"])))
-    consistent = aligned.where((F.size(pairs) == theirs_n) & (F.size(pairs) == ours_n))
+    consistent = aligned if each_window else aligned.where(_one_to_one("slots"))
     best = consistent.groupBy("doc_id", "item_id").agg(
         F.max_by(
             F.struct(
@@ -233,5 +238,5 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -
 def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """The documents in which no item was found, all columns kept; rows with a NULL id stay."""
     with scratch(docs.sparkSession) as keep:
-        found = keep(contaminations(docs, benchmark, width).select("doc_id").distinct(), "contaminated")
+        found = keep(contaminations(docs, benchmark, width, each_window=True).select("doc_id").distinct(), "contaminated")
     return docs.join(broadcast_if_small(found, FOUND), "doc_id", "left_anti").select(*docs.columns)

@@ -31,7 +31,7 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    return contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"), each_window=True)
 
 
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:

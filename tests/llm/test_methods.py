@@ -10,7 +10,7 @@ from llm_tables import documents, table  # noqa: F401
 from pyspark.sql import functions as F
 
 from riskfeat.llm import hmm_lm, minhash_dedup, pii_spans, quality_rules, token_counts, token_files
-from riskfeat.llm.decontaminate import contaminations
+from riskfeat.llm.decontaminate import contaminations, decontaminated
 from riskfeat.llm.text import shared_path
 
 
@@ -93,6 +93,29 @@ def test_templates(spark, text, found):
     assert [r["item_id"] for r in got] == [9] * found
 
 
+def items_of(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+
+
+@pytest.mark.parametrize(
+    ("text", "n_windows", "n_changed"),
+    [
+        (ITEM, 15, 0),
+        # one mistyped number: windows 4 to 10 hold it and are consistent in themselves
+        (ITEM.replace("12 pears", "13 pears"), 12, 1),
+        # two slots that differ in the item have one value
+        (ITEM.replace("5", "3"), 12, 1),
+        # no window of its own is consistent
+        (" ".join(ITEM.replace("12 pears", "13 pears").split()[1:13]), 0, 0),
+    ],
+)
+def test_a_consistent_window_counts_by_itself(spark, text, n_windows, n_changed):
+    docs = table(spark, [(1, text, "s")])
+    got = contaminations(docs, items_of(spark, ITEM), each_window=True).collect()
+    assert [(r["n_windows"], r["n_changed"]) for r in got] == [(n_windows, n_changed)] * (n_windows > 0)
+    assert decontaminated(docs, items_of(spark, ITEM)).count() == (n_windows == 0)
+
+
 def test_forward_recursion_is_exact():
     """Against the sum over all state paths."""
     from itertools import product
