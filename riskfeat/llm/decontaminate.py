@@ -14,7 +14,7 @@ windows, lets them pass; the hash join decides on those that do, whatever the be
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ from riskfeat.llm.minhash_dedup import mixed
 from riskfeat.llm.text import broadcast_if_small, map_texts, scratch, worker_cache, written
 
 WINDOW = 10
+# words outside the slots that a window shorter than WINDOW needs for its slots to be free
+LEAST_PLAIN = 3
 BITMAP_BITS = 24
 # ids of found documents that a broadcast may have
 FOUND = 500_000
@@ -77,7 +79,7 @@ _UNIT_SET = frozenset(u.encode() for u in UNITS)
 class Template:
     """The words of one text: template tokens, slot kinds and the values behind them."""
 
-    def __init__(self, text: bytes):
+    def __init__(self, text: bytes, named_first: bool = False):
         found = text.split()
         coded = np.fromiter(map(worker_cache("template-words", TemplateWords).__getitem__, found), dtype=np.uint64, count=len(found))
         flags = (coded & np.uint64(15)).astype(np.uint8)
@@ -88,47 +90,49 @@ class Template:
         inside = np.concatenate([[False], (flags[:-1] & ENDS) == 0]) if len(found) else number
         unit = ((flags & 3) == KIND_UNIT) & after_number
         name = ((flags & CAPITAL) > 0) & inside & ~number & ~unit
+        # the first word of an item is inside a sentence where the item is quoted
+        if named_first and len(found):
+            name[0] = (flags[0] & CAPITAL) > 0 and not number[0]
         self.tokens = self.values.copy()
         self.slots = number | unit | name
         for chosen, kind in ((number, "number"), (unit, "unit"), (name, "name")):
             self.tokens[chosen] = SLOT[kind]
 
-    def windows(self, width: int) -> np.ndarray:
-        """The hash of each window; a shorter text has one window of its own length, an empty text none."""
-        n = len(self.tokens)
-        width = min(width, n)
-        if not n:
-            return np.empty(0, dtype=np.uint64)
-        total = np.full(n - width + 1, width, dtype=np.uint64)
-        for i in range(width):
-            total = mixed(total ^ self.tokens[i : n - width + 1 + i]) + np.uint64(i + 1)
-        return total
+    def windows(self, widths: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
+        """(width, hash of each window) for those widths that fit in the text, the smaller ones first."""
+        widths = {w for w in widths if 0 < w <= len(self.tokens)}
+        total = np.zeros(len(self.tokens) + 1, dtype=np.uint64)
+        for i in range(max(widths, default=0)):
+            total = mixed(total[:-1] ^ self.tokens[i:]) + np.uint64(i + 1)
+            if i + 1 in widths:
+                yield i + 1, total
 
     def slot_values(self, start: int, width: int) -> list[tuple[int, int]]:
         """(place in the window, value) of the slots of a window."""
-        end = min(start + width, len(self.tokens))
-        return [(int(i), int(self.values[start + i])) for i in np.flatnonzero(self.slots[start:end])]
+        return [(int(i), int(self.values[start + i])) for i in np.flatnonzero(self.slots[start : start + width])]
 
 
 WINDOW_COLUMNS = "id long, place long, window long, slots array<struct<at long, value long>>"
+ITEM_COLUMNS = WINDOW_COLUMNS + ", size int, held int"
 _SLOTS = pa.list_(pa.struct([("at", pa.int64()), ("value", pa.int64())]))
 
 
-def template_windows(rows: DataFrame, width: int, bitmap=None) -> DataFrame:
-    """(id, place, window, slots) of the windows of (id, text), only those the bitmap lets pass if there is one."""
+def document_windows(rows: DataFrame, widths: Iterable[int], bitmap) -> DataFrame:
+    """(id, place, window, slots) of the windows of (id, text) that the bitmap lets pass."""
+    widths = sorted(widths)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if bitmap is None else np.frombuffer(bitmap.value, dtype=np.uint8)
+        bits = np.frombuffer(bitmap.value, dtype=np.uint8)
         for batch in batches:
             ids, places, hashes, slots = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 template = Template(text.as_py() or b"")
-                found = template.windows(width)
-                at = np.arange(len(found)) if bits is None else np.flatnonzero(_passes(bits, found))
-                ids += [doc_id] * len(at)
-                places += at.tolist()
-                hashes.append(found[at].view(np.int64))
-                slots += [template.slot_values(int(a), width) for a in at]
+                for width, found in template.windows(widths):
+                    at = np.flatnonzero(_passes(bits, found))
+                    ids += [doc_id] * len(at)
+                    places += at.tolist()
+                    hashes.append(found[at].view(np.int64))
+                    slots += [template.slot_values(int(a), width) for a in at]
             window = pa.array(np.concatenate(hashes) if hashes else np.empty(0, np.int64))
             columns = [pa.array(ids, pa.int64()), pa.array(places, pa.int64()), window, pa.array(slots, _SLOTS)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "place", "window", "slots"])
@@ -136,6 +140,38 @@ def template_windows(rows: DataFrame, width: int, bitmap=None) -> DataFrame:
     return map_texts(rows.select(F.col("id").cast("long").alias("id"), "text"), cut, WINDOW_COLUMNS)
 
 
+def item_windows(rows: DataFrame, width: int) -> DataFrame:
+    """(id, place, window, slots, size, held) of the windows of (id, text); a shorter item is one window of its length.
+
+    The first window comes twice if its first word has a capital: as a plain word and as a name. Slots at
+    places below ``held`` must hold the item's own values: all of a short window with fewer than
+    LEAST_PLAIN words outside its slots, and the first word of a short window that is a name only if quoted.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                text = text.as_py() or b""
+                plain, quoted = Template(text), Template(text, named_first=True)
+                for template in (plain, quoted):
+                    for size, found in template.windows([min(width, len(plain.tokens))]):
+                        if template is quoted:
+                            found = found[: int((plain.slots[:1] != quoted.slots[:1]).sum())]
+                        for at, window in enumerate(found.view(np.int64).tolist()):
+                            slots = template.slot_values(at, size)
+                            held = 0
+                            if size < width:
+                                held = size if size - len(slots) < LEAST_PLAIN else int(template is quoted)
+                            out.append((item_id, at, window, slots, size, held))
+            columns = list(zip(*out)) or [()] * 6
+            types = (pa.int64(), pa.int64(), pa.int64(), _SLOTS, pa.int32(), pa.int32())
+            names = ["id", "place", "window", "slots", "size", "held"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    return map_texts(rows.select(F.col("id").cast("long").alias("id"), "text"), cut, ITEM_COLUMNS)
+
+
 def _places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two bits of the bitmap for each window."""
     mask = np.uint64((1 << BITMAP_BITS) - 1)
@@ -185,20 +221,24 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, e
     ``n_changed`` the slots with a value other than the benchmark's. With ``each_window`` a window counts if it is
     consistent in itself, whatever stands elsewhere in its alignment; without it, one slot that disagrees
     anywhere in an alignment refuses the whole alignment, verbatim windows too. NULL, empty and wordless texts match nothing; a
-    text or item shorter than the window is one window of its own length. NULL ids are not reported.
+    item shorter than the window is one window of its own length, which is looked for in every document; what its slots
+    may hold is said at ``item_windows``. An item's first word may be quoted inside a sentence. NULL ids are not reported.
     Repeated documents are found once per id; repeated items each. Further columns are ignored.
     """
     items = written(
-        template_windows(benchmark.select(F.col("item_id").alias("id"), "text").where("id IS NOT NULL"), width), "items"
+        item_windows(benchmark.select(F.col("item_id").alias("id"), "text").where("id IS NOT NULL"), width), "items"
     )
     bitmap = window_bitmap(items)
     rows = docs.select(F.col("doc_id").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
-    passed = written(template_windows(rows, width, bitmap), "windows").distinct()
+    # at most as many lengths as the window has words
+    widths = {width} | {r["size"] for r in items.select("size").distinct().collect()}
+    passed = written(document_windows(rows, widths, bitmap), "windows").distinct()
     theirs = items.distinct().select(
-        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "window", F.col("slots").alias("item_slots")
+        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "window", F.col("slots").alias("item_slots"), "held"
     )
     pairs = F.arrays_zip("item_slots", "slots")
-    matched = passed.join(theirs, "window").select(
+    held = F.forall(pairs, lambda p: (p["slots"]["at"] >= F.col("held")) | (p["item_slots"]["value"] == p["slots"]["value"]))
+    matched = passed.join(theirs, "window").where(held).select(
         F.col("id").alias("doc_id"),
         "item_id",
         "place",

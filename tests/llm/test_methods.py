@@ -116,6 +116,26 @@ def test_a_consistent_window_counts_by_itself(spark, text, n_windows, n_changed)
     assert decontaminated(docs, items_of(spark, ITEM)).count() == (n_windows == 0)
 
 
+SHORT = ["What is the capital of France?", "Name the river that runs through the old town today", "Paris", "How much is 17 times 23?"]
+
+
+def test_short_items_and_quoted_items_are_found_in_longer_documents(spark):
+    texts = {
+        "So he looked up from the map and asked: What is the capital of France? Nobody knew it then": {0},
+        "they asked him what is the capital of Spain? and he did not know at all": {0},
+        "we all knew that Paris is the capital of France and went there by train": {2},
+        "the task on the sheet of paper said Name the river that runs through the old town today": {1},
+        "they took the train to Rome and stayed there for a week or so": set(),
+        "on the last page it says How much is 12 times 4? and there is a line": {3},
+        "on the last page it says Guess much is 12 times 4? and there is a line": set(),
+        "on the last page it says: how much is 12 times 4? and there is a line": {3},
+        "what is the capital of": set(),
+    }
+    docs = table(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    got = contaminations(docs, items_of(spark, *SHORT), each_window=True).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, k) for i, ks in enumerate(texts.values()) for k in ks}
+
+
 def test_forward_recursion_is_exact():
     """Against the sum over all state paths."""
     from itertools import product
