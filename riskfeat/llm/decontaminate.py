@@ -1,7 +1,8 @@
 """Benchmark passages in documents, also with other numbers, names and units.
 
 Texts become templates: every word is lower-cased and freed of marks, and numbers, names and
-units are replaced by typed placeholders. Windows of template words are hashed and joined with the
+units are replaced by typed placeholders. A second form keeps the names, in lower case, so that a copy with other capitals or
+sentence marks is found too; a match in either form counts. Windows of template words are hashed and joined with the
 windows of the benchmark. A window counts if its slots are consistent: equal slots of the item hold equal values in
 the document and different ones different values. So a question with other numbers is found, and a text that only
 shares a pattern of slots is not. The query and the pipeline ask this of each window; ``contaminations`` asks it of
@@ -93,23 +94,33 @@ class Template:
         # the first word of an item is inside a sentence where the item is quoted
         if named_first and len(found):
             name[0] = (flags[0] & CAPITAL) > 0 and not number[0]
-        self.tokens = self.values.copy()
-        self.slots = number | unit | name
-        for chosen, kind in ((number, "number"), (unit, "unit"), (name, "name")):
-            self.tokens[chosen] = SLOT[kind]
-
-    def windows(self, widths: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
-        """(width, hash of each window) for those widths that fit in the text, the smaller ones first."""
+        self.folded = self.values.copy()
+        self.typed = number | unit
+        for chosen, kind in ((number, "number"), (unit, "unit")):
+            self.folded[chosen] = SLOT[kind]
+        self.tokens = self.folded.copy()
+        self.slots = self.typed | name
+        self.tokens[name] = SLOT["name"]
+
+    def windows(self, widths: Iterable[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(width, hashes, places, whether folded) for those widths that fit in the text, the smaller ones first.
+
+        A window that holds a name comes twice: with the slot, and folded to lower case with the name itself.
+        """
         widths = {w for w in widths if 0 < w <= len(self.tokens)}
-        total = np.zeros(len(self.tokens) + 1, dtype=np.uint64)
+        total = np.zeros((2, len(self.tokens) + 1), dtype=np.uint64)
+        both = np.stack([self.tokens, self.folded])
         for i in range(max(widths, default=0)):
-            total = mixed(total[:-1] ^ self.tokens[i:]) + np.uint64(i + 1)
+            total = mixed(total[:, :-1] ^ both[:, i:]) + np.uint64(i + 1)
             if i + 1 in widths:
-                yield i + 1, total
+                other = np.flatnonzero(total[0] != total[1])
+                places = np.concatenate([np.arange(total.shape[1]), other])
+                yield i + 1, np.concatenate([total[0], total[1, other]]), places, np.arange(len(places)) >= total.shape[1]
 
-    def slot_values(self, start: int, width: int) -> list[tuple[int, int]]:
-        """(place in the window, value) of the slots of a window."""
-        return [(int(i), int(self.values[start + i])) for i in np.flatnonzero(self.slots[start : start + width])]
+    def slot_values(self, start: int, width: int, folded: bool = False) -> list[tuple[int, int]]:
+        """(place in the window, value) of the slots of a window; names are none if it is folded."""
+        slots = self.typed if folded else self.slots
+        return [(int(i), int(self.values[start + i])) for i in np.flatnonzero(slots[start : start + width])]
 
 
 WINDOW_COLUMNS = "id long, place long, window long, slots array<struct<at long, value long>>"
@@ -127,12 +138,12 @@ def document_windows(rows: DataFrame, widths: Iterable[int], bitmap) -> DataFram
             ids, places, hashes, slots = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 template = Template(text.as_py() or b"")
-                for width, found in template.windows(widths):
-                    at = np.flatnonzero(_passes(bits, found))
-                    ids += [doc_id] * len(at)
-                    places += at.tolist()
-                    hashes.append(found[at].view(np.int64))
-                    slots += [template.slot_values(int(a), width) for a in at]
+                for width, found, at, folded in template.windows(widths):
+                    some = np.flatnonzero(_passes(bits, found))
+                    ids += [doc_id] * len(some)
+                    places += at[some].tolist()
+                    hashes.append(found[some].view(np.int64))
+                    slots += [template.slot_values(int(at[i]), width, bool(folded[i])) for i in some]
             window = pa.array(np.concatenate(hashes) if hashes else np.empty(0, np.int64))
             columns = [pa.array(ids, pa.int64()), pa.array(places, pa.int64()), window, pa.array(slots, _SLOTS)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "place", "window", "slots"])
@@ -143,7 +154,7 @@ def document_windows(rows: DataFrame, widths: Iterable[int], bitmap) -> DataFram
 def item_windows(rows: DataFrame, width: int) -> DataFrame:
     """(id, place, window, slots, size, held) of the windows of (id, text); a shorter item is one window of its length.
 
-    The first window comes twice if its first word has a capital: as a plain word and as a name. Slots at
+    Windows with names come in both forms, the first one also with its first word as a name if it has a capital. Slots at
     places below ``held`` must hold the item's own values: all of a short window with fewer than
     LEAST_PLAIN words outside its slots, and the first word of a short window that is a name only if quoted.
     """
@@ -155,11 +166,11 @@ def item_windows(rows: DataFrame, width: int) -> DataFrame:
                 text = text.as_py() or b""
                 plain, quoted = Template(text), Template(text, named_first=True)
                 for template in (plain, quoted):
-                    for size, found in template.windows([min(width, len(plain.tokens))]):
+                    for size, found, places, folded in template.windows([min(width, len(plain.tokens))]):
                         if template is quoted:
                             found = found[: int((plain.slots[:1] != quoted.slots[:1]).sum())]
-                        for at, window in enumerate(found.view(np.int64).tolist()):
-                            slots = template.slot_values(at, size)
+                        for at, fold, window in zip(places.tolist(), folded.tolist(), found.view(np.int64).tolist()):
+                            slots = template.slot_values(at, size, fold)
                             held = 0
                             if size < width:
                                 held = size if size - len(slots) < LEAST_PLAIN else int(template is quoted)

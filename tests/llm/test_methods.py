@@ -136,6 +136,16 @@ def test_short_items_and_quoted_items_are_found_in_longer_documents(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, k) for i, ks in enumerate(texts.values()) for k in ks}
 
 
+NAMES = "Anna met Bert in Rome while Carl and Dora saw Emil near Oslo. Then Fritz told Gerda that Hans left"
+
+
+@pytest.mark.parametrize("copy", [str.lower, str.upper, str.title, lambda t: t.replace(".", ""), lambda t: t.lower().replace(".", "")])
+def test_copies_with_other_case_and_marks_are_found(spark, copy):
+    texts = [copy(NAMES), copy(ITEM), "so " + copy(NAMES) + " and so on", copy(NAMES.replace("Bert", "Ida").replace("Emil", "Ida")).lower()]
+    got = contaminations(table(spark, [(i, t, "s") for i, t in enumerate(texts)]), items_of(spark, NAMES, ITEM), each_window=True).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(0, 0), (1, 1), (2, 0)}
+
+
 def test_forward_recursion_is_exact():
     """Against the sum over all state paths."""
     from itertools import product
