@@ -194,11 +194,19 @@ _SPOKEN = re.compile(
 _SPOKEN_SIGN = re.compile(r"[ _-](at|@|dot|\.)[ _-]|@|\.", re.IGNORECASE)
 
 
+# letters that match "s" and "i" when case is ignored
+_CASE = str.maketrans("ſıİ", "sii")
+
+
+def _low(word: str) -> str:
+    return word.translate(_CASE).lower()
+
+
 def _digits(m: re.Match) -> str:
     out = []
     for plus, times, word in _SPELLED_PART.findall(m.group()):
-        many = {"double": 2, "triple": 3}.get(times.lower(), 1)
-        out.append("+" if plus else _DIGIT_WORDS[word.lower()] * many)
+        many = {"double": 2, "triple": 3}.get(_low(times), 1)
+        out.append("+" if plus else _DIGIT_WORDS[_low(word)] * many)
     return "".join(out)
 
 
@@ -225,34 +233,24 @@ def _spoken(source: Mapped) -> Mapped:
     return Mapped(out.text + source.text[done:], out.starts + source.starts[done:], out.ends + source.ends[done:])
 
 
-_NAME_AT = re.compile(r"[0-9._][A-Za-z0-9%+-]* at [A-Za-z0-9-]+\.[A-Za-z0-9]", re.IGNORECASE)
-_BRACKETS = tuple(o + inner for o in "[({<" for inner in ("at", " at", "@", " @", "dot", " dot", ".", " .", "ar", "pun", "poi", "ät"))
-_WORDS = tuple(w for w in _DIGIT_WORDS if w != "oh")
+# what a transducer for addresses changes stands beside one of these; a plain address has none
+_SPOKEN_WORD = re.compile(r"[ _-](?:at|@|dot|\.)[ _-]", re.IGNORECASE)
+_FIRST = (_SUSPECT, _NUMBER_DOT, _AT, _DOT, _PLUS, _LONELY, _SPELLED)
 
 
 def disguised(text: str) -> bool:
-    """Whether any transducer might change the text; cheap, and never wrong on the side of no."""
-    low = text.lower()
-    return (
-        "dot" in low
-        or " @" in text
-        or "@ " in text
-        or any(b in low for b in _BRACKETS)
-        or (any(w in low for w in _WORDS) and _SPELLED.search(text) is not None)
-        or (_SUSPECT.search(text) is not None)
-        or (" at " in low and _NAME_AT.search(text) is not None)
-        or ("plus " in low and _PLUS.search(text) is not None)
-    )
+    """Whether any transducer might change the text: the first one that does sees the text as it is. Never wrong on the side of no."""
+    return any(p.search(text) for p in _FIRST) or (_SPOKEN_WORD.search(text) is not None and _SPOKEN.search(text) is not None)
 
 
 def normalised(text: str) -> Mapped:
     places = list(range(len(text)))
     out = plain_characters(Mapped(text, places, [p + 1 for p in places]))
     out = rewritten(out, _SPELLED, _digits)
-    out = rewritten(out, _LONELY, lambda m: _DIGIT_WORDS[(m.group(1) or m.group(2)).lower()])
+    out = rewritten(out, _LONELY, lambda m: _DIGIT_WORDS[_low(m.group(1) or m.group(2))])
     out = rewritten(out, _PLUS, lambda m: "+")
     out = rewritten(rewritten(out, _AT, lambda m: "@"), _DOT, lambda m: ".")
-    out = rewritten(out, _NUMBER_DOT, lambda m: ".") if "dot" in text.lower() or _SUSPECT.search(text) else out
+    out = rewritten(out, _NUMBER_DOT, lambda m: ".")
     return _spoken(out)
 
 

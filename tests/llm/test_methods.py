@@ -206,6 +206,34 @@ def test_disguised_identifiers_map_back(text, span):
     assert base == [] and [(s.kind, text[s.start : s.end]) for s in every] == [span]
 
 
+@pytest.mark.parametrize(
+    ("text", "span"),
+    [
+        ("call +1 555 one 23 4567", "phone:5:23"),
+        ("j.doe_at_example.com", "email:0:20"),
+        ("j.doe-at-example.com", "email:0:20"),
+        ("john at example . com", "email:0:21"),
+        ("john@example . com", "email:0:18"),
+        ("host 192 . 168 . 0 . 1", "ip:5:22"),
+        ("john ( arroba ) example ( punto ) com", "email:0:37"),
+    ],
+)
+def test_the_gate_lets_every_disguise_pass(text, span):
+    assert span in [str(s) for s in pii_spans.all_spans(text)[1]]
+
+
+def test_the_gate_is_never_wrong_on_the_side_of_no():
+    rng = random.Random(7)
+    parts = ["a", "j.doe", "1", "23", " ", " ", ".", " . ", "@", "_at_", "-at-", " at ", " dot ", "_dot_", "one", "oh", "plus ", "(", ")", "( punto )", "ſix", "+", "-", "о"]
+    changed = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        if pii_spans.normalised(text).text != text:
+            changed += 1
+            assert pii_spans.disguised(text), text
+    assert changed > 1000
+
+
 @pytest.mark.parametrize("text", ["meet me at the dot", "look at example.org", "one of the two, or three", "plus four more", "a @ b"])
 def test_prose_has_no_disguised_identifiers(text):
     assert pii_spans.all_spans(text) == ([], [])
