@@ -41,7 +41,7 @@ def differences(frame, con, sql) -> list[str]:
             out.append(str([(c, p, q) for c, p, q in zip(cols, x, y) if p != q][:6]))
     kinds = dict(zip(names, (str(d[1]) for d in found.description)))
     for f in frame.schema.fields:
-        want = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}.get(kinds[f.name].upper())
+        want = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}.get(kinds[f.name].upper())
         if want != f.dataType.simpleString():
             out.append(f"type of {f.name}: {f.dataType.simpleString()} != {kinds[f.name]}")
     return out
