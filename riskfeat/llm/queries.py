@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskfeat.llm.chat_perspectives import ORACLE_PERSPECTIVES, perspective_table
+from riskfeat.llm.collocations import ORACLE_COLLOCATIONS, collocations
 from riskfeat.llm.decontaminate import contaminations
+from riskfeat.llm.exact_topk import ORACLE_TOP, nearest
 from riskfeat.llm.hmm_lm import language_scores
 from riskfeat.llm.line_dedup import duplicate_lines
 from riskfeat.llm.minhash_dedup import near_duplicates, oracle_near_duplicates
@@ -16,6 +18,7 @@ from riskfeat.llm.quality_rules import ORACLE_QUALITY, quality_report
 from riskfeat.llm.text import shared_path
 from riskfeat.llm.token_counts import token_counts
 from riskfeat.llm.token_files import token_file_digest, write_token_files
+from riskfeat.llm.whitening import whitened_vectors
 from riskfeat.plans.tables import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -64,6 +67,18 @@ def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), NEAR_WORDS, NEAR_PERCENT)
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened_vectors(table(spark, folder, "embeddings"))
+
+
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"))
+
+
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 REGISTRY = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -75,6 +90,9 @@ REGISTRY = {
     "op8_token_files": op8_token_files,
     "op9_chat_perspectives": op9_chat_perspectives,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_exact_top_k": op12_exact_top_k,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 # the others are beyond SQL: tests hold them against brute force
@@ -83,4 +101,6 @@ ORACLE: dict[str, str] = {
     "op4_mix_sources": ORACLE_AMOUNTS,
     "op9_chat_perspectives": ORACLE_PERSPECTIVES,
     "op10_minhash_dedup": oracle_near_duplicates(NEAR_WORDS, NEAR_PERCENT),
+    "op12_exact_top_k": ORACLE_TOP,
+    "op13_phrase_collocations": ORACLE_COLLOCATIONS,
 }
