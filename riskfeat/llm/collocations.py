@@ -1,13 +1,13 @@
 """Phrase collocations by sampled mining: a sample proposes frequent phrases, full passes count and correct them.
 
-A sample of the documents, mined length by length at a lowered threshold, proposes the frequent phrases. The first full pass counts
+A sample of the documents, mined at a lowered threshold, proposes the frequent phrases. The first full pass counts
 every proposed phrase and their negative border, the phrases that were not proposed though both parts one word
 shorter were. A border phrase that turns out frequent is a failure of the sample: it joins the proposals, and another full pass counts
-the phrases that this brings into reach, until a pass finds nothing new. Then all frequent phrases are known with
-exact counts, whatever the sample was.
+the phrases that this brings into reach, until a pass finds nothing new.
 
-The proposals are held by tasks as a bitmap of fixed size: hashes that meet in it only make a pass count more
-phrases than it has to. Counts are kept by the words themselves, never by hashes.
+These passes count phrases by a 64-bit hash, which never counts a phrase too low; the last pass counts whatever reached the
+threshold by the words themselves. So the counts are exact, whatever the sample was and whichever hashes meet.
+Tasks hold the proposals as a bitmap of fixed size: hashes that meet in it only make a pass count more phrases.
 
 Defined results: a NULL text is empty, a NULL language is ``und``; NULL, missing or repeated ids do not matter, every
 row counts. Texts are lower-cased A-Z and split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and at blanks and tabs into words; a very
@@ -17,9 +17,10 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,11 @@ BUCKET_BITS = 15  # of Spark's bitmap functions
 PIECES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + 9 * b".")
 STOP = b"."
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-COUNTED = "lang string, phrase string, size int, hash long, n long"
+COUNTED = "lang string, phrase string, size int, n long"
+GAP = re.compile(rb"[ \t.]")
+SLICE = 1 << 20
+# an odd factor, so that it has an inverse modulo 2^64
+BASE = 0xD1342543DE82EF95
 
 ORACLE_COLLOCATIONS = f"""
 WITH pieces AS (
@@ -97,105 +102,169 @@ def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * MULTIPLIER
+    return (x ^ (x >> np.uint64(32))) * MULTIPLIER
+
+
+@cache
+def _powers(n: int, base: int = BASE) -> np.ndarray:
+    """The first n powers of the base, modulo 2^64."""
+    return np.cumprod(np.append(np.uint64(1), np.full(n - 1, base, dtype=np.uint64)), dtype=np.uint64)
+
+
+def word_hashes(data: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of a text that went through ``PIECES``, and the number of full stops before it.
+
+    A word's hash is a polynomial of its bytes, taken from running sums over the text. Slices are cut between words.
+    """
+    hashes, pieces, start, stops = [], [], 0, 0
+    while start < len(data):
+        end = min(start + SLICE, len(data))
+        if end < len(data):
+            gap = GAP.search(data, end)
+            end = gap.start() if gap else len(data)
+        text = np.frombuffer(data, np.uint8, end - start, start)
+        size = max(SLICE, 1 << (len(text) - 1).bit_length())
+        inside = np.concatenate([[False], (text != 32) & (text != 9) & (text != 46), [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        first, past = edges[::2], edges[1::2]
+        sums = np.zeros(len(text) + 1, dtype=np.uint64)
+        np.cumsum((text + np.uint64(1)) * _powers(size)[: len(text)], out=sums[1:])
+        hashes.append(_mixed(((sums[past] - sums[first]) * _powers(size, pow(BASE, -1, 1 << 64))[first]) ^ np.uint64(seed)))
+        before = np.cumsum(text == 46)
+        pieces.append(stops + before[first])
+        stops += int(before[-1])
+        start = end
+    if not hashes:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    return np.concatenate(hashes), np.concatenate(pieces)
+
+
 def _longer(head: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hashes of phrases from those of their heads and last words."""
-    mixed = (head ^ (head >> np.uint64(29))) * MULTIPLIER + word
-    return (mixed ^ (mixed >> np.uint64(32))) * MULTIPLIER
+    return _mixed(_mixed(head) + word)
+
+
+def _texts(batch: pa.RecordBatch) -> dict[str, bytes]:
+    """The texts of a batch per language, lower-cased, with a full stop wherever a piece ends."""
+    by_language = defaultdict(list)
+    for lang, text in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "text"))):
+        by_language[lang].append(text)
+    return {lang: "\n".join(texts).encode().translate(PIECES) for lang, texts in by_language.items()}
+
+
+def _seed(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode())
+
+
+def within_reach(
+    words: np.ndarray, pieces: np.ndarray, now: np.ndarray | None, before: np.ndarray | None, sizes: tuple[int, ...], proposed: int
+) -> Iterator[np.ndarray]:
+    """Hashes of all occurrences of phrases, of the given sizes, that are within reach of ``now`` but not of ``before``.
+
+    A phrase is within reach if the two phrases one word shorter are proposed, which is what the bitmap says up to the
+    size ``proposed``; longer ones count as proposed if they are within reach themselves. All single words are.
+    """
+    hashes = words
+    same = pieces[1:] == pieces[:-1]
+    reach, old = np.ones(len(words), dtype=bool), np.full(len(words), before is not None)
+    for size in range(1, max(sizes) + 1):
+        if size > 1:
+            held = reach & _known(now, hashes) if size - 1 <= proposed else reach
+            reach = held[:-1] & held[1:]
+            if size == 2:
+                reach &= same
+            if before is not None:
+                held = old & _known(before, hashes)
+                old = held[:-1] & held[1:] & reach
+            else:
+                old = np.zeros(len(reach), dtype=bool)
+            hashes = _longer(hashes[:-1], words[size - 1 :])
+        if size in sizes:
+            yield hashes[reach & ~old]
+
+
+def count_hashes(
+    docs: DataFrame, now: Broadcast | None, before: Broadcast | None, sizes: tuple[int, ...], proposed: int = LONGEST
+) -> DataFrame:
+    """Rows (hash, n) of all phrases newly within reach."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, old = (None if held is None else held.value for held in (now, before))
+        for batch in batches:
+            found = [np.zeros(0, dtype=np.uint64)]
+            for lang, data in _texts(batch).items():
+                words, pieces = word_hashes(data, _seed(lang))
+                found.extend(within_reach(words, pieces, bits, old, sizes, proposed))
+            hashes, counts = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.record_batch({"hash": pa.array(hashes.view(np.int64)), "n": pa.array(counts.astype(np.int64))})
+
+    return map_texts(docs, count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 def _distinct(places: np.ndarray, hashes: np.ndarray, ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """First places of the distinct phrases that start at ``places``, and their counts."""
-    order = np.argsort(hashes[places], kind="stable")
-    sorted_places = places[order]
-    sorted_hashes = hashes[sorted_places]
-    new = np.append(True, sorted_hashes[1:] != sorted_hashes[:-1])
+    ordered = places[np.argsort(hashes[places], kind="stable")]
+    new = np.append(True, np.diff(hashes[ordered]) != 0)
     differs = np.zeros(len(new), dtype=bool)
     for step in range(size):
-        words = ids[sorted_places + step]
-        differs |= np.append(True, words[1:] != words[:-1])
+        differs |= np.append(True, np.diff(ids[ordered + step]) != 0)
     if (differs & ~new).any():
         # two phrases share a hash: order by the words themselves
-        sorted_places = places[np.lexsort([ids[places + step] for step in range(size)])]
-        new = np.append(True, np.any([np.diff(ids[sorted_places + step]) != 0 for step in range(size)], axis=0))
+        ordered = places[np.lexsort([ids[places + step] for step in range(size)])]
+        new = np.append(True, np.any([np.diff(ids[ordered + step]) != 0 for step in range(size)], axis=0))
     starts = np.flatnonzero(new)
-    return sorted_places[starts], np.diff(np.append(starts, len(new)))
-
+    return ordered[starts], np.diff(np.append(starts, len(new)))
 
-def count_batch(
-    lang: str, texts: list[str], now: np.ndarray, before: np.ndarray | None, sizes: tuple[int, ...]
-) -> Iterator[tuple[pa.Array, int, np.ndarray, np.ndarray]]:
-    """(phrases, size, hashes, counts) of the phrases within reach of ``now`` but not of ``before``.
 
-    A phrase is within reach of a bitmap if the two phrases one word shorter are in it, and a single word always. The
-    empty phrase, of size 0, counts the words.
-    """
-    joined = "\n".join(texts).encode().translate(PIECES).replace(STOP, b" . ").split()
-    if not joined:
+def count_text(data: bytes, seed: int, held: np.ndarray, longest: int) -> Iterator[tuple[pa.Array, int, np.ndarray]]:
+    """(phrases, size, counts) of the phrases of a text that the bitmap has; the empty phrase, of size 0, counts the words."""
+    tokens = data.replace(STOP, b" . ").split()
+    if not tokens:
         return
-    coded = pa.array(joined, pa.binary()).dictionary_encode()
+    coded = pa.array(tokens, pa.binary()).dictionary_encode()
     words, ids = coded.dictionary, coded.indices.to_numpy()
-    seed = xxhash.xxh64_intdigest(lang.encode())
-    of_word = np.array([xxhash.xxh64_intdigest(w, seed) for w in words.to_pylist()], dtype=np.uint64)
     stop = pc.index(words, pa.scalar(STOP, pa.binary())).as_py()
-    plain = ids != stop
-    if before is None:
-        yield pa.array([""]), 0, np.zeros(1, dtype=np.int64), plain.sum(keepdims=True)
-    last = of_word[ids]
-    hashes, whole = last, plain
-    for size in range(1, max(sizes) + 1):
+    # the stop has no hash of its own: its place is left out and filled in
+    of_word = word_hashes(b" ".join(w for w in words.to_pylist() if w != STOP), seed)[0]
+    last = (of_word if stop < 0 else np.insert(of_word, stop, 0))[ids]
+    whole = ids != stop
+    yield pa.array([""]), 0, whole.sum(keepdims=True)
+    hashes = last
+    for size in range(1, longest + 1):
         if size > 1:
-            n = len(ids) - size + 1
-            if n <= 0:
-                return
-            whole = whole[:n] & plain[size - 1 :]
-            reach = _known(now, hashes[:n]) & _known(now, tail_hashes[1 : n + 1]) & whole
-            if before is not None:
-                reach &= ~(_known(before, hashes[:n]) & _known(before, tail_hashes[1 : n + 1]))
-            hashes = _longer(hashes[:n], last[size - 1 :])
-        else:
-            reach = whole if before is None else np.zeros(len(ids), dtype=bool)
-        tail_hashes = hashes
-        places = np.flatnonzero(reach)
-        if size not in sizes or not len(places):
-            continue
-        first, counts = _distinct(places, hashes, ids, size)
-        parts = [words.take(pa.array(ids[first + step])) for step in range(size)]
-        phrases = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if size > 1 else parts[0]
-        yield phrases.cast(pa.string()), size, hashes[first].view(np.int64), counts
-
-
-def count_phrases(docs: DataFrame, now: Broadcast, before: Broadcast | None, sizes: tuple[int, ...]) -> DataFrame:
-    """Exact counts (lang, phrase, size, hash, n) of all phrases newly within reach, of the given sizes."""
+            whole = whole[:-1] & whole[1:]
+            hashes = _longer(hashes[:-1], last[size - 1 :])
+        places = np.flatnonzero(whole & _known(held, hashes))
+        if len(places):
+            first, counts = _distinct(places, hashes, ids, size)
+            parts = [words.take(pa.array(ids[first + step])) for step in range(size)]
+            phrases = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if size > 1 else parts[0]
+            yield phrases.cast(pa.string()), size, counts
+
+
+def count_phrases(docs: DataFrame, held: Broadcast, longest: int) -> DataFrame:
+    """Exact counts (lang, phrase, size, n) of the phrases in the bitmap."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, old = now.value, None if before is None else before.value
         for batch in batches:
-            by_language = defaultdict(list)
-            for lang, text in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "text"))):
-                by_language[lang].append(text)
-            for lang, texts in by_language.items():
-                for phrases, size, hashes, counts in count_batch(lang, texts, bits, old, sizes):
-                    n = len(phrases)
-                    yield pa.record_batch(
-                        {
-                            "lang": pa.array([lang], pa.string()).take(pa.array(np.zeros(n, dtype=np.int64))),
-                            "phrase": phrases,
-                            "size": pa.array(np.full(n, size, dtype=np.int32)),
-                            "hash": pa.array(hashes),
-                            "n": pa.array(counts.astype(np.int64)),
-                        }
-                    )
-
-    parts = map_texts(docs, count, COUNTED)
-    return parts.groupBy("lang", "phrase", "size", "hash").agg(F.sum("n").alias("n"))
-
-
-def _bitmap(phrases: DataFrame) -> np.ndarray:
-    """The bitmap of the phrases' hashes; pieces of 4 KB, at most 2^(BITS - 15) of them, reach the driver."""
+            for lang, data in _texts(batch).items():
+                for phrases, size, counts in count_text(data, _seed(lang), held.value, longest):
+                    same = pa.array(np.zeros(len(phrases), dtype=np.int64))
+                    columns = [pa.array([lang]).take(same), phrases, pa.array([size], pa.int32()).take(same), pa.array(counts.astype(np.int64))]
+                    yield pa.record_batch(columns, names=["lang", "phrase", "size", "n"])
+
+    return map_texts(docs, count, COUNTED).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+
+
+def _bitmap(counts: DataFrame, least: int) -> np.ndarray:
+    """The bitmap of the hashes that reach a count; pieces of 4 KB, at most 2^(BITS - 15) of them, reach the driver."""
     # the first bits of the hash are the place
     at = F.shiftrightunsigned("hash", 64 - BITS)
     bucket = F.shiftright(at, BUCKET_BITS)
-    parts = phrases.groupBy(bucket.alias("b")).agg(F.bitmap_construct_agg(F.pmod(at, F.lit(1 << BUCKET_BITS))).alias("bits"))
+    frequent = counts.where(F.col("n") >= least)
+    parts = frequent.groupBy(bucket.alias("b")).agg(F.bitmap_construct_agg(F.pmod(at, F.lit(1 << BUCKET_BITS))).alias("bits"))
     out = np.zeros(1 << (BITS - 3), dtype=np.uint8)
     for row in parts.collect():
         start = row["b"] << (BUCKET_BITS - 3)
@@ -213,6 +282,7 @@ def frequent_phrases(
     ``share`` of the documents propose; it decides the number of passes, never the result.
     """
     spark = df.sparkSession
+    send = spark.sparkContext.broadcast
     known = [F.col(c).cast("string") for c in ("doc_id", "text") if c in df.columns]
     docs = df.where(F.col("text").isNotNull()).select(
         "text",
@@ -223,21 +293,20 @@ def frequent_phrases(
     every = tuple(range(1, longest + 1))
     with scratch(spark) as keep:
         sample = written(docs.where(F.col("draw") < int(share * DRAWS)).select("lang", "text"), "phrase-sample")
-        bits = np.zeros(1 << (BITS - 3), dtype=np.uint8)
-        for size in every:
-            proposed = count_phrases(sample, spark.sparkContext.broadcast(bits), None, (size,))
-            bits = bits | _bitmap(proposed.where((F.col("size") > 0) & (F.col("n") >= lowered(least, share))))
-        before, found = None, []
+        bits = _bitmap(count_hashes(sample, None, None, every[:2], 0), lowered(least, share))
+        if longest > 2:
+            bits = bits | _bitmap(count_hashes(sample, send(bits), None, every[2:], 2), lowered(least, share))
+        before, held = None, np.zeros_like(bits)
         while True:
-            now = spark.sparkContext.broadcast(bits)
-            counts = count_phrases(texts, now, before, every)
-            # the empty phrase stays whatever its count
-            found.append(keep(counts.where((F.col("size") == 0) | (F.col("n") >= least)), "phrases"))
-            wider = bits | _bitmap(found[-1].where("size > 0"))
+            now = send(bits)
+            found = _bitmap(count_hashes(texts, now, before, every), least)
+            held, wider = held | found, bits | found
             if (wider == bits).all():
                 break
             before, bits = now, wider
-    out = reduce(DataFrame.unionByName, found).drop("hash")
+        counts = count_phrases(texts, send(held), longest)
+        # the empty phrase stays whatever its count
+        out = keep(counts.where((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
     return out.where("size > 0"), out.where("size = 0").select("lang", "n")
 
 

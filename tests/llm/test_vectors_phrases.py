@@ -219,13 +219,26 @@ def test_phrases_of_one_language_are_cut_at_the_top(spark):
 
 
 def test_hashes_that_meet_do_not_join_phrases(monkeypatch):
-    """With one hash for all phrases and a full bitmap the counts are those of all phrases."""
+    """With one hash for all longer phrases and a full bitmap the counts are those of all phrases."""
     monkeypatch.setattr(collocations, "_longer", lambda head, word: np.zeros(len(head), dtype=np.uint64))
     full = np.full(1 << (collocations.BITS - 3), 255, dtype=np.uint8)
-    text = "a b c a b d a b c a b"
-    got = {p: n for ps, _, _, ns in collocations.count_batch("en", [text, "b c"], full, None, (1, 2, 3, 4)) for p, n in zip(ps.to_pylist(), ns)}
+    text = b"a b c a b d a b c a b.b c"
+    got = {p: n for ps, _, ns in collocations.count_text(text, 1, full, 4) for p, n in zip(ps.to_pylist(), ns)}
     want = Counter()
-    for t in (text, "b c"):
+    for t in text.decode().split("."):
         w = t.split()
         want.update(" ".join(w[i : i + s]) for s in range(1, 5) for i in range(len(w) - s + 1))
     assert got == {**want, "": 13}
+
+
+def test_word_hashes_do_not_depend_on_the_place(monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE", 16)
+    rng = np.random.default_rng(7)
+    words = [bytes(rng.integers(97, 100, rng.integers(1, 40)).astype(np.uint8)) for _ in range(200)]
+    gaps = [[b" ", b"\t  ", b". ", b".."][i] for i in rng.integers(0, 4, 200)]
+    data = b" ." + b"".join(w + g for w, g in zip(words, gaps))
+    hashes, pieces = collocations.word_hashes(data, 5)
+    by_word = dict(zip(words, hashes))
+    assert [by_word[w] for w in words] == list(hashes) and len(set(by_word.values())) == len(by_word)
+    assert list(pieces) == list(1 + np.append(0, np.cumsum([g.count(b".") for g in gaps]))[:-1])
+    assert len(collocations.word_hashes(b"", 5)[0]) == 0 == len(collocations.word_hashes(b" .\t. ", 5)[0])
