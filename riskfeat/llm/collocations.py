@@ -5,7 +5,7 @@ every proposed phrase and their negative border, the phrases that were not propo
 shorter were. A border phrase that turns out frequent is a failure of the sample: it joins the proposals, and another full pass counts
 the phrases that this brings into reach, until a pass finds nothing new.
 
-These passes count phrases by a 64-bit hash, which never counts a phrase too low; the last pass counts whatever reached the
+These passes count phrases by a hash of 40 bits, which never counts a phrase too low; the last pass counts whatever reached the
 threshold by the words themselves. So the counts are exact, whatever the sample was and whichever hashes meet.
 Tasks hold the proposals as a bitmap of fixed size: hashes that meet in it only make a pass count more phrases.
 
@@ -41,6 +41,8 @@ DRAWS = 1 << 20
 # 8 MB
 BITS = 26
 BUCKET_BITS = 15  # of Spark's bitmap functions
+# the first bits of a hash, by which phrases are counted; short ones make small shuffles
+COUNT_BITS = 40
 # A-Z to a-z, and every mark that ends a piece to a full stop
 PIECES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + 9 * b".")
 STOP = b"."
@@ -92,9 +94,12 @@ FROM placed JOIN totals USING (lang) WHERE place <= {TOP}
 
 
 def lowered(least: int, share: float) -> int:
-    """The threshold in a sample: the expected count of a just frequent phrase less one and a half deviations."""
+    """The threshold in a sample: the expected count of a just frequent phrase less half a deviation.
+
+    Lower ones propose more phrases that are not frequent, whose border is large; what is missed costs later passes little.
+    """
     expected = least * share
-    return max(1, int(expected - 1.5 * expected**0.5))
+    return max(1, int(expected - 0.5 * expected**0.5))
 
 
 def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -197,7 +202,7 @@ def count_hashes(
             for lang, data in _texts(batch).items():
                 words, pieces = word_hashes(data, _seed(lang))
                 found.extend(within_reach(words, pieces, bits, old, sizes, proposed))
-            hashes, counts = np.unique(np.concatenate(found), return_counts=True)
+            hashes, counts = np.unique(np.concatenate(found) >> np.uint64(64 - COUNT_BITS), return_counts=True)
             yield pa.record_batch({"hash": pa.array(hashes.view(np.int64)), "n": pa.array(counts.astype(np.int64))})
 
     return map_texts(docs, count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
@@ -261,7 +266,7 @@ def count_phrases(docs: DataFrame, held: Broadcast, longest: int) -> DataFrame:
 def _bitmap(counts: DataFrame, least: int) -> np.ndarray:
     """The bitmap of the hashes that reach a count; pieces of 4 KB, at most 2^(BITS - 15) of them, reach the driver."""
     # the first bits of the hash are the place
-    at = F.shiftrightunsigned("hash", 64 - BITS)
+    at = F.shiftright("hash", COUNT_BITS - BITS)
     bucket = F.shiftright(at, BUCKET_BITS)
     frequent = counts.where(F.col("n") >= least)
     parts = frequent.groupBy(bucket.alias("b")).agg(F.bitmap_construct_agg(F.pmod(at, F.lit(1 << BUCKET_BITS))).alias("bits"))
@@ -283,19 +288,21 @@ def frequent_phrases(
     """
     spark = df.sparkSession
     send = spark.sparkContext.broadcast
-    known = [F.col(c).cast("string") for c in ("doc_id", "text") if c in df.columns]
+    ids = [F.col(c).cast("string") for c in ("doc_id", "text") if c in df.columns]
     docs = df.where(F.col("text").isNotNull()).select(
         "text",
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN_LANGUAGE)).alias("lang"),
-        F.pmod(F.xxhash64(*known), F.lit(DRAWS)).alias("draw"),
+        F.pmod(F.xxhash64(*ids), F.lit(DRAWS)).alias("draw"),
     )
     texts = docs.select("lang", "text")
     every = tuple(range(1, longest + 1))
     with scratch(spark) as keep:
         sample = written(docs.where(F.col("draw") < int(share * DRAWS)).select("lang", "text"), "phrase-sample")
-        bits = _bitmap(count_hashes(sample, None, None, every[:2], 0), lowered(least, share))
-        if longest > 2:
-            bits = bits | _bitmap(count_hashes(sample, send(bits), None, every[2:], 2), lowered(least, share))
+        bits = np.zeros(1 << (BITS - 3), dtype=np.uint8)
+        # words, then pairs of frequent words, then all that is made of frequent pairs
+        for known_size, sizes in ((0, every[:1]), (1, every[1:2]), (2, every[2:])):
+            if sizes:
+                bits = bits | _bitmap(count_hashes(sample, send(bits), None, sizes, known_size), lowered(least, share))
         before, held = None, np.zeros_like(bits)
         while True:
             now = send(bits)
