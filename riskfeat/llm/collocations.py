@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +44,8 @@ BITS = 26
 BUCKET_BITS = 15  # of Spark's bitmap functions
 # the first bits of a hash, by which phrases are counted; short ones make small shuffles
 COUNT_BITS = 40
+# hashes that a task holds before it hands them on, and that a task which adds them up should get
+HELD, ADDED = 4_000_000, 1 << 20
 # A-Z to a-z, and every mark that ends a piece to a full stop
 PIECES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + 9 * b".")
 STOP = b"."
@@ -190,22 +193,71 @@ def within_reach(
             yield hashes[reach & ~old]
 
 
-def count_hashes(
-    docs: DataFrame, now: Broadcast | None, before: Broadcast | None, sizes: tuple[int, ...], proposed: int = LONGEST
+def _summed(hashes: np.ndarray, counts: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order and their counts; a count above ``cap`` is ``cap``."""
+    bits = np.uint64(cap.bit_length())
+    joined = np.sort((hashes << bits) | np.minimum(counts, cap).astype(np.uint64))
+    hashes = joined >> bits
+    starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+    if not len(starts):
+        return hashes, counts
+    return hashes[starts], np.minimum(np.add.reduceat(joined & ((np.uint64(1) << bits) - np.uint64(1)), starts), np.uint64(cap))
+
+
+def pack(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Hashes in order and their counts: differences and counts byte plane by byte plane, compressed."""
+    planes = [np.diff(hashes, prepend=np.uint64(0)).astype("<u8"), counts.astype("<u8")]
+    raw = np.concatenate([x.view(np.uint8).reshape(-1, 8).T.ravel() for x in planes])
+    return zstandard.compress(raw.tobytes(), 1)
+
+
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(2, 8, -1)
+    steps, counts = (np.ascontiguousarray(x.T).view("<u8").ravel() for x in planes)
+    return np.cumsum(steps, dtype=np.uint64), counts
+
+
+def _ranges(hashes: np.ndarray, counts: np.ndarray, range_bits: int) -> pa.RecordBatch:
+    """One row (range, packed) for every range of hashes."""
+    of_range = hashes >> np.uint64(COUNT_BITS - range_bits)
+    cuts = np.flatnonzero(of_range[1:] != of_range[:-1]) + 1
+    packed = [pack(h, n) for h, n in zip(np.split(hashes, cuts), np.split(counts, cuts), strict=True)]
+    return pa.record_batch({"range": pa.array(of_range[np.append(0, cuts)].astype(np.int64)), "packed": pa.array(packed, pa.binary())})
+
+
+def frequent_hashes(
+    docs: DataFrame, now: Broadcast, before: Broadcast | None, sizes: tuple[int, ...], least: int, range_bits: int, proposed: int = LONGEST
 ) -> DataFrame:
-    """Rows (hash, n) of all phrases newly within reach."""
+    """The hashes of phrases newly within reach that occur ``least`` times.
+
+    Tasks add up their hashes and hand them on in ranges, packed; each range is added up by a task. Counts
+    only have to tell whether they reach ``least``.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, old = (None if held is None else held.value for held in (now, before))
+        bits, old = now.value, None if before is None else before.value
+        held, n_held = [], 0
         for batch in batches:
-            found = [np.zeros(0, dtype=np.uint64)]
+            found = []
             for lang, data in _texts(batch).items():
                 words, pieces = word_hashes(data, _seed(lang))
                 found.extend(within_reach(words, pieces, bits, old, sizes, proposed))
-            hashes, counts = np.unique(np.concatenate(found) >> np.uint64(64 - COUNT_BITS), return_counts=True)
-            yield pa.record_batch({"hash": pa.array(hashes.view(np.int64)), "n": pa.array(counts.astype(np.int64))})
+            if found:
+                hashes = np.concatenate(found) >> np.uint64(64 - COUNT_BITS)
+                held.append(_summed(hashes, np.ones(len(hashes), dtype=np.uint64), least))
+                n_held += len(held[-1][0])
+            if n_held > HELD:
+                yield _ranges(*_summed(*map(np.concatenate, zip(*held)), least), range_bits)
+                held, n_held = [], 0
+        if n_held:
+            yield _ranges(*_summed(*map(np.concatenate, zip(*held)), least), range_bits)
+
+    def add(table: pa.Table) -> pa.Table:
+        parts = [unpack(x) for x in table.column("packed").to_pylist()]
+        hashes, counts = _summed(*map(np.concatenate, zip(*parts)), least)
+        return pa.table({"hash": pa.array(hashes[counts >= least].astype(np.int64))})
 
-    return map_texts(docs, count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return map_texts(docs, count, "range long, packed binary").groupBy("range").applyInArrow(add, "hash long")
 
 
 def _distinct(places: np.ndarray, hashes: np.ndarray, ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -263,13 +315,12 @@ def count_phrases(docs: DataFrame, held: Broadcast, longest: int) -> DataFrame:
     return map_texts(docs, count, COUNTED).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 
-def _bitmap(counts: DataFrame, least: int) -> np.ndarray:
-    """The bitmap of the hashes that reach a count; pieces of 4 KB, at most 2^(BITS - 15) of them, reach the driver."""
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """The bitmap of the hashes; pieces of 4 KB, at most 2^(BITS - 15) of them, reach the driver."""
     # the first bits of the hash are the place
     at = F.shiftright("hash", COUNT_BITS - BITS)
     bucket = F.shiftright(at, BUCKET_BITS)
-    frequent = counts.where(F.col("n") >= least)
-    parts = frequent.groupBy(bucket.alias("b")).agg(F.bitmap_construct_agg(F.pmod(at, F.lit(1 << BUCKET_BITS))).alias("bits"))
+    parts = hashes.groupBy(bucket.alias("b")).agg(F.bitmap_construct_agg(F.pmod(at, F.lit(1 << BUCKET_BITS))).alias("bits"))
     out = np.zeros(1 << (BITS - 3), dtype=np.uint8)
     for row in parts.collect():
         start = row["b"] << (BUCKET_BITS - 3)
@@ -298,15 +349,19 @@ def frequent_phrases(
     every = tuple(range(1, longest + 1))
     with scratch(spark) as keep:
         sample = written(docs.where(F.col("draw") < int(share * DRAWS)).select("lang", "text"), "phrase-sample")
+        # about one hash for every third character; it decides the size of tasks only
+        drawn = sample.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).head()[0]
+        range_bits = min(COUNT_BITS, max(6, int(drawn / max(share, 0.01) / 3 / ADDED).bit_length()))
         bits = np.zeros(1 << (BITS - 3), dtype=np.uint8)
         # words, then pairs of frequent words, then all that is made of frequent pairs
         for known_size, sizes in ((0, every[:1]), (1, every[1:2]), (2, every[2:])):
             if sizes:
-                bits = bits | _bitmap(count_hashes(sample, send(bits), None, sizes, known_size), lowered(least, share))
+                few = lowered(least, share)
+                bits = bits | _bitmap(frequent_hashes(sample, send(bits), None, sizes, few, range_bits, known_size))
         before, held = None, np.zeros_like(bits)
         while True:
             now = send(bits)
-            found = _bitmap(count_hashes(texts, now, before, every), least)
+            found = _bitmap(frequent_hashes(texts, now, before, every, least, range_bits))
             held, wider = held | found, bits | found
             if (wider == bits).all():
                 break

@@ -242,3 +242,16 @@ def test_word_hashes_do_not_depend_on_the_place(monkeypatch):
     assert [by_word[w] for w in words] == list(hashes) and len(set(by_word.values())) == len(by_word)
     assert list(pieces) == list(1 + np.append(0, np.cumsum([g.count(b".") for g in gaps]))[:-1])
     assert len(collocations.word_hashes(b"", 5)[0]) == 0 == len(collocations.word_hashes(b" .\t. ", 5)[0])
+
+
+def test_hashes_are_packed_and_added_up():
+    rng = np.random.default_rng(8)
+    hashes = rng.integers(0, 1 << collocations.COUNT_BITS, 5000).astype(np.uint64)
+    hashes = np.concatenate([hashes, hashes[:3000], hashes[:7].repeat(50)])
+    got = collocations._summed(hashes, np.ones(len(hashes), dtype=np.uint64), 30)
+    want = Counter(hashes.tolist())
+    assert dict(zip(*(x.tolist() for x in got))) == {h: min(n, 30) for h, n in want.items()}
+    batch = collocations._ranges(*got, 6)
+    back = [collocations.unpack(x) for x in batch.column("packed").to_pylist()]
+    assert [np.concatenate(x).tolist() for x in zip(*back)] == [x.tolist() for x in got]
+    assert sorted(set((got[0] >> np.uint64(34)).tolist())) == batch.column("range").to_pylist()
