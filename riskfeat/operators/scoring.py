@@ -5,11 +5,14 @@ Score table: ``user, split ("oof" or "test"), model, seed, feature_set, score``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -25,16 +28,19 @@ MISSING = -999.0
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Boosting settings; the defaults are the full-size ones."""
+    """Boosting settings; the defaults are the full-size ones.
+
+    Boosting stops when the AUC of the held-out fold has not risen for ``patience`` rounds, and the best round counts.
+    """
 
     rounds: int = 5000
+    patience: int = 100
     depth: int = 8
     step: float = 0.02
     rows_share: float = 0.8
     columns_share: str = "0.8"
     min_rows: int = 5
     bins: int = 32
-    tolerance: float = 1e-4
     seed: int = 2020
     extra: Mapping[str, object] = field(default_factory=dict)
 
@@ -62,56 +68,143 @@ def gbt_oof_scores(
     """k-fold boosted trees: each labelled user scored by the model that did not see it,
     users to score by the mean of the k models.
 
-    The held-out fold also stops boosting early, as a validation set.
+    The held-out fold also says which round is the best.
     """
     every = fold_scores(matrix, features, k, settings, roles)
     return average_fold_scores(every, model, settings.seed, feature_set, roles)
 
 
-def fold_scores(
+def leaf_values(model: GBTClassificationModel) -> np.ndarray:
+    """One row per tree: what each leaf, from left to right, adds to the margin; its size is that of the trees.
+
+    A tree is read from its printed form, in which numbers are exact and leaves come in the order of their indices.
+    """
+    found = [[float(x) for x in re.findall(r"Predict: (\S+)", tree.toDebugString)] for tree in model.trees]
+    out = np.zeros((len(found), max(map(len, found))))
+    for row, (values, weight) in enumerate(zip(found, model.treeWeights, strict=True)):
+        out[row, : len(values)] = np.array(values) * weight
+    return out
+
+
+def staged_margins(model: GBTClassificationModel, rows: DataFrame, keep: Sequence[str], first: int, last: int) -> DataFrame:
+    """Rows (keep…, round, margin): the running sum of the trees after each of the rounds ``first`` to ``last``."""
+    values = rows.sparkSession.sparkContext.broadcast(leaf_values(model))
+    leaves = model.copy().setLeafCol("__leaves").transform(rows).select(*keep, vector_to_array("__leaves").alias("__leaves"))
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        added = values.value[:last]
+        tree = np.arange(len(added))
+        for whole in batches:
+            # few rows at a time: each becomes one per round
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                at = batch.column(len(keep))
+                leaf = at.flatten().to_numpy().reshape(len(at), -1)[:, : len(added)].astype(np.int64)
+                margins = np.cumsum(added[tree, leaf], axis=1)[:, first - 1 :]
+                repeated = pa.array(np.repeat(np.arange(len(at)), margins.shape[1]))
+                columns = [batch.column(i).take(repeated) for i in range(len(keep))]
+                rounds = np.tile(np.arange(first, first + margins.shape[1], dtype=np.int32), len(at))
+                yield pa.record_batch([*columns, pa.array(rounds), pa.array(margins.ravel())], names=[*keep, "round", "margin"])
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in leaves.schema.fields[: len(keep)])
+    return leaves.mapInArrow(stage, f"{kept}, round int, margin double")
+
+
+@dataclass(frozen=True)
+class Boosted:
+    """Trees, the round with the highest AUC on the held-out rows, that AUC, and the rounds looked at."""
+
+    model: GBTClassificationModel
+    best_round: int
+    auc: float | None
+    looked_at: int
+
+
+def _boost(known: DataFrame, rounds: int, settings: TreeSettings) -> GBTClassificationModel:
+    return GBTClassifier(
+        featuresCol="features",
+        labelCol="label",
+        maxIter=rounds,
+        maxDepth=settings.depth,
+        stepSize=settings.step,
+        subsamplingRate=settings.rows_share,
+        featureSubsetStrategy=settings.columns_share,
+        minInstancesPerNode=settings.min_rows,
+        maxBins=settings.bins,
+        seed=settings.seed,
+        **settings.extra,
+    ).fit(known)
+
+
+def boost_to_best_round(known: DataFrame, held_out: DataFrame, settings: TreeSettings) -> Boosted:
+    """Boosted trees of ``known``, and their best round on ``held_out`` (both with ``label`` and ``features``).
+
+    A round costs as much as any other, so as many are trained as patience asks for: twice its number at first, and twice
+    as many again while the AUC still rises. A longer run starts with the same trees, so rounds that have been looked at
+    are not looked at again. The AUCs of ``patience`` rounds at a time are exact and come from one grouped
+    pass. Of equal AUCs the earliest round counts; without both classes held out the last one does.
+    """
+    best, best_auc, seen = 0, None, 0
+    rounds = min(settings.rounds, 2 * settings.patience)
+    while True:
+        model = _boost(known, rounds, settings)
+        while seen < rounds and seen - best < settings.patience:
+            last = min(rounds, seen + settings.patience)
+            margins = staged_margins(model, held_out, ["label"], seen + 1, last)
+            for r in sorted(roc_auc(margins, "margin", "label", ["round"]).collect(), key=lambda r: r["round"]):
+                # patience may run out inside the block
+                if r["auc"] is not None and r["round"] - best <= settings.patience and (best_auc is None or r["auc"] > best_auc):
+                    best, best_auc = r["round"], r["auc"]
+            seen = last
+        if rounds == settings.rounds or seen - best >= settings.patience:
+            return Boosted(model, best or rounds, best_auc, min(seen, best + settings.patience) if best else seen)
+        rounds = min(settings.rounds, 2 * rounds)
+
+
+def trained_folds(
     matrix: DataFrame,
     features: Sequence[str],
     k: int = 5,
     settings: TreeSettings = TreeSettings(),
     roles: LabelRoles = LabelRoles(),
-) -> DataFrame:
-    """(user, split, score) of every fold's model for the users it did not see."""
+) -> tuple[DataFrame, list[Boosted]]:
+    """(user, split, score) of every fold's model, at its best round, for the users it did not see; and the models."""
     numbers = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in features]
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     rows = matrix.select(roles.user, F.col(roles.label).cast("double").alias("label"), roles.fold, *numbers)
     ready = assembler.transform(rows).select(roles.user, "label", roles.fold, "features").persist()
     try:
-        parts = []
-        for held_out in range(k):
-            known = ready.where(F.col("label").isNotNull()).withColumn("held_out", F.col(roles.fold) == held_out)
-            trees = GBTClassifier(
-                featuresCol="features",
-                labelCol="label",
-                maxIter=settings.rounds,
-                maxDepth=settings.depth,
-                stepSize=settings.step,
-                subsamplingRate=settings.rows_share,
-                featureSubsetStrategy=settings.columns_share,
-                minInstancesPerNode=settings.min_rows,
-                maxBins=settings.bins,
-                validationIndicatorCol="held_out",
-                validationTol=settings.tolerance,
-                seed=settings.seed,
-                **settings.extra,
-            ).fit(known)
-            unseen = ready.where(F.col("label").isNull() | (F.col(roles.fold) == held_out))
+        parts, models = [], []
+        for fold in range(k):
+            labelled, outside = ready.where(F.col("label").isNotNull()), F.col(roles.fold) == fold
+            trees = boost_to_best_round(labelled.where(~outside), labelled.where(outside), settings)
+            unseen = ready.where(F.col("label").isNull() | outside)
+            margins = staged_margins(trees.model, unseen, [roles.user, "label"], trees.best_round, trees.best_round)
+            models.append(trees)
             parts.append(
-                trees.transform(unseen).select(
+                margins.select(
                     roles.user,
                     F.when(F.col("label").isNull(), "test").otherwise("oof").alias("split"),
-                    vector_to_array("probability")[1].alias("score"),
+                    # the trees were fitted to a margin of half the log odds
+                    (1 / (1 + F.exp(-2 * F.col("margin")))).alias("score"),
                 )
             )
-        return reliable_checkpoint(reduce(DataFrame.unionByName, parts))
+        return reliable_checkpoint(reduce(DataFrame.unionByName, parts)), models
     finally:
         ready.unpersist()
 
 
+def fold_scores(
+    matrix: DataFrame,
+    features: Sequence[str],
+    k: int = 5,
+    settings: TreeSettings = TreeSettings(),
+    roles: LabelRoles = LabelRoles(),
+) -> DataFrame:
+    """(user, split, score) of every fold's model for the users it did not see."""
+    return trained_folds(matrix, features, k, settings, roles)[0]
+
+
 def average_fold_scores(
     fold_scores: DataFrame, model: str, seed: int, feature_set: str, roles: LabelRoles = LabelRoles()
 ) -> DataFrame:

@@ -593,6 +593,8 @@ def oracle() -> dict[str, str]:
         "event_category_encoders": _event_encoders(),
         "event_transform_encoders": _event_transforms(),
         "files_to_input": FILES,
+        "best_rounds": f"""WITH {PROF} SELECT fold, CAST(sum(label) AS BIGINT) AS n_bad, CAST(sum(1 - label) AS BIGINT) AS n_good,
+            CAST(1 AS BIGINT) AS inside, CAST(1 AS BIGINT) AS same_auc FROM prof WHERE label IS NOT NULL GROUP BY fold""",
         "fold_score_contract": f"""WITH {PROF} SELECT user_id, CASE WHEN label IS NULL THEN 'test' ELSE 'oof' END AS split,
             CAST(CASE WHEN label IS NULL THEN 5 ELSE 1 END AS BIGINT) AS n_models, CAST(0 AS BIGINT) AS off,
             CAST(1 AS BIGINT) AS in_range FROM prof""",
@@ -610,6 +612,19 @@ def oracle() -> dict[str, str]:
             CAST(len(codes) AS BIGINT) AS seq_len FROM x""",
         "sequence_vocabulary": f"""WITH {TOP} {' UNION ALL '.join(
             f'''SELECT '{c}' AS "column", count(DISTINCT {c}) + 1 AS vocabulary FROM top''' for c in ('event_type', 'k7', 'ip'))}""",
+        "value_neighbour_counts": f"""WITH {ACT}, placed AS (SELECT user_id, coalesce(ip, 'nan') AS v,
+              row_number() OVER (PARTITION BY user_id ORDER BY timestamp, rank, seq) AS pos FROM act WHERE user_id IS NOT NULL),
+            near AS (SELECT a.v AS one, b.v AS other, 11 - (b.pos - a.pos) AS tenths FROM placed a JOIN placed b
+              ON a.user_id = b.user_id AND b.pos > a.pos AND b.pos <= a.pos + 10),
+            c AS (SELECT value, term, sum(n) / 10.0 AS weight FROM (SELECT one AS value, other AS term, tenths AS n FROM near
+              UNION ALL SELECT other, one, tenths FROM near) GROUP BY ALL),
+            s AS (SELECT value, sum(weight) AS w FROM c GROUP BY 1),
+            t AS (SELECT sum(pow(w, 0.75)) AS whole FROM s),
+            i AS (SELECT c.value, c.term, c.weight, ln(c.weight / (a.w * pow(b.w, 0.75) / whole)) AS x
+              FROM c JOIN s a ON a.value = c.value JOIN s b ON b.value = c.term, t)
+            SELECT value, term, {r("weight")} AS weight, {r("CASE WHEN x > 0 THEN x END")} AS information FROM i""",
+        "svd_certificate": """SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, CAST(1 AS BIGINT) AS holds,
+            CAST(1 AS BIGINT) AS converged FROM range(10) a(i), range(10) b(j) WHERE j <= i""",
         "tfidf_weights": "WITH "
         + _tfidf(
             r"""tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id,

@@ -12,6 +12,7 @@ from riskfeat.functions.stats import BASIC, SPREAD, WITH_STD, Stat, stats_of
 from riskfeat.operators import behaviour, encoders, folds, grouping, popularity, profile, scoring, sequences, sessions
 from riskfeat.operators import vectors
 from riskfeat.plans import feature_matrix, input_files, tables
+from riskfeat.session import reliable_checkpoint
 from riskfeat.sources.readers import read_risk_input
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -553,14 +554,54 @@ def tfidf_svd(spark, folder):
     return vectors.truncated_svd(weights, "user_id", "svd_tfidf_type_k7")
 
 
+@query
+def value_neighbour_counts(spark, folder):
+    """How often two resources stand near each other in a user's time order, and the information in it."""
+    counts = vectors.neighbour_counts(vectors.value_sentences(tables.logs(spark, folder), "ip"))
+    information = vectors.neighbour_information(counts).withColumnRenamed("weight", "information")
+    return rounded(counts.join(information, ["value", "term"], "left"))
+
+
+def _certificate(found: vectors.Projection, key: str) -> DataFrame:
+    """Per pair of columns: whether they are at right angles, and for a column with itself its length and residual."""
+    k = len(found.values)
+    sums = found.rows.agg(*[F.sum(F.col(f"c{i}") * F.col(f"c{j}")).alias(f"p{i}_{j}") for i in range(k) for j in range(i + 1)])
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(i).cast("long").alias("i"), F.lit(j).cast("long").alias("j"), F.col(f"p{i}_{j}").alias("product"),
+                F.lit(float(found.values[i])).alias("s"), F.lit(float(found.residuals[i])).alias("residual"),
+            )
+            for i in range(k) for j in range(i + 1)
+        ]
+    )
+    largest = float(found.values.max()) ** 2
+    same = F.col("i") == F.col("j")
+    # a column's length is its singular value but for the residual
+    as_said = F.abs(F.col("product") - F.col("s") ** 2) <= (F.col("residual") ** 2 + 1e-9) * largest
+    slant = F.abs(F.col("product")) <= 0.01 * largest
+    return sums.select(F.inline(pairs)).select(
+        "i", "j", F.when(same, as_said).otherwise(slant).cast("long").alias("holds"), (F.col("residual") <= 0.01).cast("long").alias("converged")
+    )
+
+
+@query
+def svd_certificate(spark, folder):
+    """Lengths, angles and residuals of the projected columns of the weighted terms."""
+    rows = tables.logs(spark, folder).withColumn("type_k7", composite_key("event_type", "k7"))
+    counts = vectors.value_term_counts(rows, "user_id", "type_k7")
+    weights = vectors.tfidf_weights(counts, "user_id", vectors.document_count(rows, "user_id"))
+    return _certificate(vectors.singular_projection(weights, "user_id"), "user_id")
+
+
 @query
 def value_word2vec(spark, folder):
-    return vectors.value_word2vec(tables.logs(spark, folder), "ip", iterations=20)
+    return vectors.value_word2vec(tables.logs(spark, folder), "ip")
 
 
 @query
 def user_doc_embedding(spark, folder):
-    return vectors.user_doc_embedding(tables.logs(spark, folder), "ip", iterations=20)
+    return vectors.user_doc_embedding(tables.logs(spark, folder), "ip")
 
 
 # -- scores
@@ -636,7 +677,7 @@ def gbt_oof_scores(spark, folder):
 def fold_score_contract(spark, folder):
     """How many fold models score each user, and how far the score table is from their mean."""
     matrix = feature_matrix.star_matrix(spark, folder)
-    features = scoring.feature_columns(matrix)[:40]
+    features = scoring.feature_columns(matrix)
     every = scoring.fold_scores(matrix, features, tables.FOLDS, SMALL_TREES)
     table = scoring.average_fold_scores(every, "gbt", SMALL_TREES.seed, "all")
     n = every.groupBy("user_id", "split").agg(F.count(F.lit(1)).alias("n_models"), F.avg("score").alias("mean_score"))
@@ -646,6 +687,23 @@ def fold_score_contract(spark, folder):
     )
 
 
+@query
+def best_rounds(spark, folder):
+    """Per fold the users that chose the best round, whether it lies in the rounds, and whether the AUC noted for it is
+    that of the scores, counted anew."""
+    matrix = reliable_checkpoint(feature_matrix.star_matrix(spark, folder))
+    settings = scoring.TreeSettings(rounds=12, patience=4, depth=4, step=0.2)
+    scores, models = scoring.trained_folds(matrix, scoring.feature_columns(matrix), tables.FOLDS, settings)
+    held_out = scores.where("split = 'oof'").join(matrix.select("user_id", "label", "fold"), "user_id")
+    anew = scoring.roc_auc(held_out, "score", "label", ["fold"])
+    noted = spark.createDataFrame([(i, m.best_round, m.auc, m.looked_at) for i, m in enumerate(models)], "fold long, best int, noted double, seen int")
+    inside = F.col("best").between(1, F.col("seen")) & (F.col("seen") - F.col("best") <= settings.patience)
+    return anew.join(noted, "fold").select(
+        F.col("fold").cast("long").alias("fold"), "n_bad", "n_good",
+        inside.cast("long").alias("inside"), (F.abs(F.col("auc") - F.col("noted")) < 1e-9).cast("long").alias("same_auc"),
+    )
+
+
 @query
 def files_to_input(spark, folder):
     """Customers and events written as the seven input files and read back, with figures per user."""

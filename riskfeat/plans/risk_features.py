@@ -102,7 +102,6 @@ class RunSettings:
 
     folds: int = 5
     vector_size: int = 10
-    vector_rounds: int = 20
     top_types: int = 2
     trees: scoring.TreeSettings = field(default_factory=scoring.TreeSettings)
     # feature sets per seed
@@ -203,15 +202,16 @@ def trans_blocks(trans: DataFrame, settings: RunSettings) -> dict[str, DataFrame
         f"pivot_{c}": grouping.pivot_stats(trans, [USER], c, grouping.category_values(trans, c), "amount")
         for c in ("platform", "type1", "type2", "type")
     }
-    size, rounds = settings.vector_size, settings.vector_rounds
+    size = settings.vector_size
+    amounts = vectors.value_vectors(trans, "amount", size, EVENTS)
     terms = vectors.value_term_counts(trans, USER, "platform_tunnel_io_type")
     weights = vectors.tfidf_weights(terms, USER, vectors.document_count(trans, USER))
     return {
         "trans_stats": rates,
         **pivots,
         "trans_popularity": popularity.popularity_user_stats(trans, TRANS_COLUMNS, SPREAD, "trans", EVENTS),
-        "trans_d2v": vectors.user_doc_embedding(trans, "amount", size, rounds, EVENTS),
-        "trans_w2v": vectors.value_word2vec(trans, "amount", size, rounds, EVENTS),
+        "trans_d2v": vectors.user_doc_embedding(trans, "amount", size, EVENTS, amounts),
+        "trans_w2v": vectors.value_word2vec(trans, "amount", size, EVENTS, amounts),
         "trans_tfidf": vectors.truncated_svd(weights, USER, "svd_tfidf_platform_tunnel_io_type", size),
         "trans_count": vectors.truncated_svd(
             terms.withColumnRenamed("tf", "weight"), USER, "svd_countvec_platform_tunnel_io_type", size
@@ -226,7 +226,7 @@ def op_blocks(op: DataFrame, settings: RunSettings) -> dict[str, DataFrame]:
         "op_stats": grouping.grouped_stats(op, [USER], _time_stats("op")),
         "op_nunique": grouping.nunique_stats(op, [USER], OP_COLUMNS, "op"),
         "op_popularity": popularity.popularity_user_stats(op, OP_COLUMNS, SPREAD, "op", EVENTS),
-        "op_w2v": vectors.value_word2vec(op, "channel", size, settings.vector_rounds, EVENTS),
+        "op_w2v": vectors.value_word2vec(op, "channel", size, EVENTS),
     }
     for c in ("op_mode", "op_type"):
         terms = vectors.value_term_counts(op, USER, c)

@@ -1,9 +1,12 @@
 """Brute-force checks on random data."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskfeat.functions.stats import Stat, stats_of
@@ -142,6 +145,80 @@ def test_sentences_keep_order_and_overlap(spark, monkeypatch):
     assert found == [[f"w{i}" for i in span] for span in (range(0, 6), range(4, 10), range(8, 10))]
 
 
+def test_svd_says_how_far_off_it_is(spark):
+    rng = np.random.default_rng(2)
+    dense = rng.normal(size=(60, 40))
+    rows = [(f"u{i}", f"term{j:02d}", float(dense[i, j])) for i in range(60) for j in range(40)]
+    df = spark.createDataFrame(rows, "user_id string, term string, weight double")
+    loose, tight = (vectors.singular_projection(df, "user_id", 3, 2, tolerance, most=40) for tolerance in (0.5, 1e-2))
+    assert loose.rounds < tight.rounds < 40 and (tight.residuals <= 1e-2).all() and (loose.residuals > 0.1).any()
+    true = np.linalg.svd(dense)[1]
+    # within a residual of each value found there is a true one
+    assert (np.abs(tight.values - true[:3]) <= tight.residuals * true[0]).all()
+
+
+def test_neighbour_counts_are_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SENTENCE_WORDS", 7)
+    rng = np.random.default_rng(3)
+    lists = {f"u{i}": [f"w{x}" for x in rng.integers(0, 6, rng.integers(1, 40))] for i in range(5)}
+    rows = [(u, t, t, w) for u, words in lists.items() for t, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "user_id string, timestamp long, seq long, v string").repartition(3)
+    got = {(r["value"], r["term"]): round(10 * r["weight"]) for r in vectors.neighbour_counts(vectors.value_sentences(df, "v")).collect()}
+    want = Counter()
+    for words in lists.values():
+        for a in range(len(words)):
+            for b in range(a + 1, min(len(words), a + 11)):
+                want[words[a], words[b]] += 11 - (b - a)
+                want[words[b], words[a]] += 11 - (b - a)
+    assert got == want
+
+
+def test_value_vectors_have_the_neighbours_of_a_skip_gram_model(spark):
+    from pyspark.ml.feature import Word2Vec
+
+    rng = np.random.default_rng(4)
+    # ten values that go together, four times
+    lists = [[f"w{11 * g + x}" for x in rng.integers(0, 11, 60)] for g in range(4) for _ in range(15)]
+    rows = [(f"u{i}", t, t, w) for i, words in enumerate(lists) for t, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "user_id string, timestamp long, seq long, v string")
+
+    def near(found):
+        unit = {w: np.array(v) / np.linalg.norm(v) for w, v in found.items()}
+        return {w: set(sorted(unit.keys() - {w}, key=lambda x: -(unit[x] @ v))[:10]) for w, v in unit.items()}
+
+    got = near({r["value"]: r["vector"] for r in vectors.value_vectors(df, "v", size=8).collect()})
+    sentences = vectors.value_sentences(df, "v")
+    model = Word2Vec(vectorSize=8, windowSize=10, minCount=1, maxIter=20, stepSize=0.1, seed=1, inputCol="sentence", outputCol="x").fit(sentences)
+    want = near({r["word"]: r["vector"].toArray() for r in model.getVectors().collect()})
+    assert got.keys() == want.keys()
+    assert sum(len(got[w] & want[w]) for w in want) / (10 * len(want)) >= 0.9
+
+
+def test_best_round_is_that_of_all_prefixes(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 0] + x[:, 1] ** 2 + rng.normal(size=400) > 1).astype(int)
+    df = spark.createDataFrame([(i, int(y[i]), i % 2, *map(float, x[i])) for i in range(400)], "user_id int, label int, fold int, a double, b double, c double")
+    settings = scoring.TreeSettings(rounds=14, patience=3, depth=2, step=0.3)
+    scores, models = scoring.trained_folds(df, ["a", "b", "c"], 2, settings)
+    for fold, found in enumerate(models):
+        aucs = []
+        for rounds in range(1, settings.rounds + 1):
+            features = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df.withColumn("label", F.col("label").cast("double")))
+            model = scoring._boost(features.where(f"fold <> {fold}"), rounds, settings)
+            held = model.transform(features.where(f"fold = {fold}")).select("user_id", "label", vector_to_array("probability")[1].alias("s"))
+            aucs.append(scoring.roc_auc(held, "s", "label").head()["auc"])
+            if rounds == found.best_round:
+                mine = {r["user_id"]: r["score"] for r in scores.where("split = 'oof'").collect()}
+                assert all(abs(mine[r["user_id"]] - r["s"]) < 1e-9 for r in held.collect())
+        best = 0
+        for i, auc in enumerate(aucs):
+            if i - best >= settings.patience:
+                break
+            best = i if auc > aucs[best] else best
+        assert found.best_round == best + 1 and found.auc == pytest.approx(aucs[best])
+
+
 def test_auc_of_random_scores(spark):
     rng = random.Random(11)
     rows = [(rng.randrange(40) / 40, rng.randrange(2)) for _ in range(300)]

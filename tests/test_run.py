@@ -14,7 +14,6 @@ from riskfeat.sources.sinks import read_feature_list, read_scores, write_scores
 
 SETTINGS = risk_features.RunSettings(
     folds=2,
-    vector_rounds=1,
     trees=scoring.TreeSettings(rounds=2, depth=3, step=0.3),
     runs={2020: ("all", "without_crosses"), 779: ("without_crosses",)},
     drop=("trans_hour_std",),
