@@ -13,6 +13,8 @@ from riskfeat.operators import behaviour, encoders, grouping, popularity, profil
 from riskfeat.operators.scoring import Member
 from riskfeat.plans import tables
 from riskfeat.roles import EventRoles
+from riskfeat.session import shared_folder
+from riskfeat.sources.sinks import BlockStore
 
 # fixed values: blend members and weights
 BLEND_FAMILIES: dict[str, list[Member]] = {
@@ -38,8 +40,8 @@ BEHAVIOUR_COLUMNS = (
 
 
 def assemble(entity: DataFrame, blocks: Iterable[DataFrame], user: str = "user_id") -> DataFrame:
-    """Left-join one-row-per-user blocks onto the entity table."""
-    return reduce(lambda left, block: left.join(block, user, "left"), blocks, entity)
+    """Left-join one-row-per-user blocks onto the entity table; blocks of one store need no shuffle for it."""
+    return reduce(lambda left, block: left.join(block.hint("merge"), user, "left"), blocks, entity)
 
 
 def property_pivot(log: DataFrame, roles: EventRoles = EventRoles()) -> DataFrame:
@@ -72,7 +74,7 @@ STAR_CROSSES = profile.cross_names(STAR_NUMBERS)
 
 
 def star_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    """A feature matrix over the star-schema tables: one left join per block."""
+    """A feature matrix over the star-schema tables: blocks kept in buckets of the user, and one left join per block."""
     known = tables.profile(spark, folder)
     log = tables.logs(spark, folder)
     orders = tables.commerce(spark, folder)
@@ -100,5 +102,10 @@ def star_matrix(spark: SparkSession, folder: str) -> DataFrame:
     popular = popularity.popularity_user_stats(log, ("ip", "k7"), ("mean", "max"), "log")
     encoded = encoders.oof_encode(known, ("nation", "segment_n", "nation_segment"))
     event_codes = encoders.event_target_encode(log, known, ("ip", "event_type"), ("mean", "max"))
-    entity = known.select("user_id", "label", "fold")
-    return assemble(entity, [crossed, order_stats, calendar, coded_behaviour, popular, encoded, event_codes])
+    store = BlockStore(spark, shared_folder(spark, "star-blocks"), "user_id")
+    entity = store.put("entity", known.select("user_id", "label", "fold"))
+    blocks = {
+        "crossed": crossed, "orders": order_stats, "calendar": calendar, "behaviour": coded_behaviour,
+        "popular": popular, "encoded": encoded, "event_codes": event_codes,
+    }
+    return assemble(entity, [store.put(name, block) for name, block in blocks.items()])

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfeat.plans import tables
-from riskfeat.session import checkpoint_folder
+from riskfeat.session import shared_folder
 
 # numbers as tools write them that keep gaps as floating point
 AS_FLOAT = "decimal(18,1)"
@@ -52,7 +50,7 @@ def _files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def write_input_files(spark: SparkSession, folder: str) -> str:
     """Write all seven files (as folders of parts) under a new path of the shared folder and return it."""
-    root = f"{checkpoint_folder(spark)}/riskfeat-input-{uuid.uuid4().hex}"
+    root = shared_folder(spark, "input")
     for name, rows in _files(spark, folder).items():
         rows.write.option("header", True).csv(f"{root}/{name}.csv")
     return root

@@ -424,6 +424,76 @@ def _blend() -> str:
       blend AS (SELECT *, {total} AS blend FROM wide)"""
 
 
+FIRST_LAST = f"""WITH {ACT}, o AS (SELECT *,
+            row_number() OVER (PARTITION BY user_id ORDER BY timestamp, rank, seq) AS a,
+            row_number() OVER (PARTITION BY user_id ORDER BY timestamp DESC, rank DESC, seq DESC) AS z,
+            row_number() OVER (PARTITION BY user_id, property ORDER BY timestamp, seq) AS pa,
+            row_number() OVER (PARTITION BY user_id, property ORDER BY timestamp DESC, seq DESC) AS pz FROM act)
+            SELECT user_id, max(property) FILTER (WHERE z = 1) AS last_behaviour,
+            max(property) FILTER (WHERE a = 1) AS first_behaviour, {', '.join(
+            f"max({c}) FILTER (WHERE {'pz' if e == 'last' else 'pa'} = 1 AND property = 'trans') AS {e}_{n}_trans"
+            for n, c in (('days_diff', 'days_diff'), ('hour', 'hour'), ('week', 'week'), ('time', 'timestamp'))
+            for e in ('last', 'first'))} FROM o GROUP BY 1"""
+SESSION_COUNTS = f"""WITH {SESS} SELECT user_id,
+            CAST(max(CASE WHEN property = 'trans' THEN 1 ELSE 0 END) AS BIGINT) AS has_trans,
+            count(DISTINCT CASE WHEN property = 'trans' THEN session END) AS trans_count,
+            count(DISTINCT CASE WHEN property = 'op' THEN session END) AS op_count FROM sess GROUP BY 1"""
+
+
+def _file_types() -> str:
+    """The declared type of every column of the seven files, with counts from the tables."""
+    base = {"user": "long", "sex": "string", "province": "double", "age": "double", "balance": "string"}
+    trans = {"user": "long", "ip": "long", "ip_3": "long", "amount": "double", "tm_diff": "string"}
+    op = {"user": "long", "op_type": "string", "ip": "long", "ip_3": "long", "tm_diff": "string"}
+    parts = []
+    for train in (True, False):
+        of = "<>" if train else "="
+        person = f"""SELECT c_custkey AS "user", c_mktsegment AS sex, c_nationkey AS province,
+          CASE WHEN c_custkey % 7 > 0 THEN 0.5 END AS age, CASE WHEN c_custkey % 3 > 0 THEN 'level' END AS balance
+          FROM customer WHERE c_custkey % 5 {of} 0"""
+        event = f"""SELECT user_id AS "user", event_type AS op_type, ip, ip_3, amount, 'd' AS tm_diff FROM act
+          WHERE user_id % 5 {of} 0 AND property = """
+        front = "train/train" if train else "test/testb"
+        sources = [(f"{front}_base", person, base), (f"{front}_trans", event + "'trans'", trans), (f"{front}_op", event + "'op'", op)]
+        if train:
+            label = 'SELECT c_custkey AS "user", 0 AS label FROM customer WHERE c_custkey % 5 <> 0'
+            sources.append(("train/train_label", label, {"user": "long", "label": "double"}))
+        for name, sql, columns in sources:
+            for c, kind in columns.items():
+                there = f'count("{c}")'
+                parts.append(
+                    f"""SELECT '{name}' AS file, '{c}' AS "column", '{kind}' AS kind, count(*) AS n_rows, count(*) - {there} AS n_missing,
+                    {there if kind == 'long' else '0'} AS n_whole, {there if kind != 'string' else '0'} AS n_number,
+                    {there if c == 'age' else '0'} AS n_rejects FROM ({sql})"""
+                )
+    return f"WITH {ACT} {' UNION ALL '.join(parts)}"
+
+
+def _matrix() -> str:
+    """The blocks, each in the SQL of its own query, side by side."""
+    numbers = ["nation", "n_orders", "n_open", "last_day"]
+    names = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in numbers)
+    status = ", ".join(stats("amount", ("count", "mean"), f"status_{v}", f"status = '{v}'") for v in ("F", "O", "P"))
+    behaviour = FIRST_LAST.replace("max(property) FILTER", "max(CAST(property = 'trans' AS BIGINT)) FILTER")
+    popular = _popularity_users(("ip", "k7"))
+    popular_names = ", ".join(f"log_{c}_user_nuniq_{k}" for c in ("ip", "k7") for k in ("mean", "max"))
+    codes = ", ".join(f"{c}_te_{k}" for c in ("ip", "event_type") for k in ("mean", "max"))
+    blocks = [
+        f"""WITH {NUM}, s AS (SELECT user_id, {_scaled(numbers)} FROM num), x AS (SELECT user_id, {_crosses(numbers)} FROM s)
+          SELECT user_id, {names}, x.* EXCLUDE (user_id) FROM num JOIN x USING (user_id)""",
+        f"WITH {COM} SELECT user_id, {stats('amount', BASIC, 'order_amount')}, {status} FROM com GROUP BY 1",
+        f"""WITH {PUR} SELECT user_id, {stats('amount', BASIC, 'amount')}, min(days_diff) AS early_day,
+          max(days_diff) AS max_day, {_calendar()} FROM pur GROUP BY 1""",
+        f"""SELECT *, {r('trans_count * 1.0 / nullif(op_count, 0)')} AS trans_ratio
+          FROM ({behaviour}) JOIN ({SESSION_COUNTS}) USING (user_id)""",
+        f"SELECT user_id, {popular_names} FROM ({popular})",
+        _refits(MEAN_CODE, "prior", "oof_mean"),
+        f"SELECT user_id, {codes} FROM ({_event_stats()})",
+    ]
+    joins = " ".join(f"LEFT JOIN ({sql}) b{i} USING (user_id)" for i, sql in enumerate(blocks))
+    return f"SELECT * FROM (WITH {PROF} SELECT user_id, label, fold FROM prof) e {joins}"
+
+
 def oracle() -> dict[str, str]:
     numbers = ["nation", "n_orders", "n_open", "last_day"]
     amount_to = ("status_n", "priority", "week")
@@ -503,20 +573,8 @@ def oracle() -> dict[str, str]:
         "time_to_next": f"""WITH {ACT} SELECT seq, timestamp - lead(timestamp) OVER w AS time_diff,
             {r('amount - lead(amount) OVER w')} AS amount_diff FROM act
             WINDOW w AS (PARTITION BY user_id ORDER BY timestamp, rank, seq)""",
-        "first_last_behaviour": f"""WITH {ACT}, o AS (SELECT *,
-            row_number() OVER (PARTITION BY user_id ORDER BY timestamp, rank, seq) AS a,
-            row_number() OVER (PARTITION BY user_id ORDER BY timestamp DESC, rank DESC, seq DESC) AS z,
-            row_number() OVER (PARTITION BY user_id, property ORDER BY timestamp, seq) AS pa,
-            row_number() OVER (PARTITION BY user_id, property ORDER BY timestamp DESC, seq DESC) AS pz FROM act)
-            SELECT user_id, max(property) FILTER (WHERE z = 1) AS last_behaviour,
-            max(property) FILTER (WHERE a = 1) AS first_behaviour, {', '.join(
-            f"max({c}) FILTER (WHERE {'pz' if e == 'last' else 'pa'} = 1 AND property = 'trans') AS {e}_{n}_trans"
-            for n, c in (('days_diff', 'days_diff'), ('hour', 'hour'), ('week', 'week'), ('time', 'timestamp'))
-            for e in ('last', 'first'))} FROM o GROUP BY 1""",
-        "has_and_session_counts": f"""WITH {SESS} SELECT user_id,
-            CAST(max(CASE WHEN property = 'trans' THEN 1 ELSE 0 END) AS BIGINT) AS has_trans,
-            count(DISTINCT CASE WHEN property = 'trans' THEN session END) AS trans_count,
-            count(DISTINCT CASE WHEN property = 'op' THEN session END) AS op_count FROM sess GROUP BY 1""",
+        "first_last_behaviour": FIRST_LAST,
+        "has_and_session_counts": SESSION_COUNTS,
         "resource_overlap": f"""WITH {ACT} SELECT user_id, {', '.join(
             f'''CAST(EXISTS (SELECT 1 FROM act a JOIN act b ON a.user_id = b.user_id AND a.{c} = b.{c}
             WHERE a.user_id = u.user_id AND a.property = 'trans' AND b.property = 'op') AS BIGINT) AS if_{c}_same'''
@@ -593,6 +651,15 @@ def oracle() -> dict[str, str]:
         "event_category_encoders": _event_encoders(),
         "event_transform_encoders": _event_transforms(),
         "files_to_input": FILES,
+        "feature_matrix_build": _matrix(),
+        "score_table_rerun": f"""WITH {PROF}, u AS (SELECT CASE WHEN label IS NULL THEN 'test' ELSE 'oof' END AS split,
+              count(*) AS n FROM prof GROUP BY 1),
+            runs AS (SELECT unnest(['gbt/2020/without_behaviour', 'gbt/2020/all', 'gbt/779/without_behaviour',
+              'gbt/2020/without_crosses', 'gbt/779/without_crosses', 'nn/1997/all']) AS part)
+            SELECT part, split, n AS n_rows, n AS n_users FROM runs, u
+            UNION ALL SELECT 'trees', split, 5 * n, n FROM u
+            UNION ALL SELECT unnest(['single', 'averaged', 'blended']), split, n, n FROM u WHERE split = 'test'""",
+        "file_types": _file_types(),
         "best_rounds": f"""WITH {PROF} SELECT fold, CAST(sum(label) AS BIGINT) AS n_bad, CAST(sum(1 - label) AS BIGINT) AS n_good,
             CAST(1 AS BIGINT) AS inside, CAST(1 AS BIGINT) AS same_auc FROM prof WHERE label IS NOT NULL GROUP BY fold""",
         "fold_score_contract": f"""WITH {PROF} SELECT user_id, CASE WHEN label IS NULL THEN 'test' ELSE 'oof' END AS split,

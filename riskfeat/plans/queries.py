@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from riskfeat.functions.scalars import composite_key, one_vs_rest, ordinal, with_relative_time
 from riskfeat.functions.stats import BASIC, SPREAD, WITH_STD, Stat, stats_of
 from riskfeat.operators import behaviour, encoders, folds, grouping, popularity, profile, scoring, sequences, sessions
 from riskfeat.operators import vectors
 from riskfeat.plans import feature_matrix, input_files, tables
-from riskfeat.session import reliable_checkpoint
-from riskfeat.sources.readers import read_risk_input
+from riskfeat.plans.risk_run import blend_and_write
+from riskfeat.session import reliable_checkpoint, shared_folder
+from riskfeat.sources.readers import column_types, read_risk_input, read_texts, read_with_rejects
+from riskfeat.sources.sinks import SCORE_KEYS, read_scores, write_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -661,7 +665,7 @@ def blended_auc(spark, folder):
 
 @query
 def feature_matrix_build(spark, folder):
-    return rounded(feature_matrix.star_matrix(spark, folder), 4)
+    return rounded(feature_matrix.star_matrix(spark, folder))
 
 
 SMALL_TREES = scoring.TreeSettings(rounds=10, depth=4, step=0.1)
@@ -687,6 +691,30 @@ def fold_score_contract(spark, folder):
     )
 
 
+@query
+def score_table_rerun(spark, folder):
+    """Score runs written, blended and written out twice: rows and users of the score table and of the three files."""
+    root = shared_folder(spark, "scores")
+    scores = _scores(spark, folder).select(F.col("user_id").alias("user"), "split", *SCORE_KEYS, "score")
+    labels = tables.labels(spark, folder).withColumnRenamed("user_id", "user")
+    for _ in range(2):
+        write_scores(scores.where("model = 'gbt'"), f"{root}/scores", "trees")
+        write_scores(scores.where("model = 'nn'"), f"{root}/scores", "other")
+        stored = read_scores(spark, f"{root}/scores")
+        blend_and_write(stored, labels, f"{root}/out")
+    parts = [stored.groupBy("model", "seed", "feature_set", "split"), read_scores(spark, f"{root}/scores", "trees").groupBy("split")]
+    whole, trees = (p.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user").alias("n_users")) for p in parts)
+    out = [
+        whole.select(F.concat_ws("/", "model", "seed", "feature_set").alias("part"), "split", "n_rows", "n_users"),
+        trees.select(F.lit("trees").alias("part"), "split", "n_rows", "n_users"),
+    ]
+    for name in ("single", "averaged", "blended"):
+        rows = spark.read.option("header", True).csv(f"{root}/out/{name}").where(F.col("prob").cast("double").isNotNull())
+        out.append(rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user").alias("n_users")).select(
+            F.lit(name).alias("part"), F.lit("test").alias("split"), "n_rows", "n_users"))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query
 def best_rounds(spark, folder):
     """Per fold the users that chose the best round, whether it lies in the rounds, and whether the AUC noted for it is
@@ -716,6 +744,20 @@ def files_to_input(spark, folder):
     return rounded(chosen)
 
 
+@query
+def file_types(spark, folder):
+    """What the columns of the seven files hold, and how many fields of each would be refused as whole numbers."""
+    root = input_files.write_input_files(spark, folder)
+    out = []
+    for name in ("train/train_base", "test/testb_base", "train/train_trans", "test/testb_trans", "train/train_op", "test/testb_op", "train/train_label"):
+        path = f"{root}/{name}.csv"
+        found = column_types(read_texts(spark, path))
+        whole = StructType([StructField(c, LongType()) for c in ("province", "age", "label", "ip")])
+        refused = read_with_rejects(spark, path, whole)[1].groupBy("column").agg(F.count(F.lit(1)).alias("n_rejects"))
+        out.append(found.join(F.broadcast(refused), "column", "left").select(F.lit(name).alias("file"), *found.columns, F.coalesce("n_rejects", F.lit(0)).alias("n_rejects")))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query
 def feature_set_ablation(spark, folder):
     matrix = feature_matrix.star_matrix(spark, folder)

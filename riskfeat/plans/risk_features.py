@@ -1,7 +1,7 @@
 """From the seven input files to scores: feature blocks, encodings, trees and blend.
 
-Every block is one row per user and is written to Parquet, so it is computed once and
-the final matrix is a chain of one-to-one left joins.
+Every block is one row per user and is written in buckets of the user, so it is computed once and
+the final matrix is a chain of one-to-one left joins without a shuffle.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from riskfeat.operators.folds import stratified_folds
 from riskfeat.plans.feature_matrix import assemble, behaviour_block, feature_sets, property_pivot
 from riskfeat.roles import EventRoles, LabelRoles
 from riskfeat.sources.readers import NUMBER_COLUMNS, ORDINAL_COLUMNS, PLACE_COLUMNS, TEXT_COLUMNS, RiskInput
-from riskfeat.sources.sinks import drop_features, write_block
+from riskfeat.sources.sinks import BlockStore, drop_features, write_block
 
 EVENTS = EventRoles(user="user")
 LABELS = LabelRoles(user="user")
@@ -102,6 +102,8 @@ class RunSettings:
 
     folds: int = 5
     vector_size: int = 10
+    # how far off the vectors may be, as a share of the largest singular value
+    vector_tolerance: float = 0.01
     top_types: int = 2
     trees: scoring.TreeSettings = field(default_factory=scoring.TreeSettings)
     # feature sets per seed
@@ -202,8 +204,8 @@ def trans_blocks(trans: DataFrame, settings: RunSettings) -> dict[str, DataFrame
         f"pivot_{c}": grouping.pivot_stats(trans, [USER], c, grouping.category_values(trans, c), "amount")
         for c in ("platform", "type1", "type2", "type")
     }
-    size = settings.vector_size
-    amounts = vectors.value_vectors(trans, "amount", size, EVENTS)
+    size, near = settings.vector_size, settings.vector_tolerance
+    amounts = vectors.value_vectors(trans, "amount", size, EVENTS, near)
     terms = vectors.value_term_counts(trans, USER, "platform_tunnel_io_type")
     weights = vectors.tfidf_weights(terms, USER, vectors.document_count(trans, USER))
     return {
@@ -212,28 +214,29 @@ def trans_blocks(trans: DataFrame, settings: RunSettings) -> dict[str, DataFrame
         "trans_popularity": popularity.popularity_user_stats(trans, TRANS_COLUMNS, SPREAD, "trans", EVENTS),
         "trans_d2v": vectors.user_doc_embedding(trans, "amount", size, EVENTS, amounts),
         "trans_w2v": vectors.value_word2vec(trans, "amount", size, EVENTS, amounts),
-        "trans_tfidf": vectors.truncated_svd(weights, USER, "svd_tfidf_platform_tunnel_io_type", size),
+        "trans_tfidf": vectors.truncated_svd(weights, USER, "svd_tfidf_platform_tunnel_io_type", size, tolerance=near),
         "trans_count": vectors.truncated_svd(
-            terms.withColumnRenamed("tf", "weight"), USER, "svd_countvec_platform_tunnel_io_type", size
+            terms.withColumnRenamed("tf", "weight"), USER, "svd_countvec_platform_tunnel_io_type", size, tolerance=near
         ),
     }
 
 
 def op_blocks(op: DataFrame, settings: RunSettings) -> dict[str, DataFrame]:
     """All feature blocks of the operation log."""
-    size = settings.vector_size
+    size, near = settings.vector_size, settings.vector_tolerance
+    channels = vectors.value_vectors(op, "channel", size, EVENTS, near)
     blocks = {
         "op_stats": grouping.grouped_stats(op, [USER], _time_stats("op")),
         "op_nunique": grouping.nunique_stats(op, [USER], OP_COLUMNS, "op"),
         "op_popularity": popularity.popularity_user_stats(op, OP_COLUMNS, SPREAD, "op", EVENTS),
-        "op_w2v": vectors.value_word2vec(op, "channel", size, EVENTS),
+        "op_w2v": vectors.value_word2vec(op, "channel", size, EVENTS, channels),
     }
     for c in ("op_mode", "op_type"):
         terms = vectors.value_term_counts(op, USER, c)
         weights = vectors.tfidf_weights(terms, USER, vectors.document_count(op, USER))
-        blocks[f"tfidf_{c}"] = vectors.truncated_svd(weights, USER, f"svd_tfidf_{c}", size)
+        blocks[f"tfidf_{c}"] = vectors.truncated_svd(weights, USER, f"svd_tfidf_{c}", size, tolerance=near)
         counts = terms.withColumnRenamed("tf", "weight")
-        blocks[f"count_{c}"] = vectors.truncated_svd(counts, USER, f"svd_countvec_{c}", size)
+        blocks[f"count_{c}"] = vectors.truncated_svd(counts, USER, f"svd_countvec_{c}", size, tolerance=near)
     return blocks
 
 
@@ -302,19 +305,22 @@ def build_matrices(
         "log_behaviour": behaving.drop("last_behaviour", "first_behaviour"),
         **(supplementary_blocks(logs) if supplementary else {}),
     }
-    shared = [write_block(block, f"{folder}/blocks/{name}") for name, block in blocks.items()]
+    store = BlockStore(people.sparkSession, f"{folder}/blocks", USER)
+    shared = [store.put(name, block) for name, block in blocks.items()]
     out = {}
     for seed in settings.runs:
         folded = write_block(
             stratified_folds(people, settings.folds, seed, USER, "label"), f"{folder}/people_{seed}"
         )
         coded = [
-            write_block(block, f"{folder}/blocks_{seed}/{name}") for name, block in encoding_blocks(folded, logs).items()
+            store.put(f"{name}_{seed}", block) for name, block in encoding_blocks(folded, logs).items()
         ]
-        wide = assemble(entity_columns(folded), [*shared, *coded], USER)
+        entity = store.put(f"entity_{seed}", entity_columns(folded))
+        wide = assemble(entity, [*shared, *coded], USER)
         # a user without events has a code of its own
         wide = wide.withColumn("has_trans", F.coalesce("has_trans", F.lit(-1)))
         out[seed] = write_block(drop_features(wide, settings.drop), f"{folder}/matrix_{seed}")
+    store.close()
     return out
 
 

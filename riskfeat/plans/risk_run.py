@@ -53,9 +53,9 @@ def run(
     """
     source = read_risk_input(spark, root)
     matrices = build_matrices(source, f"{work}/features", settings)
-    write_scores(score_runs(matrices, settings), f"{work}/scores")
+    write_scores(score_runs(matrices, settings), f"{work}/scores", "trees")
     if other_scores is not None:
-        write_scores(other_scores, f"{work}/scores")
+        write_scores(other_scores, f"{work}/scores", "other")
     if families is None:
         families = {n: m for n, m in BLEND_FAMILIES.items() if other_scores is not None or n != "sequence"}
         weights = {n: w for n, w in BLEND_WEIGHTS.items() if n in families}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +71,14 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return configured
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share; it is removed when the session ends."""
+    path = f"{checkpoint_folder(spark)}/riskfeat-{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the checkpoint folder the cluster names."""
     spark = df.sparkSession

@@ -11,7 +11,7 @@ from riskfeat.plans.queries import REGISTRY
 # the queries of the optional subpackage have tests of their own
 QUERIES, SQL = {name: f for name, f in contract.queries().items() if name in REGISTRY}, oracle()
 ROWS_ONLY = {
-    "countvec_svd", "tfidf_svd", "value_word2vec", "user_doc_embedding", "feature_matrix_build", "gbt_oof_scores",
+    "countvec_svd", "tfidf_svd", "value_word2vec", "user_doc_embedding", "gbt_oof_scores",
     "feature_set_ablation",
 }
 HOT = [

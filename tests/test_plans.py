@@ -2,10 +2,13 @@
 
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
 from riskfeat.operators import sequences
 from riskfeat.plans import tables
+from riskfeat.plans.feature_matrix import assemble, star_matrix
 from riskfeat.plans.queries import REGISTRY
+from riskfeat.sources.sinks import BlockStore
 
 CORE = [
     "user_amount_stats", "trailing_day_stats", "user_nunique", "popularity_user_stats", "sessionize",
@@ -35,6 +38,26 @@ def test_first_events_are_limited_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") >= 2
 
 
+def test_stored_blocks_join_without_a_shuffle(spark, tmp_path):
+    store = BlockStore(spark, str(tmp_path), "user_id", 4)
+    users = tables.profile(spark, DATA).select("user_id", "label")
+    orders = tables.commerce(spark, DATA)
+    blocks = [orders.groupBy("user_id").agg(F.count("seq").alias(f"n{i}"), F.sum("amount").alias(f"s{i}")) for i in range(6)]
+    wide = assemble(store.put("users", users), [store.put(f"b{i}", b) for i, b in enumerate(blocks)])
+    text = plan(wide)
+    assert "Exchange" not in text and text.count("SortMergeJoin") == 6
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, assemble(users, blocks).collect()))
+    # a block that is written again takes the place of the old one
+    again = store.put("b0", blocks[0].withColumn("n0", F.lit(7)))
+    assert {r["n0"] for r in again.collect()} == {7}
+    store.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("riskfeat_")]
+
+
+def test_matrix_of_blocks_is_assembled_without_a_shuffle(spark):
+    assert "Exchange" not in plan(star_matrix(spark, DATA))
+
+
 def test_user_statistics_shuffle_once(spark):
     text = plan(REGISTRY["user_amount_stats"](spark, DATA))
     assert text.count("Exchange hashpartitioning") == 1

@@ -5,15 +5,17 @@ import glob
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from risk_files import make_files
 
 from riskfeat.operators import scoring
 from riskfeat.plans import risk_features, risk_run
-from riskfeat.sources.readers import read_risk_input, split_labelled
-from riskfeat.sources.sinks import read_feature_list, read_scores, write_scores
+from riskfeat.sources.readers import column_types, read_inferred, read_risk_input, read_texts, read_with_rejects, split_labelled
+from riskfeat.sources.sinks import read_feature_list, read_runs, read_scores, write_scores
 
 SETTINGS = risk_features.RunSettings(
     folds=2,
+    vector_tolerance=0.5,
     trees=scoring.TreeSettings(rounds=2, depth=3, step=0.3),
     runs={2020: ("all", "without_crosses"), 779: ("without_crosses",)},
     drop=("trans_hour_std",),
@@ -91,6 +93,38 @@ def test_sequence_inputs(source, work):
     assert all(len(r["trans_seq_amount"]) == len(r["trans_seq_amount_te"]) == longest for r in rows)
 
 
+def test_a_rerun_replaces_its_scores(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    rows = [(f"u{i}", "oof", "gbt", seed, "all", i / 10) for i in range(6) for seed in (1, 2)]
+    scores = spark.createDataFrame(rows, "user string, split string, model string, seed int, feature_set string, score double")
+    write_scores(scores, path, "first")
+    write_scores(scores, path, "first")
+    assert read_scores(spark, path).count() == 12
+    # another run replaces one seed with fewer users and leaves the other alone
+    write_scores(scores.where("seed = 2 and user < 'u4'").withColumn("score", F.lit(1.0)), path, "second")
+    stored = read_scores(spark, path)
+    assert stored.groupBy("seed").count().orderBy("seed").collect() == [(1, 6), (2, 4)]
+    assert {r["score"] for r in stored.where("seed = 2").collect()} == {1.0}
+    assert {(r["run"], r["seed"], r["n_rows"]) for r in read_runs(spark, path).collect()} == {("first", 1, 6), ("first", 2, 6), ("second", 2, 4)}
+    assert read_scores(spark, path, "second").count() == 4
+
+
+def test_missing_texts_types_and_rejects(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "user,age,ok,city,gap,code\n1,NaN,true,NA,,7\n2,3.5,False, null ,n/a,x7\n3, 4 ,TRUE,Rome,NA,8.0\n4,#N/A,,None,,9.5\n"
+    )
+    path = str(tmp_path / "t.csv")
+    found = {r["column"]: (r["kind"], r["n_missing"]) for r in column_types(read_texts(spark, path)).collect()}
+    assert found == {"user": ("long", 0), "age": ("double", 2), "ok": ("boolean", 1), "city": ("string", 3), "gap": ("none", 4), "code": ("string", 0)}
+    rows = sorted(map(tuple, read_inferred(spark, path).collect()))
+    assert rows == [(1, None, True, None, None, "7"), (2, 3.5, False, None, None, "x7"), (3, 4.0, True, "Rome", None, "8.0"), (4, None, None, None, None, "9.5")]
+    schema = StructType([StructField("age", DoubleType()), StructField("code", LongType()), StructField("absent", LongType())])
+    rows, rejects = read_with_rejects(spark, path, schema)
+    assert sorted((r["user"], r["code"]) for r in rows.collect()) == [("1", 7), ("2", None), ("3", 8), ("4", None)]
+    assert sorted((r["column"], r["kind"], r["text"]) for r in rejects.collect()) == [("code", "bigint", "9.5"), ("code", "bigint", "x7")]
+    assert column_types(read_texts(spark, path).where("false")).where("kind <> 'none' or n_rows > 0").collect() == []
+
+
 def test_deny_list_file(spark, tmp_path):
     (tmp_path / "drop.txt").write_text("a\n\nb\n")
     assert read_feature_list(spark, str(tmp_path / "drop.txt")) == ["a", "b"]
