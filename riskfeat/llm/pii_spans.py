@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -212,27 +214,36 @@ def _digits(m: re.Match) -> str:
 
 def _spoken(source: Mapped) -> Mapped:
     """Addresses written as "name at host dot org": signs in place of the words, inside the address only."""
-    out = Mapped("", [], [])
+    texts: list[str] = []
+    starts: list[int] = []
+    ends: list[int] = []
     done = 0
+
+    def add(part: Mapped, a: int, b: int) -> None:
+        texts.append(part.text[a:b])
+        starts.extend(part.starts[a:b])
+        ends.extend(part.ends[a:b])
+
     for m in _SPOKEN.finditer(source.text):
         a, b = m.span()
         name = re.split(" at | @ |@|_at_|-at-", m.group(), flags=re.IGNORECASE)[0]
-        if not _DIGIT.search(name) and "." not in name and not re.search("dot| @ | [.] ", m.group(), re.IGNORECASE):
-            # "look at example.org" is prose; "j.doe at example.org" is an address
+        telling = (_DIGIT.search(name) or "." in name) and not _VERSION.fullmatch(name)
+        if not telling and not re.search("dot| @ | [.] ", m.group(), re.IGNORECASE):
+            # "look at example.org" and "version 2.0 at example.org" are prose; "j.doe at example.org" is an address
             continue
         inside = Mapped(source.text[a:b], source.starts[a:b], source.ends[a:b])
         inside = rewritten(inside, _SPOKEN_SIGN, lambda s: "@" if (s.group(1) or s.group()).lower() in ("at", "@") else ".")
-        out = Mapped(
-            out.text + source.text[done:a] + inside.text,
-            out.starts + source.starts[done:a] + inside.starts,
-            out.ends + source.ends[done:a] + inside.ends,
-        )
+        add(source, done, a)
+        add(inside, 0, len(inside.text))
         done = b
     if not done:
         return source
-    return Mapped(out.text + source.text[done:], out.starts + source.starts[done:], out.ends + source.ends[done:])
+    add(source, done, len(source.text))
+    return Mapped("".join(texts), starts, ends)
 
 
+# a number or a version, as the name of an address no more than prose
+_VERSION = re.compile(r"v?[0-9]+(?:[.,][0-9]+)*", re.IGNORECASE)
 # what a transducer for addresses changes stands beside one of these; a plain address has none
 _SPOKEN_WORD = re.compile(r"[ _-](?:at|@|dot|\.)[ _-]", re.IGNORECASE)
 _FIRST = (_SUSPECT, _NUMBER_DOT, _AT, _DOT, _PLUS, _LONELY, _SPELLED)
@@ -262,12 +273,20 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     mapped = normalised(text)
     if mapped.text == text:
         return base, base
-    spans, taken = list(base), sorted(base)
+    # plain spans may overlap: of those that start before a place, the furthest end; added ones never do
+    plain_starts = sorted(s.start for s in base)
+    furthest = list(accumulate((s.end for s in sorted(base, key=lambda s: s.start)), max))
+    added: list[tuple[int, int, str]] = []
     for s in plain_spans(mapped.text):
-        found = Span(min(mapped.starts[s.start : s.end]), max(mapped.ends[s.start : s.end]), s.kind)
-        if not any(found.start < t.end and t.start < found.end for t in taken):
-            spans.append(found)
-            taken.append(found)
+        start, end = min(mapped.starts[s.start : s.end]), max(mapped.ends[s.start : s.end])
+        before = bisect_left(plain_starts, end)
+        if before and furthest[before - 1] > start:
+            continue
+        at = bisect_left(added, (end,))
+        if at and added[at - 1][1] > start:
+            continue
+        added.insert(at, (start, end, s.kind))
+    spans = [*base, *[Span(*s) for s in added]]
     return base, _sorted(spans)
 
 
