@@ -5,7 +5,7 @@ units are replaced by typed placeholders. A second form keeps the names, in lowe
 sentence marks is found too; a match in either form counts. Windows of template words are hashed and joined with the
 windows of the benchmark. A window counts if its slots are consistent: equal slots of the item hold equal values in
 the document and different ones different values. So a question with other numbers is found, and a text that only
-shares a pattern of slots is not. The query and the pipeline ask this of each window; ``contaminations`` asks it of
+shares a pattern of slots is not; windows that are hardly more than slots must have the item's own values. The query and the pipeline ask this of each window; ``contaminations`` asks it of
 a document's whole alignment with an item unless told otherwise.
 
 The windows of documents never leave the workers unless a bitmap of fixed size, made from the benchmark's
@@ -26,7 +26,7 @@ from riskfeat.llm.minhash_dedup import mixed
 from riskfeat.llm.text import broadcast_if_small, map_texts, scratch, worker_cache, written
 
 WINDOW = 10
-# words outside the slots that a window shorter than WINDOW needs for its slots to be free
+# words outside the slots that a window needs for its slots to be free: a row of numbers is no question
 LEAST_PLAIN = 3
 BITMAP_BITS = 24
 # ids of found documents that a broadcast may have
@@ -155,7 +155,7 @@ def item_windows(rows: DataFrame, width: int) -> DataFrame:
     """(id, place, window, slots, size, held) of the windows of (id, text); a shorter item is one window of its length.
 
     Windows with names come in both forms, the first one also with its first word as a name if it has a capital. Slots at
-    places below ``held`` must hold the item's own values: all of a short window with fewer than
+    places below ``held`` must hold the item's own values: all of a window with fewer than
     LEAST_PLAIN words outside its slots, and the first word of a short window that is a name only if quoted.
     """
 
@@ -171,9 +171,9 @@ def item_windows(rows: DataFrame, width: int) -> DataFrame:
                             found = found[: int((plain.slots[:1] != quoted.slots[:1]).sum())]
                         for at, fold, window in zip(places.tolist(), folded.tolist(), found.view(np.int64).tolist()):
                             slots = template.slot_values(at, size, fold)
-                            held = 0
-                            if size < width:
-                                held = size if size - len(slots) < LEAST_PLAIN else int(template is quoted)
+                            held = int(size < width and template is quoted)
+                            if size - len(slots) < LEAST_PLAIN:
+                                held = size
                             out.append((item_id, at, window, slots, size, held))
             columns = list(zip(*out)) or [()] * 6
             types = (pa.int64(), pa.int64(), pa.int64(), _SLOTS, pa.int32(), pa.int32())

@@ -222,6 +222,20 @@ def test_the_gate_lets_every_disguise_pass(text, span):
     assert span in [str(s) for s in pii_spans.all_spans(text)[1]]
 
 
+def test_rows_of_numbers_match_only_themselves(spark):
+    item = "continue the series 3 5 8 13 21 34 55 89 144 233 377 and give the sum"
+    texts = [
+        "yearly totals were 1 2 4 9 16 25 36 49 64 81 100 in the table",
+        "a copy: 3 5 8 13 21 34 55 89 144 233 377 is the row",
+        "please " + item.replace("8", "9").replace("377", "378"),
+        "Anna Bert Carl Dora Emil Frida Gustav Hans Ida Jan met",
+    ]
+    names = "so Otto Paul Rita Sven Tina Udo Vera Willi Xaver Zoe met"
+    got = contaminations(table(spark, [(i, t, "s") for i, t in enumerate(texts)]), items_of(spark, item, names), each_window=True)
+    # the third is the question with other numbers: one of its windows has three words outside its slots
+    assert {r["doc_id"] for r in got.collect()} == {1, 2}
+
+
 def test_the_gate_is_never_wrong_on_the_side_of_no():
     rng = random.Random(7)
     parts = ["a", "j.doe", "1", "23", " ", " ", ".", " . ", "@", "_at_", "-at-", " at ", " dot ", "_dot_", "one", "oh", "plus ", "(", ")", "( punto )", "ſix", "+", "-", "о"]
@@ -234,11 +248,29 @@ def test_the_gate_is_never_wrong_on_the_side_of_no():
     assert changed > 1000
 
 
-@pytest.mark.parametrize("text", ["meet me at the dot", "look at example.org", "one of the two, or three", "plus four more", "a @ b"])
+@pytest.mark.parametrize("text", ["meet me at the dot", "look at example.org", "one of the two, or three", "plus four more", "a @ b",
+    "section 3 at example.org", "released v2.0 at github.com", "He paid 4 at shop.example.com", "see 1.2.3 at example.org"])
 def test_prose_has_no_disguised_identifiers(text):
     assert pii_spans.all_spans(text) == ([], [])
 
 
+def test_disguised_spans_overlap_nothing():
+    rng = random.Random(8)
+    parts = ["j.doe@a.org", "j.doe at a.org", "+1 555 one 23 4567", "4111 1111 1111 1111", "10 dot 0 dot 0 dot 7", "10.0.0.7", "jоhn@exаmple.com", " ", ", ", " + "]
+    for _ in range(300):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        base, every = pii_spans.all_spans(text)
+        added = [s for s in every if s not in base]
+        assert set(base) <= set(every) and len(every) == len(base) + len(added)
+        for s in added:
+            assert all(s.end <= t.start or t.end <= s.start for t in every if t is not s)
+        # nothing is left out that overlaps none of the others
+        mapped = pii_spans.normalised(text)
+        for s in pii_spans.plain_spans(mapped.text):
+            a, b = min(mapped.starts[s.start : s.end]), max(mapped.ends[s.start : s.end])
+            assert any(a < t.end and t.start < b for t in every)
+
+
 def test_plain_spans_equal_the_patterns():
     rng = random.Random(6)
     for _ in range(4000):
@@ -246,7 +278,8 @@ def test_plain_spans_equal_the_patterns():
         assert [str(s) for s in pii_spans.plain_spans(text)] == brute.plain_identifiers(text)
 
 
-@pytest.mark.parametrize("text", ["1" * 200_000, "a" * 200_000 + "@", "a@" * 50_000, "1." * 100_000, "+1(" * 50_000, "one " * 50_000])
+@pytest.mark.parametrize("text", ["1" * 200_000, "a" * 200_000 + "@", "a@" * 50_000, "1." * 100_000, "+1(" * 50_000, "one " * 50_000,
+    "j.doe at mail.example.org " * 20_000, "a@b.co (at) " * 20_000, "+1 555 one 23 4567 " * 10_000, "jоhn@exаmple.com, " * 20_000])
 def test_matching_takes_linear_time(text):
     import time
 
