@@ -142,7 +142,8 @@ def boost_to_best_round(known: DataFrame, held_out: DataFrame, settings: TreeSet
     A round costs as much as any other, so as many are trained as patience asks for: twice its number at first, and twice
     as many again while the AUC still rises. A longer run starts with the same trees, so rounds that have been looked at
     are not looked at again. The AUCs of ``patience`` rounds at a time are exact and come from one grouped
-    pass. Of equal AUCs the earliest round counts; without both classes held out the last one does.
+    pass. Of equal AUCs the earliest round counts; without both classes held out there is no AUC, and the first training
+    counts with all its rounds.
     """
     best, best_auc, seen = 0, None, 0
     rounds = min(settings.rounds, 2 * settings.patience)
@@ -156,8 +157,10 @@ def boost_to_best_round(known: DataFrame, held_out: DataFrame, settings: TreeSet
                 if r["auc"] is not None and r["round"] - best <= settings.patience and (best_auc is None or r["auc"] > best_auc):
                     best, best_auc = r["round"], r["auc"]
             seen = last
+        if best_auc is None:
+            return Boosted(model, rounds, None, rounds)
         if rounds == settings.rounds or seen - best >= settings.patience:
-            return Boosted(model, best or rounds, best_auc, min(seen, best + settings.patience) if best else seen)
+            return Boosted(model, best, best_auc, min(seen, best + settings.patience))
         rounds = min(settings.rounds, 2 * rounds)
 
 

@@ -720,7 +720,7 @@ def best_rounds(spark, folder):
     """Per fold the users that chose the best round, whether it lies in the rounds, and whether the AUC noted for it is
     that of the scores, counted anew."""
     matrix = reliable_checkpoint(feature_matrix.star_matrix(spark, folder))
-    settings = scoring.TreeSettings(rounds=12, patience=4, depth=4, step=0.2)
+    settings = scoring.TreeSettings(rounds=8, patience=4, depth=4, step=0.2)
     scores, models = scoring.trained_folds(matrix, scoring.feature_columns(matrix), tables.FOLDS, settings)
     held_out = scores.where("split = 'oof'").join(matrix.select("user_id", "label", "fold"), "user_id")
     anew = scoring.roc_auc(held_out, "score", "label", ["fold"])
@@ -728,7 +728,7 @@ def best_rounds(spark, folder):
     inside = F.col("best").between(1, F.col("seen")) & (F.col("seen") - F.col("best") <= settings.patience)
     return anew.join(noted, "fold").select(
         F.col("fold").cast("long").alias("fold"), "n_bad", "n_good",
-        inside.cast("long").alias("inside"), (F.abs(F.col("auc") - F.col("noted")) < 1e-9).cast("long").alias("same_auc"),
+        inside.cast("long").alias("inside"), F.round("auc", 9).eqNullSafe(F.round("noted", 9)).cast("long").alias("same_auc"),
     )
 
 
