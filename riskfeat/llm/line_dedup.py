@@ -2,50 +2,72 @@
 
 A line is the set of its words in lower case. Lines with equal sets are one class. The words of a line are put in
 an order that is the same for all lines, rarest first; two sets with a Jaccard similarity of at least t then share a
-word among the first n - ceil(t n) + 1 of each. Pairs that share such a word pass a length filter and a
-positional filter and are verified on the whole sets. A line goes if an earlier one, by document and
-place, is similar enough.
-
-Rarity: the ``FREQUENT`` most frequent words of the corpus are ordered by their exact counts; every other word is
-rarer than these and comes before them, longer words first. Any fixed order finds all pairs; rare words
-just make the candidate lists short. Words are 64-bit numbers that sort by length, then by hash.
-
-Lists of candidates are worked off in two rounds. First each class meets the earliest class of each of its lists;
-a class that is similar to that one is settled, since one earlier match is enough. Only classes that are still open
-meet the other classes of their lists. Whole sets are made again from the texts, for candidates only:
-stored for all lines they would be several times the input.
+word among the first n - ceil(t n) + 1 of each. Pairs that share such a word pass a length filter, a
+positional filter and a signature filter and are verified on the whole sets. A line goes if an earlier one, by
+document and place, is similar enough.
+
+Rarity: all words of all texts are counted in ``BUCKETS`` buckets of their hash. Words are 64-bit numbers that sort by
+the magnitude of their bucket's count, then by hash: frequent words are last for every line. Words that share a bucket
+seem as frequent as all of them; any fixed order finds all pairs, a better one just makes the lists of
+candidates shorter. The table of magnitudes has one byte a bucket whatever the data.
+
+Signature: 64 bits, one set for each word by its hash. Each bit in which two signatures differ is a word that only one of
+the two sets has, so too many such bits rule a pair out.
+
+Lists of up to ``LONG_LIST`` classes are joined with themselves. Longer lists, as large groups of near copies make
+them, are worked off in two rounds: each class meets the earliest class of its list, and a class that is similar to
+that one is settled, since one earlier match is enough; only classes that are still open meet the others, dealt by
+length and by a salt. Whole sets are made again from the texts, for candidates only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskfeat.llm.text import broadcast_if_small, let, words, written
+from riskfeat.llm.text import broadcast_if_small, scratch, words, written
 
 PERCENT = 80
-FREQUENT = 128
+BUCKETS = 1 << 18
 MIN_WORDS = 1
+LONG_LIST = 256
+SALTS = 16
 BROADCAST_LINES = 500_000
 
 
-def word_key(word: Column) -> Column:
-    """A number for a word: longer words have smaller ones, words of a length are in the order of their hash."""
-    short = F.lit(63) - F.least(F.length(word), F.lit(63))
-    return F.shiftleft(short.cast("long"), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 7))
+def bucket_levels(docs: DataFrame) -> bytes:
+    """Per bucket of word hashes the magnitude of its words' count, 4 steps for a factor of 2; ``BUCKETS`` bytes."""
+    every = docs.select(F.explode(words(F.lower("text"))).alias("word"))
+    counts = every.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    levels = bytearray(BUCKETS)
+    # at most BUCKETS rows
+    for bucket, level in counts.select("bucket", F.least(F.floor(4 * F.log2("n")) + 1, F.lit(127))).collect():
+        levels[bucket] = level
+    return bytes(levels)
 
 
-def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[str]:
-    """The most frequent words of all texts, the rarest of them first."""
-    every = docs.select(F.explode(words(F.lower("text"))).alias("word"))
-    top = every.groupBy("word").count().orderBy(F.col("count").desc(), "word").limit(most)
-    return [r["word"] for r in reversed(top.collect())]
+def _bucket(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def word_key(word: Column, levels: bytes) -> Column:
+    """A number for a word: its bucket's magnitude above 56 bits of its hash, so rare words come first."""
+    level = lambda h: F.ascii(F.substring(F.lit(levels), _bucket(h) + 1, F.lit(1)).cast("string"))
+    key = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    return key(F.xxhash64(word))
+
 
+def signature(keys: Column) -> Column:
+    """64 bits, those set that some word's number names."""
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseOR(bit(k)))
 
-def ordered_keys(line: Column, usual: Column) -> Column:
-    """The distinct words of a line as numbers, rarest first."""
-    keys = F.array_distinct(F.transform(words(F.lower(line)), word_key))
-    return let(keys, lambda k: F.concat(F.sort_array(F.array_except(k, usual)), F.array_intersect(usual, k)))
+
+def word_set(line: Column) -> Column:
+    """The distinct words of a line as 64-bit hashes."""
+    return F.array_distinct(F.transform(words(F.lower(line)), lambda w: F.xxhash64(w)))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -59,96 +81,136 @@ def _first(n: Column, percent: int) -> Column:
     return (n - F.ceil(n * percent / F.lit(100.0)) + 1).cast("int")
 
 
+def _keyed_lines(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, line_no, set_id, n, bits, prefix) of every line."""
+    levels = bucket_levels(docs)
+    in_order = F.sort_array(F.array_distinct(F.transform(words(F.lower("line")), lambda w: word_key(w, levels))))
+    n = F.size("keys")
+    return lines_of(docs).select("doc_id", "line_no", in_order.alias("keys")).select(
+        "doc_id",
+        "line_no",
+        # equal sets have their words in the same order, so the hash of the array names the set
+        F.xxhash64("keys").alias("set_id"),
+        n.alias("n"),
+        signature(F.col("keys")).alias("bits"),
+        # 32 bits of a word: words that share them only make a candidate more
+        F.slice("keys", F.lit(1), _first(n, percent)).cast("array<bigint>").alias("prefix"),
+    ).withColumn("prefix", F.transform("prefix", lambda k: k.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
+
+
+def _fitting(a: str, b: str, percent: int) -> Column:
+    """Length filter, what can still be shared after the first common word, and words that only one can have."""
+    n_a, n_b, place_a, place_b, bits_a, bits_b = (F.col(f"{side}.{c}") for c in ("n", "place", "bits") for side in (a, b))
+    length = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    shared = (100 + percent) * F.least(n_a - place_a, n_b - place_b) >= percent * (n_a + n_b)
+    apart = (100 + percent) * F.bit_count(bits_a.bitwiseXOR(bits_b)) <= (100 - percent) * (n_a + n_b)
+    return length & shared & apart
+
+
+def _before(a: str, b: str) -> Column:
+    """Whether a's line is the earlier one; NULL ids are first."""
+    d_a, d_b = F.col(f"{a}.doc_id"), F.col(f"{b}.doc_id")
+    smaller = F.coalesce(d_a < d_b, d_a.isNull() & d_b.isNotNull())
+    return smaller | (d_a.eqNullSafe(d_b) & (F.col(f"{a}.line_no") < F.col(f"{b}.line_no")))
+
+
+def _pairs(joined: DataFrame, earlier: str, later: str, percent: int) -> DataFrame:
+    place = lambda side: F.struct(f"{side}.doc_id", f"{side}.line_no")
+    chosen = joined.where(_before(earlier, later) & _fitting(earlier, later, percent))
+    return chosen.select(place(later).alias("later"), place(earlier).alias("earlier")).distinct()
+
+
+def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(at, set) of the lines in the pairs."""
+    needed = pairs.select(F.explode(F.array("later", "earlier")).alias("at")).distinct()
+    # a document has a bounded number of lines
+    by_doc = needed.groupBy(F.col("at.doc_id").alias("__doc")).agg(F.collect_set("at.line_no").alias("__lines"))
+    by_doc = broadcast_if_small(written(by_doc, "needed"), BROADCAST_LINES)
+    # of rows that repeat a document any one will do: those with the class's text
+    texts = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("__doc")))
+    split = texts.select("doc_id", "__lines", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    chosen = split.where(F.array_contains("__lines", F.col("line_no")))
+    at = F.struct("doc_id", "line_no").alias("at")
+    return chosen.select(at, word_set(F.col("line")).alias("set")).dropDuplicates(["at"])
+
+
+def _similar(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier) of the pairs whose sets are similar enough."""
+    pairs = written(pairs, "line-pairs")
+    sets = written(_sets(docs, pairs), "line-sets")
+    both = pairs.join(sets.select(F.col("at").alias("later"), F.col("set").alias("set_a")), "later").join(
+        sets.select(F.col("at").alias("earlier"), F.col("set").alias("set_b")), "earlier"
+    )
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    return both.where(100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)).select("later", "earlier")
+
+
+def _long_lists(docs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
+    """Similar pairs of the long lists, at least one for each class that has an earlier similar one in them."""
+    order = F.struct("doc_id", "line_no")
+    columns = ["doc_id", "line_no", "n", "place", "bits"]
+    firsts = listed.groupBy("word").agg(F.min_by(F.struct(*columns), order).alias("first"))
+    firsts = broadcast_if_small(written(firsts, "firsts"))
+    entries = listed.select("word", F.struct(*columns).alias("me"))
+    settled = written(_similar(docs, _pairs(entries.join(firsts, "word"), "first", "me", percent), percent), "settled")
+    done = settled.select(F.col("later.doc_id").alias("d"), F.col("later.line_no").alias("l")).distinct()
+    open_ = entries.join(done, F.col("me.doc_id").eqNullSafe(F.col("d")) & (F.col("me.line_no") == F.col("l")), "left_anti")
+    # sets that are similar enough are in the same band of lengths or in neighbouring ones; one more for rounding
+    band = F.floor(F.log(F.col("me.n").cast("double")) / math.log(max(100 / percent, 1.01))).cast("int")
+    salt = F.pmod(F.xxhash64("me.doc_id", "me.line_no"), F.lit(SALTS)).cast("int")
+    others = entries.select("word", band.alias("band"), salt.alias("salt"), F.col("me").alias("other"))
+    near = open_.select("word", "me", F.explode(F.sequence(band - 2, band + 2)).alias("band"))
+    dealt = near.select("word", "me", "band", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    more = _similar(docs, _pairs(dealt.join(others, ["word", "band", "salt"]), "other", "me", percent), percent)
+    return settled.unionByName(more)
+
+
+def _matches(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(later, like): per class with an earlier similar class one of these."""
+    entries = classes.select("at.doc_id", "at.line_no", "n", "bits", F.posexplode("prefix").alias("place", "word"))
+    lists = entries.groupBy("word").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > LONG_LIST)
+    long = written(lists.select("word"), "long-lists")
+    side = F.struct("doc_id", "line_no", "n", "place", "bits")
+    some_long = long.head() is not None
+    long = broadcast_if_small(long)
+    short = entries.join(long, "word", "left_anti") if some_long else entries
+    one, two = (short.select("word", side.alias(name)) for name in ("one", "two"))
+    found = _similar(docs, _pairs(one.join(two, "word"), "one", "two", percent), percent)
+    if some_long:
+        listed = written(entries.join(long, "word"), "listed")
+        found = found.unionByName(_long_lists(docs, listed, percent))
+    return found.groupBy("later").agg(F.min("earlier").alias("like"))
+
+
 def duplicate_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, line_no, like_doc, like_line) of each line that goes, with an earlier line it is similar to.
 
-    Lines with fewer than ``min_words`` different words are left alone, as are lines without words. Lines
-    are in the order of doc_id (NULL first) and line number; repeated documents follow each other.
+    Lines with fewer than ``min_words`` different words are left alone, as are lines without words and NULL texts. Lines
+    are in the order of doc_id (NULL first) and line number; repeated documents follow each other. Columns other than
+    doc_id and text don't matter; an empty table has no lines.
     """
-    frequent = docs.sparkSession.range(1).select(
-        F.transform(F.lit(frequent_words(docs)).cast("array<string>"), word_key).alias("keys")
-    )
-    # at most FREQUENT numbers
-    usual = F.lit(frequent.head()["keys"] or []).cast("array<bigint>")
-    keyed = lines_of(docs).select("doc_id", "line_no", ordered_keys(F.col("line"), usual).alias("keys"))
-    n = F.size("keys")
-    lines = written(
-        keyed.where(n >= min_words).select(
-            "doc_id",
-            "line_no",
-            # equal sets have their words in the same order, so the hash of the array names the set
-            F.xxhash64("keys").alias("set_id"),
-            n.alias("n"),
-            F.slice("keys", F.lit(1), _first(n, percent)).alias("prefix"),
-        ),
-        "lines",
-    )
     at = F.struct("doc_id", "line_no").alias("at")
-    classes = lines.groupBy("set_id").agg(F.min(at).alias("at"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    # one row per class and word of its prefix, with the earliest of the word's list
-    entries = classes.select("at.doc_id", "at.line_no", "n", F.posexplode("prefix").alias("place", "word"))
-    listed = entries.select("word", F.struct("doc_id", "line_no", "n", "place").alias("me"))
-    whole_list = Window.partitionBy("word")
-    listed = listed.select(
-        "word", "me", F.min("me").over(whole_list).alias("first"), F.count(F.lit(1)).over(whole_list).alias("lists")
-    )
-    listed = written(listed.where("lists > 1").drop("lists"), "listed")
-
-    def fitting(one: str, two: str) -> Column:
-        """Length filter, and what can still be shared after the first common word."""
-        n_a, n_b, place_a, place_b = (F.col(f"{side}.{c}") for c in ("n", "place") for side in (one, two))
-        rest = F.least(n_a - place_a, n_b - place_b)
-        length = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-        return length & ((100 + percent) * rest >= percent * (n_a + n_b))
-
-    def before(one: str, two: str) -> Column:
-        return F.struct(f"{one}.doc_id", f"{one}.line_no") < F.struct(f"{two}.doc_id", f"{two}.line_no")
-
-    def pairs_of(candidates: DataFrame, earlier: str, later: str) -> DataFrame:
-        chosen = candidates.where(before(earlier, later) & fitting(earlier, later))
-        place = lambda side: F.struct(f"{side}.doc_id", f"{side}.line_no")
-        return chosen.select(place(later).alias("later"), place(earlier).alias("earlier")).distinct()
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """(at, set) of the lines in the pairs."""
-        needed = pairs.select(F.explode(F.array("later", "earlier")).alias("at")).distinct()
-        # a document has a bounded number of lines
-        by_doc = needed.groupBy(F.col("at.doc_id").alias("__doc")).agg(F.collect_set("at.line_no").alias("__lines"))
-        by_doc = broadcast_if_small(written(by_doc, "needed"), BROADCAST_LINES)
-        # of rows that repeat a document any one will do: those with the class's text
-        texts = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("__doc")))
-        split = texts.select("doc_id", "__lines", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        chosen = split.where(F.array_contains("__lines", F.col("line_no")))
-        return chosen.select(at, ordered_keys(F.col("line"), usual).alias("set")).dropDuplicates(["at"])
-
-    def similar(pairs: DataFrame) -> DataFrame:
-        """(later, earlier) of the pairs whose sets are similar enough."""
-        pairs = written(pairs, "line-pairs")
-        sets = written(sets_of(pairs), "line-sets")
-        both = pairs.join(sets.select(F.col("at").alias("later"), F.col("set").alias("set_a")), "later").join(
-            sets.select(F.col("at").alias("earlier"), F.col("set").alias("set_b")), "earlier"
+    with scratch(docs.sparkSession) as keep:
+        # the length is tested on the written lines: the words would be ordered twice otherwise
+        lines = written(_keyed_lines(docs, percent), "lines").where(F.col("n") >= min_words)
+        row = F.struct("doc_id", "line_no", "n", "bits", "prefix")
+        classes = lines.groupBy("set_id").agg(F.min(row).alias("row"))
+        # the earliest line stands for its class
+        classes = classes.select("set_id", F.struct("row.doc_id", "row.line_no").alias("at"), "row.n", "row.bits", "row.prefix")
+        classes = written(classes, "line-classes")
+        matched = _matches(docs, classes, percent)
+        # of a class the later lines go; its first goes too if an earlier class is similar
+        known = classes.select("set_id", F.col("at").alias("first_at")).join(
+            matched, F.col("first_at").eqNullSafe(F.col("later")), "left"
+        ).select("set_id", "first_at", "like")
+        gone = (
+            lines.select(at, "set_id")
+            .join(known, "set_id")
+            .select("at", F.coalesce("like", F.when(F.col("first_at") < F.col("at"), F.col("first_at"))).alias("like"))
+            .where("like IS NOT NULL")
+            .select("at.doc_id", "at.line_no", F.col("like.doc_id").alias("like_doc"), F.col("like.line_no").alias("like_line"))
         )
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        return both.where(100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)).select("later", "earlier")
-
-    settled = written(similar(pairs_of(listed, "first", "me")), "settled")
-    done = settled.select(F.col("later.doc_id").alias("d"), F.col("later.line_no").alias("l")).distinct()
-    mine = listed.where(F.col("me") != F.col("first")).join(
-        done, F.col("me.doc_id").eqNullSafe(F.col("d")) & (F.col("me.line_no") == F.col("l")), "left_anti"
-    )
-    others = listed.where(F.col("me") != F.col("first")).select("word", F.col("me").alias("other"))
-    more = similar(pairs_of(mine.select("word", "me").join(others, "word"), "other", "me"))
-    matched = settled.unionByName(more).groupBy("later").agg(F.min("earlier").alias("like"))
-    # of a class the later lines go; its first goes too if an earlier class is similar
-    firsts = lines.groupBy("set_id").agg(F.min(at).alias("first_at"))
-    known = firsts.join(matched, F.col("first_at").eqNullSafe(F.col("later")), "left").select("set_id", "first_at", "like")
-    return (
-        lines.select(at, "set_id")
-        .join(known, "set_id")
-        .select("at", F.coalesce("like", F.when(F.col("first_at") < F.col("at"), F.col("first_at"))).alias("like"))
-        .where("like IS NOT NULL")
-        .select("at.doc_id", "at.line_no", F.col("like.doc_id").alias("like_doc"), F.col("like.line_no").alias("like_line"))
-    )
+        return keep(gone, "gone")
 
 
 def without_duplicate_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from compare import differences, duck
 from llm_tables import DATA, documents, prose  # noqa: F401
 
+from riskfeat.llm import line_dedup
 from riskfeat.llm.queries import ORACLE, REGISTRY
 
 
@@ -46,6 +47,15 @@ def test_lines(spark, prose):
     assert all((r["like_doc"], r["like_line"]) < (r["doc_id"], r["line_no"]) for r in got)
 
 
+@pytest.mark.parametrize("longest", [1, 3])
+def test_lines_in_long_lists(spark, prose, monkeypatch, longest):
+    monkeypatch.setattr(line_dedup, "LONG_LIST", longest)
+    variants = [(10_000 + i, "\n".join(f"alpha beta gamma delta epsilon zeta eta theta iota w{j}" for j in range(i, i + 2))) for i in range(30)]
+    docs = prose[:300] + variants
+    got = line_dedup.duplicate_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["line_no"]) for r in got} == brute.lines_that_go(docs)
+
+
 def test_language_scores(spark, prose):
     got = rows_by_id(REGISTRY["op6_hmm_scores"](spark, DATA))
     want = brute.base_scores(prose)
