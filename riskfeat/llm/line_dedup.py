@@ -52,11 +52,10 @@ def _bucket(hashed: Column) -> Column:
     return hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def word_key(word: Column, levels: bytes) -> Column:
-    """A number for a word: its bucket's magnitude above 56 bits of its hash, so rare words come first."""
-    level = lambda h: F.ascii(F.substring(F.lit(levels), _bucket(h) + 1, F.lit(1)).cast("string"))
-    key = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    return key(F.xxhash64(word))
+def word_key(hashed: Column, levels: bytes) -> Column:
+    """A number for a word's hash: its bucket's magnitude above 56 bits of the hash, so rare words come first."""
+    level = F.ascii(F.substring(F.lit(levels), _bucket(hashed) + 1, F.lit(1)).cast("string"))
+    return F.shiftleft(level.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(hashed, 8))
 
 
 def signature(keys: Column) -> Column:
@@ -84,7 +83,7 @@ def _first(n: Column, percent: int) -> Column:
 def _keyed_lines(docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, line_no, set_id, n, bits, prefix) of every line."""
     levels = bucket_levels(docs)
-    in_order = F.sort_array(F.array_distinct(F.transform(words(F.lower("line")), lambda w: word_key(w, levels))))
+    in_order = F.sort_array(F.transform(word_set(F.col("line")), lambda h: word_key(h, levels)))
     n = F.size("keys")
     return lines_of(docs).select("doc_id", "line_no", in_order.alias("keys")).select(
         "doc_id",
@@ -134,9 +133,8 @@ def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return chosen.select(at, word_set(F.col("line")).alias("set")).dropDuplicates(["at"])
 
 
-def _similar(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier) of the pairs whose sets are similar enough."""
-    pairs = written(pairs, "line-pairs")
+def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs, which are a written table, whose whole sets are similar enough."""
     sets = written(_sets(docs, pairs), "line-sets")
     both = pairs.join(sets.select(F.col("at").alias("later"), F.col("set").alias("set_a")), "later").join(
         sets.select(F.col("at").alias("earlier"), F.col("set").alias("set_b")), "earlier"
@@ -145,6 +143,18 @@ def _similar(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)).select("later", "earlier")
 
 
+def _similar(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier) of similar pairs, at least one for each later line that has any.
+
+    A line is held against the earliest of its candidates first; the others are only asked where that one fails.
+    """
+    pairs = written(pairs, "line-pairs")
+    earliest = written(pairs.groupBy("later").agg(F.min("earlier").alias("earlier")), "line-earliest")
+    settled = written(_verified(docs, earliest, percent), "settled")
+    left = pairs.join(settled.select("later"), "later", "left_anti").join(earliest, ["later", "earlier"], "left_anti")
+    return settled.unionByName(_verified(docs, written(left, "line-others"), percent))
+
+
 def _long_lists(docs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
     """Similar pairs of the long lists, at least one for each class that has an earlier similar one in them."""
     order = F.struct("doc_id", "line_no")
