@@ -247,15 +247,13 @@ def pivot_stats(
     return wide.na.fill(0, subset=[s.name for s in stats])
 
 
-def category_values(df: DataFrame, column: str, at_most: int = 1000) -> list:
-    """The categories of a column, in order, for building one output column each.
+def category_values(df: DataFrame, column: str) -> list:
+    """All categories of a column, in order, for building one output column each.
 
-    A category list becomes part of the schema, so more than ``at_most`` is an error,
-    never a silent cut.
+    The list becomes part of the schema. Columns with very many categories are better kept as rows or ids:
+    ``categories.sparse_pivot`` and ``categories.sparse_one_hot``.
     """
-    found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(at_most + 1).collect()
-    if len(found) > at_most:
-        raise ValueError(f"{column} has more than {at_most} categories")
+    found = df.where(F.col(column).isNotNull()).select(column).distinct().collect()
     return sorted(row[0] for row in found)
 
 

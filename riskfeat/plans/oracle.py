@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from itertools import combinations
 
 from riskfeat.functions.stats import BASIC, SPREAD, WITH_STD
+from riskfeat.plans.cube_queries import HOUR_RANGES, MOMENTS, WINDOWS
 from riskfeat.plans.feature_matrix import BLEND_FAMILIES, BLEND_WEIGHTS
 
 ACT = """act AS (
@@ -89,6 +90,33 @@ def _trailing() -> str:
     )
 
 
+def _cube_trailing() -> str:
+    return ", ".join(stats("amount", MOMENTS, "amount", f"days_diff > {w}", f"_{w}d", null=True) for w in WINDOWS)
+
+
+def _cube_hours() -> str:
+    return ", ".join(
+        stats("amount", MOMENTS, "hour_amount", f"hour > {a} AND hour <= {b}", f"_{a}_{b}", null=True)
+        for a, b in HOUR_RANGES[:3]
+    )
+
+
+def _cube_calendar() -> str:
+    slots = [(f"week_{d}_cnt", f"days_diff % 7 = {d}") for d in range(7)]
+    slots += [(f"hour_{a}_{b}_cnt", f"hour > {a} AND hour <= {b}") for a, b in HOUR_RANGES]
+    return ", ".join(f"nullif(count(*) FILTER (WHERE {where}), 0) AS {name}" for name, where in slots)
+
+
+def _shared_values(columns: Iterable[str]) -> str:
+    per_value = "SELECT min(property) AS a, max(property) AS b FROM act WHERE {c} IS NOT NULL GROUP BY {c}"
+    parts = [
+        f"SELECT '{c}' AS field, count(*) FILTER (WHERE a <> b) AS n_shared, count(*) AS n_all, CAST(1 AS BIGINT) AS within "
+        f"FROM ({per_value.format(c=c)})"
+        for c in columns
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def _hours() -> str:
     return ", ".join(
         stats("amount", WITH_STD, "hour_amount", f"hour > {a} AND hour <= {b}", f"_{a}_{b}", null=True)
@@ -505,6 +533,25 @@ def oracle() -> dict[str, str]:
             rates AS (SELECT user_id, da / CASE WHEN dt = 0 THEN 0.01 ELSE CAST(dt AS DOUBLE) END AS x FROM nxt)
             SELECT user_id, {stats('x', BASIC, 'amount_diff')} FROM rates GROUP BY 1""",
         "trailing_day_stats": f"WITH {PUR} SELECT user_id, {_trailing()} FROM pur GROUP BY 1",
+        "cube_trailing_day_stats": f"WITH {PUR} SELECT user_id, {_cube_trailing()} FROM pur GROUP BY 1",
+        "cube_hour_range_stats": f"WITH {PUR} SELECT user_id, {_cube_hours()} FROM pur GROUP BY 1",
+        "cube_calendar_counts": f"""WITH {PUR} SELECT user_id, {_cube_calendar()}, min(timestamp) AS first_time,
+            max(timestamp) AS last_time FROM pur GROUP BY 1""",
+        "sketch_distinct_counts": f"""WITH {ACT} {' UNION ALL '.join(
+            f"SELECT property, '{c}' AS field, count(DISTINCT {c}) AS n, CAST(1 AS BIGINT) AS within FROM act GROUP BY 1"
+            for c in ('user_id', 'ip', 'ip_3', 'k7'))}""",
+        "sketch_medians": f"""WITH {ACT} SELECT property, week, count(amount) AS n, CAST(1 AS BIGINT) AS within
+            FROM act GROUP BY 1, 2""",
+        "sketch_shared_values": f"WITH {ACT} {_shared_values(('user_id', 'ip', 'k7'))}",
+        "sparse_one_hot": f"""WITH {PROF}, named AS (
+              SELECT user_id, 'nation_segment' AS field, nation_segment AS v FROM prof
+              UNION ALL SELECT user_id, 'segment_n', segment_n FROM prof),
+            ids AS (SELECT field, v, dense_rank() OVER (ORDER BY field, v) - 1 AS id FROM
+              (SELECT DISTINCT field, v FROM named WHERE v IS NOT NULL))
+            SELECT user_id, coalesce(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id), '') AS ids
+            FROM named LEFT JOIN ids USING (field, v) GROUP BY 1""",
+        "sparse_pivot": f"""WITH {COM} SELECT user_id, days_diff || '/' || status AS day_status, count(amount) AS amount_count,
+            {r('sum(amount)')} AS amount_sum, {r('max(amount)')} AS amount_max FROM com GROUP BY 1, 2""",
         "hour_range_stats": f"WITH {PUR} SELECT user_id, {_hours()} FROM pur GROUP BY 1",
         "session_amount_stats": f"""WITH {PSESS} SELECT user_id, {', '.join(
             stats('amount', WITH_STD, 'amount', f'session = {n}', f'_session{n}', null=True) for n in (0, 1))}

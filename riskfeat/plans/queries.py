@@ -14,6 +14,7 @@ from riskfeat.functions.stats import BASIC, SPREAD, WITH_STD, Stat, stats_of
 from riskfeat.operators import behaviour, encoders, folds, grouping, popularity, profile, scoring, sequences, sessions
 from riskfeat.operators import vectors
 from riskfeat.plans import feature_matrix, input_files, tables
+from riskfeat.plans.cube_queries import QUERIES as CUBE_QUERIES
 from riskfeat.plans.risk_run import blend_and_write
 from riskfeat.session import reliable_checkpoint, shared_folder
 from riskfeat.sources.readers import column_types, read_risk_input, read_texts, read_with_rejects
@@ -765,3 +766,7 @@ def feature_set_ablation(spark, folder):
     settings = scoring.TreeSettings(rounds=3, depth=4, step=0.1)
     return scoring.ablation_scores(matrix, named, (2020, 779), tables.FOLDS, settings)
 
+
+# -- stored parts, sketches and categories without columns
+
+REGISTRY |= {name: (lambda spark, folder, f=f: rounded(f(spark, folder))) for name, f in CUBE_QUERIES.items()}
