@@ -89,7 +89,10 @@ def perspectives(
 
 
 def perspective_table(turns: DataFrame) -> DataFrame:
-    """The perspectives with the mask as text, start:end comma-joined."""
+    """The perspectives with the mask as text, start:end comma-joined.
+
+    NULLs, empty tables, repeated rows and extra columns are treated as in ``perspectives``; an empty mask is "".
+    """
     mask = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
     return perspectives(turns).withColumn("mask", F.array_join(mask, ","))
 

@@ -147,7 +147,11 @@ def _part(key: Column, size: Column) -> Column:
 
 
 def mix_amounts(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document; NULL sources are one source, the last."""
+    """(doc_id, size, source_size, target, taken) of every document; NULL sources are one source, the last.
+
+    A NULL or empty text has size 0 and nothing is taken of it. Every row is a document of its own, those with a
+    repeated or NULL doc_id too. An empty table gives no rows.
+    """
     sized, cuts = mix_plan(docs, **options)
     taken = F.col("whole") * F.col("size") + _part(F.col("key"), F.col("size"))
     return sized.join(cuts, "source_key").select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))

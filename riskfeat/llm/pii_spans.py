@@ -321,7 +321,11 @@ def joined(spans: Column) -> Column:
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, plain identifiers of each kind, SHA-256 of their spans, and all spans."""
+    """doc_id, plain identifiers of each kind, SHA-256 of their spans, and all spans.
+
+    One row per input row. A NULL or empty text has no spans: counts of 0, the hash of the empty text, and "" as spans.
+    An empty table gives no rows.
+    """
     counts = [
         F.size(F.filter("base", _is(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS
     ]

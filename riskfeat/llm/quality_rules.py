@@ -200,7 +200,11 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 
 def quality_report(docs: DataFrame, rules: Sequence[Rule] = MORE_RULES) -> DataFrame:
-    """doc_id, n_words, the base measures, base_failed, and kept: neither the base nor a rule rejects the document."""
+    """doc_id, n_words, the base measures, base_failed, and kept: neither the base nor a rule rejects the document.
+
+    A NULL or empty text has no words, so the base rejects it. Every row is judged by its own text, rows that repeat a doc_id
+    too; columns other than doc_id and text don't matter; an empty table gives no rows.
+    """
     ordered = [e.rule for e in estimate(docs, rules)]
     verdict = fresh(docs, "__verdict")
     found = docs.select("doc_id", "text", *[c.alias(n) for n, c in measures(F.col("text")).items()])
