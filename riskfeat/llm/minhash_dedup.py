@@ -4,8 +4,9 @@
    Equal sets are one class; only classes go on, so copies never meet in pairs.
 2. Signatures are cut into bands. In every bucket of equal bands each class first meets one class, drawn
    at random; that joins most groups. In buckets that still hold several components, classes of different
-   components meet: as pairs in small buckets, in blocks of ``BLOCK`` classes in larger ones. A block
-   works on bounded arrays and hands out links only, so the pairs of a large group never become rows.
+   components meet: as pairs in small buckets, in larger ones the classes outside the bucket's largest component
+   against all, in blocks of ``BLOCK`` classes or ``BLOCK_BYTES`` of sets. A block works on bounded arrays and
+   hands out links only, so the pairs of a large group never become rows.
 3. A candidate pair compares its signatures a batch of hashes at a time and is dropped as soon as the posterior
    probability that its similarity reaches the threshold falls below the miss probability.
 4. Survivors are confirmed on their full sets, and links are joined into components.
@@ -22,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskfeat.llm.text import broadcast_if_small, map_texts, scratch, worker_cache, written
@@ -33,6 +34,7 @@ MISS = 1e-6
 CACHED_WORDS = 200_000
 SMALL = 16
 BLOCK = 1024
+BLOCK_BYTES = 8 << 20
 # ids of documents to look up; as many longs as a broadcast may have
 LOOKED_UP = 500_000
 MASK = (1 << 64) - 1
@@ -272,26 +274,46 @@ def links_in_block(table: pa.Table, percent: int, rows: int) -> list[tuple[int,
     return found
 
 
-def block_links(large: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
-    """(a, b): links between components in large buckets of (bucket, node, label, n), block against block."""
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
-    last = (F.ceil(F.col("n") / BLOCK) - 1).cast("int")
-    dealt = (
-        large.withColumn("block", block.cast("int"))
-        .join(classes.select("node", "signature"), "node")
-        .join(sets, "node")
-        # each block meets itself and every other one
-        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+def dealt_blocks(large: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(bucket, i, j, block, node, label, signature, shingles): large buckets of (bucket, node, label), block against block.
+
+    The largest component of a bucket has nothing to find inside itself: only the classes outside it meet all
+    classes. Both sides are dealt into blocks by their number of classes and the bytes of their sets; the blocks
+    of the outsiders are numbered first.
+    """
+    per_label = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = per_label.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+    sided = large.join(main, "bucket").withColumn("outside", F.col("label") != F.col("main")).drop("main")
+    sided = written(sided.join(sets.select("node", F.octet_length("shingles").alias("bytes")), "node"), "sided")
+
+    def blocks(outside: bool) -> Column:
+        here = F.col("outside") == outside
+        classes_, bytes_ = F.count_if(here), F.sum(F.when(here, F.col("bytes")).otherwise(0))
+        return F.greatest(F.ceil(classes_ / BLOCK), F.ceil(bytes_ / BLOCK_BYTES)).cast("int")
+
+    counts = sided.groupBy("bucket").agg(blocks(True).alias("outs"), blocks(False).alias("ins"))
+    own = F.pmod(F.xxhash64("node", "bucket"), F.when(F.col("outside"), F.col("outs")).otherwise(F.col("ins"))).cast("int")
+    return (
+        sided.join(counts, "bucket")
+        .withColumn("block", own + F.when(F.col("outside"), 0).otherwise(F.col("outs")))
+        .withColumn("last", F.when(F.col("outside"), F.col("outs") + F.col("ins")).otherwise(F.col("outs")) - 1)
+        .select("bucket", "node", "label", "block", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
+        .join(classes.select("node", "signature"), "node")
+        .join(sets, "node")
         .select("bucket", "i", "j", "block", "node", "label", "signature", "shingles")
     )
 
+
+def block_links(large: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
+    """(a, b): links between components in large buckets of (bucket, node, label)."""
+
     def compare(table: pa.Table) -> pa.Table:
         found = links_in_block(table, percent, rows)
         return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("ab")})
 
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+    return dealt_blocks(large, classes, sets).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
