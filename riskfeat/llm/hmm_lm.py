@@ -37,6 +37,7 @@ PRIOR = 5.0
 COUNTED_WORDS = 200_000
 CELLS = 1 << 18
 PIECE = 1024
+RESCALE = 8
 # no word holds white space
 END = b"\n"
 
@@ -245,12 +246,33 @@ def _chunks(sequences: list[np.ndarray]) -> Iterator[list[int]]:
         at += many
 
 
+@dataclass
+class Messages:
+    """What pieces of texts get from their neighbours, a row each: ``before`` is the forward message at the end of the
+    piece before (zero for a text's first piece), ``entering`` the states' prior at the first token, ``after`` the
+    backward message at the last one."""
+
+    before: np.ndarray
+    entering: np.ndarray
+    after: np.ndarray
+
+    @staticmethod
+    def alone(n: int, model: Model) -> Messages:
+        """For whole texts."""
+        states = len(model.start)
+        return Messages(np.zeros((n, states)), np.tile(model.start, (n, 1)), np.ones((n, states)))
+
+    def of(self, chosen: list[int]) -> Messages:
+        return Messages(self.before[chosen], self.entering[chosen], self.after[chosen])
+
+
 class Lattice:
     """Forward probabilities of a chunk of sequences, the longest first; rows are times."""
 
-    def __init__(self, sequences: list[np.ndarray], model: Model):
+    def __init__(self, sequences: list[np.ndarray], model: Model, messages: Messages | None = None):
         lengths = np.array([len(s) for s in sequences])
         self.steps, self.model = int(lengths[0]), model
+        self.messages = messages or Messages.alone(len(sequences), model)
         # how many sequences are still running at each time
         self.active = (lengths[None, :] > np.arange(self.steps)[:, None]).sum(axis=1)
         self.seen = np.zeros((self.steps, len(sequences)), dtype=np.int16)
@@ -259,7 +281,7 @@ class Lattice:
         self.emitted = model.emit[self.seen]
         self.alpha = np.zeros_like(self.emitted)
         self.scale = np.ones(self.seen.shape)
-        now = model.start * self.emitted[0]
+        now = self.messages.entering * self.emitted[0]
         for t in range(self.steps):
             m = self.active[t]
             if t:
@@ -269,9 +291,9 @@ class Lattice:
             self.alpha[t, :m] = now / total[:, None]
 
     def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves and emissions, summed over the chunk."""
+        """Expected starts, moves (those from the pieces before too) and emissions, summed over the chunk."""
         states = len(self.model.start)
-        beta = np.ones((self.seen.shape[1], states))
+        beta = self.messages.after.copy()
         gamma = self.alpha
         moves = np.zeros((states, states))
         for t in range(self.steps - 1, 0, -1):
@@ -280,20 +302,61 @@ class Lattice:
             moves += self.alpha[t - 1, :m].T @ onward
             gamma[t, :m] *= beta[:m]
             beta[:m] = onward @ self.model.move.T
+        moves += self.messages.before.T @ (self.emitted[0] * beta / self.scale[0][:, None])
         gamma[0] *= beta
         running = np.arange(self.seen.shape[1])[None, :] < self.active[:, None]
         classes, weights = self.seen[running], gamma[running]
         emitted = np.stack([np.bincount(classes, weights[:, k], len(self.model.emit)) for k in range(states)], axis=1)
-        return gamma[0].sum(axis=0), moves * self.model.move, emitted
+        first = ~self.messages.before.any(axis=1)
+        return gamma[0][first].sum(axis=0), moves * self.model.move, emitted
 
 
-def _sequences(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(b, dtype=np.int16) for b in column.to_pylist()]
+def transfers(sequences: list[np.ndarray], model: Model) -> np.ndarray:
+    """For each sequence the matrix that takes the prior at its first token to the states at its last, up to a factor."""
+    states = len(model.start)
+    found = np.empty((len(sequences), states, states))
+    for chunk in _chunks(sequences):
+        lengths = np.array([len(sequences[i]) for i in chunk])
+        now = np.eye(states)[None] * model.emit[[sequences[i][0] for i in chunk]][:, None, :]
+        for t in range(1, int(lengths[0])):
+            m = int((lengths > t).sum())
+            emitted = model.emit[[sequences[i][t] for i in chunk[:m]]]
+            step = (now[:m].reshape(-1, states) @ model.move).reshape(m, states, states) * emitted[:, None, :]
+            # doubles have room for the probabilities of a few tokens
+            now[:m] = step / step.sum(axis=(1, 2), keepdims=True) if t % RESCALE == 0 else step
+        found[chunk] = now / now.sum(axis=(1, 2), keepdims=True)
+    return found
+
+
+def pieces_of(sequences: list[np.ndarray], model: Model) -> tuple[list[np.ndarray], Messages]:
+    """Pieces of at most ``PIECE`` tokens with the messages over their cuts, so that they add up to whole texts.
+
+    The pieces of a text run side by side: their transfer matrices, one after the other, give every cut's
+    forward and backward message exactly. Memory is bounded by the piece, whatever the text's length.
+    """
+    cuts = [[s[at : at + PIECE] for at in range(0, len(s), PIECE)] for s in sequences]
+    pieces = [p for cut in cuts for p in cut]
+    messages = Messages.alone(len(pieces), model)
+    starts = np.cumsum([0] + [len(cut) for cut in cuts])
+    several = [i for i, cut in enumerate(cuts) if len(cut) > 1]
+    takes = transfers([p for i in several for p in cuts[i]], model)
+    at = 0
+    for i in several:
+        n, first = len(cuts[i]), starts[i]
+        take = takes[at : at + n]
+        for k in range(1, n):
+            ends = messages.entering[first + k - 1] @ take[k - 1]
+            messages.before[first + k] = ends / ends.sum()
+            messages.entering[first + k] = messages.before[first + k] @ model.move
+        for k in range(n - 1, 0, -1):
+            after = model.move @ (take[k] @ messages.after[first + k])
+            messages.after[first + k - 1] = after / (messages.before[first + k] @ after)
+        at += n
+    return pieces, messages
 
 
-def _pieces(sequences: list[np.ndarray]) -> list[np.ndarray]:
-    """Sequences of at most ``PIECE`` tokens: of a longer one, each piece is trained on as a sequence."""
-    return [s[at : at + PIECE] for s in sequences for at in range(0, len(s), PIECE)]
+def _sequences(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(b, dtype=np.int16) for b in column.to_pylist()]
 
 
 def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
@@ -323,7 +386,7 @@ def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
 
 
 def improved(sequences: DataFrame, model: Model, vocab: Vocabulary) -> Model:
-    """One pass of Baum-Welch over all sequences; emissions lean on the unigram distribution."""
+    """One pass of Baum-Welch over all sequences, each as a whole; emissions lean on the unigram distribution."""
     states = len(model.start)
     shared = sequences.sparkSession.sparkContext.broadcast(model)
     columns = ", ".join(f"s{k} double" for k in range(states))
@@ -333,9 +396,9 @@ def improved(sequences: DataFrame, model: Model, vocab: Vocabulary) -> Model:
         # one row for the starts, then the moves, then the classes
         total = np.zeros((1 + states + len(model.emit), states))
         for batch in batches:
-            found = _pieces(_sequences(batch.column(0)))
+            found, messages = pieces_of(_sequences(batch.column(0)), model)
             for chunk in _chunks(found):
-                start, moves, emitted = Lattice([found[i] for i in chunk], model).expected()
+                start, moves, emitted = Lattice([found[i] for i in chunk], model, messages.of(chunk)).expected()
                 total[0] += start
                 total[1 : 1 + states] += moves
                 total[1 + states :] += emitted
