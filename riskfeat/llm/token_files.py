@@ -37,6 +37,7 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 ROW_BYTES = 1 << 20
+FILE_BYTES = 256 << 20
 LEVEL = 3
 
 
@@ -132,9 +133,16 @@ def write_token_files(
 
     NULL and empty texts are just the end id; a NULL id sorts first; repeated ids stay separate
     documents, in order of their texts. Further columns are ignored; an empty table writes no documents.
+    Files are made from about ``FILE_BYTES`` of text at most, however large the table; rows that repeat an id are dealt
+    by the beginnings of their texts.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    files = -(-n_bytes // FILE_BYTES)
+    keys = ["id", F.substring("text", 1, 64)]
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(files, *keys) if files > usual else rows.repartitionByRange(*keys)
+    ordered = ranged.sortWithinPartitions("id", "text")
     end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
