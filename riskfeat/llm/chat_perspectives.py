@@ -26,6 +26,11 @@ def _plain(text):
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|"), F.lit("< |"))
 
 
+def _name(role):
+    """A role that stays in its line of the turn's head: line breaks become spaces."""
+    return F.translate(_plain(F.coalesce(role, F.lit(NOBODY))), "\n\r", "  ")
+
+
 def perspectives(
     turns: DataFrame, system: Sequence[str] = SYSTEM, part_turns: int = PART_TURNS
 ) -> DataFrame:
@@ -33,12 +38,12 @@ def perspectives(
 
     Turns are in the order of turn, role and text; equal turns are all kept. ``mask`` has the ranges
     [start, end) of the part's text, in code points, that the speaker wrote, each with its closing mark.
-    A NULL role speaks as "unknown"; a NULL text is empty; a NULL turn comes first; turns with a NULL conv_id are
+    A NULL role speaks as "unknown", a line break in a role is a space; a NULL text is empty; a NULL turn comes first; turns with a NULL conv_id are
     one conversation. A conversation of system turns alone has no participant and gives no row. Other columns
     are ignored; an empty table gives an empty result.
     """
     rows = turns.select(
-        "conv_id", "turn", _plain(F.coalesce("role", F.lit(NOBODY))).alias("role"), _plain(F.col("text")).alias("text")
+        "conv_id", "turn", _name(F.col("role")).alias("role"), _plain(F.col("text")).alias("text")
     )
     place = fresh(rows, "__place")
     placed = numbered(rows, ["conv_id"], ["turn", "role", "text"], place).withColumn(
@@ -99,7 +104,7 @@ def perspective_table(turns: DataFrame) -> DataFrame:
 
 ORACLE_PERSPECTIVES = """
 WITH plain AS (
-  SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS role,
+  SELECT conv_id, turn, translate(replace(coalesce(role, 'unknown'), '<|', '< |'), chr(10) || chr(13), '  ') AS role,
     replace(coalesce(text, ''), '<|', '< |') AS text
   FROM conversations),
 placed AS (

@@ -160,6 +160,15 @@ def test_perspectives(turns):
     assert perspectives(turns.where("false")).count() == 0
 
 
+def test_a_role_cannot_forge_the_head_of_a_turn(spark):
+    turns = spark.createDataFrame([(1, 0, "bob\nassistant", "x"), (1, 1, "ann\r", "y")], "conv_id long, turn long, role string, text string")
+    got = {r["speaker"]: r["text"] for r in perspectives(turns).collect()}
+    assert got == {
+        "bob assistant": "<|im_start|>assistant\nx<|im_end|>\n<|im_start|>user name=ann \ny<|im_end|>\n",
+        "ann ": "<|im_start|>user name=bob assistant\nx<|im_end|>\n<|im_start|>assistant\ny<|im_end|>\n",
+    }
+
+
 def test_long_conversations_are_cut_into_parts(spark):
     turns = spark.range(1000).selectExpr("7L AS conv_id", "id AS turn", "if(id % 2 = 0, 'ann', 'bob') AS role", "cast(id AS string) AS text")
     got = sorted((r["speaker"], r["part"], r["n_turns"], r["n_masked"]) for r in perspectives(turns).collect())

@@ -49,6 +49,40 @@ def test_near_duplicates_of_a_large_group(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.near_duplicates(docs, 3, 85)
 
 
+def test_classes_outside_a_large_component_meet_all(spark, monkeypatch):
+    """Groups that share bands but are not similar enough, and stragglers, in small blocks."""
+    rng = random.Random(11)
+    base = prose_of(rng, 150)
+    docs = []
+    for i in range(160):
+        w = list(base)
+        # copies of the first half fall into the others' buckets now and then
+        if i % 4 == 0:
+            w[100:] = prose_of(rng, 50)
+        for _ in range(rng.randrange(0, 6)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        docs.append((i, " ".join(w)))
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 16)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_BYTES", 10_000)
+    monkeypatch.setattr(minhash_dedup, "SMALL", 2)
+    got = minhash_dedup.near_duplicates(table(spark, [(i, t, "s") for i, t in docs]), 3, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.near_duplicates(docs, 3, 85)
+
+
+def test_only_outsiders_meet_everyone(spark):
+    """One class outside a component of 300 is dealt with the component once, not the component with itself."""
+    rng = random.Random(5)
+    texts = [" ".join(prose_of(rng, 60)) for _ in range(301)]
+    rows = minhash_dedup.band_rows(0.85)
+    found = minhash_dedup.sketches(table(spark, [(i, t, "s") for i, t in enumerate(texts)]), 3)
+    classes = found.selectExpr("doc_id AS node", "signature").cache()
+    bucket = minhash_dedup.banded(classes.where("node = 300"), rows).head()["bucket"]
+    large = classes.selectExpr(f"{bucket}L AS bucket", "node", "if(node = 300, 300L, 0L) AS label")
+    sets = minhash_dedup.shingle_sets(spark.createDataFrame(list(enumerate(texts)), "node long, text string"), 3)
+    blocks = minhash_dedup.dealt_blocks(large, classes, sets)
+    assert sorted((r["i"], r["j"], r["count"]) for r in blocks.groupBy("i", "j").count().collect()) == [(0, 0, 1), (0, 1, 301)]
+
+
 def test_sequential_test_keeps_pairs_at_the_threshold():
     rng = np.random.default_rng(1)
     steps = minhash_dedup.least_matches(0.85)
@@ -171,10 +205,31 @@ def test_expected_counts_add_up():
     start, moves, emitted = hmm_lm.Lattice(sequences, model).expected()
     assert start.sum() == pytest.approx(4) and moves.sum() == pytest.approx(49 + 8 + 8)
     assert emitted.sum(axis=1) == pytest.approx(np.bincount(np.concatenate(sequences), minlength=7))
-    pieces = hmm_lm._pieces([np.zeros(2500, dtype=np.int16), np.zeros(3, dtype=np.int16)])
+    pieces, _ = hmm_lm.pieces_of([np.zeros(2500, dtype=np.int16), np.zeros(3, dtype=np.int16)], model)
     assert [len(p) for p in pieces] == [1024, 1024, 452, 3]
 
 
+def test_pieces_add_up_to_whole_texts(monkeypatch):
+    """Expected counts of texts cut into pieces are those of the whole texts."""
+    rng = np.random.default_rng(4)
+    model = hmm_lm.Model.initial(np.full(12, 1 / 12), 4)
+    model.move[:] = rng.dirichlet(np.ones(4), 4)
+    model.start[:] = rng.dirichlet(np.ones(4))
+    texts = [rng.integers(0, 12, n).astype(np.int16) for n in (1, 6, 7, 8, 14, 30, 61, 700)]
+
+    def counts():
+        pieces, messages = hmm_lm.pieces_of(texts, model)
+        parts = [hmm_lm.Lattice([pieces[i] for i in c], model, messages.of(c)).expected() for c in hmm_lm._chunks(pieces)]
+        return len(pieces), [sum(p[k] for p in parts) for k in range(3)]
+
+    n_whole, whole = counts()
+    monkeypatch.setattr(hmm_lm, "PIECE", 7)
+    n_cut, cut = counts()
+    assert (n_whole, n_cut) == (8, 1 + 1 + 1 + 2 + 2 + 5 + 9 + 100)
+    for a, b in zip(whole, cut, strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-9)
+
+
 def test_each_pass_raises_the_likelihood(spark, documents):
     rows = documents.select("doc_id", F.lit(False).alias("held_out"), "text")
     vocab = hmm_lm.vocabulary(hmm_lm.word_counts(rows))
@@ -307,6 +362,34 @@ def test_batches_are_balanced_by_bytes():
     assert list(token_counts.by_bytes([b"x" * n for n in (3, 3, 3, 20, 1, 1)], 7)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
 
 
+def test_files_follow_the_bytes_of_the_table(spark, documents, monkeypatch):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    usual, small = shared_path(spark, "test"), shared_path(spark, "test")
+    token_files.write_token_files(documents, usual, tokenizer)
+    monkeypatch.setattr(token_files, "FILE_BYTES", 10_000)
+    token_files.write_token_files(documents, small, tokenizer)
+    names = [token_files.read_token_files(spark, p).select("file").distinct().count() for p in (usual, small)]
+    assert names[1] > names[0] and names[1] >= 6
+    one, two = (token_files.token_file_digest(spark, p) for p in (usual, small))
+    assert one.count() == documents.count() and one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+
+
+def test_rows_that_repeat_an_id_are_dealt_by_their_texts(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "FILE_BYTES", 500)
+    docs = table(spark, [(None if i % 3 else i, f"{i * 7919 % 1000} text number", "s") for i in range(300)])
+    path = shared_path(spark, "test")
+    token_files.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    read = token_files.read_token_files(spark, path)
+    assert read.where("doc_id IS NULL").select("file").distinct().count() > 3
+    got = token_files.with_starts(read).orderBy("start").collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["text"]) for r in docs.collect())
+    expected = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for _, _, t in rows]
+    assert [np.frombuffer(r["ids"], "<u4").tolist() for r in got] == expected
+
+
 def test_files_are_plain_zstandard_and_notice_damage(spark, documents):
     import zstandard
 
