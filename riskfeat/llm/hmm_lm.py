@@ -317,11 +317,15 @@ def transfers(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     found = np.empty((len(sequences), states, states))
     for chunk in _chunks(sequences):
         lengths = np.array([len(sequences[i]) for i in chunk])
-        now = np.eye(states)[None] * model.emit[[sequences[i][0] for i in chunk]][:, None, :]
-        for t in range(1, int(lengths[0])):
-            m = int((lengths > t).sum())
-            emitted = model.emit[[sequences[i][t] for i in chunk[:m]]]
-            step = (now[:m].reshape(-1, states) @ model.move).reshape(m, states, states) * emitted[:, None, :]
+        seen = np.zeros((int(lengths[0]), len(chunk)), dtype=np.int16)
+        for place, i in enumerate(chunk):
+            seen[: lengths[place], place] = sequences[i]
+        active = (lengths[None, :] > np.arange(len(seen))[:, None]).sum(axis=1)
+        now = np.eye(states)[None] * model.emit[seen[0]][:, None, :]
+        for t in range(1, len(seen)):
+            m = active[t]
+            step = (now[:m].reshape(-1, states) @ model.move).reshape(m, states, states)
+            step *= model.emit[seen[t, :m]][:, None, :]
             # doubles have room for the probabilities of a few tokens
             now[:m] = step / step.sum(axis=(1, 2), keepdims=True) if t % RESCALE == 0 else step
         found[chunk] = now / now.sum(axis=(1, 2), keepdims=True)
