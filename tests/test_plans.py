@@ -1,5 +1,7 @@
 """Physical plans: native operators, pushed filters, no joins of all with all."""
 
+import threading
+
 import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
@@ -54,6 +56,16 @@ def test_stored_blocks_join_without_a_shuffle(spark, tmp_path):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("riskfeat_")]
 
 
+def test_blocks_are_written_side_by_side_and_leave_no_names(spark, tmp_path, monkeypatch):
+    barrier, put = threading.Barrier(2, timeout=120), BlockStore.put
+    monkeypatch.setattr(BlockStore, "put", lambda *a: (barrier.wait(), put(*a))[1])
+    store = BlockStore(spark, str(tmp_path), "user_id", 2)
+    first, second = store.put_all({n: spark.range(5).select(F.col("id").alias("user_id"), F.lit(n).alias(n)) for n in "ab"})
+    wide = assemble(first, [second])
+    store.close()
+    assert [r.asDict() for r in wide.orderBy("user_id").collect()] == [{"user_id": i, "a": "a", "b": "b"} for i in range(5)]
+
+
 def test_matrix_of_blocks_is_assembled_without_a_shuffle(spark):
     assert "Exchange" not in plan(star_matrix(spark, DATA))
 

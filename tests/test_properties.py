@@ -1,6 +1,8 @@
 """Brute-force checks on random data."""
 
+import dataclasses
 import random
+import threading
 from collections import Counter
 
 import numpy as np
@@ -242,3 +244,35 @@ def test_factorize_and_label_codes(spark):
 def test_every_category_is_listed(spark):
     df = spark.range(5000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("c"))
     assert grouping.category_values(df, "c") == [f"{i:04}" for i in range(5000)]
+
+
+@pytest.fixture()
+def small_matrix(spark):
+    rows = [(i, i % 3 % 2 if i % 7 else None, i % 2, float(i % 11), float(i * i % 13) if i % 5 else None) for i in range(200)]
+    return spark.createDataFrame(rows, "user_id long, label int, fold int, a double, b double")
+
+
+def test_folds_are_fitted_side_by_side_over_vectors_built_once(small_matrix, monkeypatch):
+    barrier, built = threading.Barrier(4, timeout=120), []
+    fit, build = scoring.boost_to_best_round, scoring.feature_vector
+    # every fit waits until those of both seeds and folds have begun
+    monkeypatch.setattr(scoring, "boost_to_best_round", lambda *a: (barrier.wait(), fit(*a))[1])
+    monkeypatch.setattr(scoring, "feature_vector", lambda names: (built.append(list(names)), build(names))[1])
+    settings = scoring.TreeSettings(rounds=2, depth=2, step=0.1)
+    got = scoring.ablation_scores(small_matrix, {"all": ["a", "b"], "one": ["a"]}, (1, 2), 2, settings)
+    assert built == [["a", "b"], ["a"]]
+    monkeypatch.undo()
+    want = [
+        scoring.gbt_oof_scores(small_matrix, f, 2, dataclasses.replace(settings, seed=s), feature_set=n)
+        for n, f in {"all": ["a", "b"], "one": ["a"]}.items() for s in (1, 2)
+    ]
+    assert sorted(map(tuple, got.collect())) == sorted(tuple(r) for w in want for r in w.collect())
+
+
+def test_feature_vectors_are_those_of_an_assembler(small_matrix):
+    got = small_matrix.select("user_id", vector_to_array(scoring.feature_vector(["a", "b"])).alias("x")).collect()
+    filled = VectorAssembler(inputCols=["a", "b"], outputCol="v").transform(small_matrix.na.fill(scoring.MISSING, ["a", "b"]))
+    assert got == filled.select("user_id", vector_to_array("v").alias("x")).collect()
+    odd = small_matrix.withColumn("a", F.lit(float("nan"))).select(scoring.feature_vector(["a", "b"]).alias("v"))
+    with pytest.raises(Exception, match="not a number"):
+        odd.collect()
