@@ -27,6 +27,9 @@ SENTENCE_WORDS = 1000
 CONTEXT_WORDS = 10
 # fixed value: frequent contexts are damped by this power
 CONTEXT_POWER = 0.75
+# terms whose document counts are broadcast, and the longest of them: at most 25 MB of text
+COMMON_TERMS = 200_000
+COMMON_TERM_BYTES = 128
 
 
 def words(text: Column) -> Column:
@@ -34,10 +37,17 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
 
 
-def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows (key, term, tf). A NULL text counts as the word ``nan``."""
+def term_counts(df: DataFrame, key: str, text: str, hot_rows: int | None = None) -> DataFrame:
+    """Rows (key, term, tf). A NULL text counts as the word ``nan``.
+
+    The texts are dealt out by their key before they are split, so a key's terms stay together for what follows; their words
+    are several times as large. With hot keys the words are dealt out instead.
+    """
     value = F.coalesce(F.col(text).cast("string"), F.lit("nan"))
-    exploded = df.where(F.col(key).isNotNull()).select(key, F.explode(words(value)).alias("term"))
+    texts = df.where(F.col(key).isNotNull()).select(key, value.alias("__text"))
+    if find_hot(df, [key], hot_rows) is None:
+        texts = texts.repartition(key)
+    exploded = texts.select(key, F.explode(words(F.col("__text"))).alias("term"))
     return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -50,9 +60,19 @@ def value_term_counts(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def tfidf_weights(counts: DataFrame, key: str, documents: Column, hot_rows: int | None = None) -> DataFrame:
-    """Rows (key, term, weight): tf · (ln((1+N)/(1+df)) + 1), scaled to length 1 per key."""
-    found = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = lookup_join(counts, found, ["term"], "df", hot_rows)
+    """Rows (key, term, weight): tf · (ln((1+N)/(1+df)) + 1), scaled to length 1 per key.
+
+    The most common terms are looked up in a broadcast, which moves no counts; only the counts of the others are shuffled.
+    """
+    found = reliable_checkpoint(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    short = found.where(F.octet_length("term") <= COMMON_TERM_BYTES)
+    common = short.orderBy(F.col("df").desc(), "term").limit(COMMON_TERMS)
+    weighted = counts.join(F.broadcast(common), ["term"], "left")
+    others = found.join(F.broadcast(common), ["term"], "left_anti")
+    if not others.isEmpty():
+        rare = lookup_join(weighted.where(F.col("df").isNull()).drop("df"), others, ["term"], "df", hot_rows)
+        # dealt out as the texts were, so that the union is not shuffled again
+        weighted = weighted.where(F.col("df").isNotNull()).unionByName(rare.repartition(key))
     idf = F.log((1 + documents) / (1 + F.col("df"))) + 1
     raw = weighted.select(key, "term", (F.col("tf") * idf).alias("weight"))
     # a key has each term once, so its rows are bounded by the vocabulary
@@ -188,9 +208,9 @@ def value_sentences(
     placed = positions(df.select(value, *order.keys, *order.columns), order, "__pos", hot_rows)
     word = F.coalesce(F.col(value).cast("string"), F.lit("nan"))
     cut = F.floor((F.col("__pos") - 1) / SENTENCE_WORDS)
-    inside = F.pmod(F.col("__pos") - 1, F.lit(SENTENCE_WORDS))
-    both = F.when((cut > 0) & (inside < CONTEXT_WORDS), F.array(cut, cut - 1)).otherwise(F.array(cut))
-    grouped = placed.withColumn("__sentence", F.explode(both)).groupBy(roles.user, "__sentence").agg(
+    # a context may be wider than a sentence
+    first = F.greatest(F.floor((F.col("__pos") - 1 - CONTEXT_WORDS) / SENTENCE_WORDS), F.lit(0).cast("long"))
+    grouped = placed.withColumn("__sentence", F.explode(F.sequence(first, cut))).groupBy(roles.user, "__sentence").agg(
         F.array_sort(F.collect_list(F.struct(F.col("__pos").alias("pos"), word.alias("word")))).alias("__w")
     )
     return grouped.select(roles.user, F.col("__w")["word"].alias("sentence"))

@@ -1,12 +1,14 @@
 """Physical plans: native operators, pushed filters, no joins of all with all."""
 
+import math
 import threading
+from collections import Counter
 
 import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
-from riskfeat.operators import sequences
+from riskfeat.operators import sequences, vectors
 from riskfeat.plans import tables
 from riskfeat.plans.feature_matrix import assemble, star_matrix
 from riskfeat.plans.queries import REGISTRY
@@ -70,6 +72,28 @@ def test_matrix_of_blocks_is_assembled_without_a_shuffle(spark):
     assert "Exchange" not in plan(star_matrix(spark, DATA))
 
 
+def test_term_weights_move_texts_and_rare_terms_only(spark, monkeypatch):
+    texts = ["aa bb bb cc", "bb cc dd", "cc", None, "", "aa ee ee ee " + "x" * 300]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)] + [(None, "aa")], "doc_id long, text string")
+
+    def weights(hot_rows=None):
+        counts = vectors.term_counts(docs, "doc_id", "text", hot_rows)
+        return vectors.tfidf_weights(counts, "doc_id", vectors.document_count(docs, "doc_id"), hot_rows)
+
+    words = {d: Counter(w for t in texts[2 * d : 2 * d + 2] for w in ("nan" if t is None else t).split()) for d in range(3)}
+    raw = {(d, w): n * (math.log(4 / (1 + sum(w in c for c in words.values()))) + 1) for d, c in words.items() for w, n in c.items()}
+    want = {k: x / math.sqrt(sum(y * y for (d, _), y in raw.items() if d == k[0])) for k, x in raw.items()}
+    for common, hot_rows in ((200_000, None), (2, None), (2, 1)):
+        monkeypatch.setattr(vectors, "COMMON_TERMS", common)
+        found = {(r["doc_id"], r["term"]): r["weight"] for r in weights(hot_rows).collect()}
+        assert found == pytest.approx(want)
+    monkeypatch.undo()
+    short = docs.where("length(text) < 300")
+    counts = vectors.term_counts(short, "doc_id", "text")
+    text = plan(vectors.tfidf_weights(counts, "doc_id", F.lit(3)))
+    assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in text
+
+
 def test_user_statistics_shuffle_once(spark):
     text = plan(REGISTRY["user_amount_stats"](spark, DATA))
     assert text.count("Exchange hashpartitioning") == 1
