@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskfeat.functions.scalars import composite_key
 from riskfeat.functions.stats import Stat, stats_of
 from riskfeat.operators.grouping import grouped_stats, stats_by_column, unpivot
-from riskfeat.operators.skew import UNKNOWN, Hot, all_present, find_hot, lookup_join
+from riskfeat.operators.skew import UNKNOWN, Hot, all_present, find_hot, lookup_join, none_hot
 from riskfeat.roles import EventRoles
 from riskfeat.session import reliable_checkpoint
 
@@ -152,6 +152,27 @@ def value_lifespan(df: DataFrame, columns: Sequence[str], prefix: str, roles: Ev
 MEASURES = ("cnt_user", "early_day", "later_day", "range_day")
 
 
+def _days_used(long: DataFrame, roles: EventRoles) -> DataFrame:
+    """Per (column, value, user): the first and the last day."""
+    return long.groupBy("column", "value", roles.user).agg(F.min("__day").alias("__first"), F.max("__day").alias("__last"))
+
+
+def _lifespan() -> dict[str, Column]:
+    """The measures of a value, as aggregates over its users."""
+    first, last = F.min("__first"), F.max("__last")
+    return dict(zip(MEASURES, (F.count(F.lit(1)), first, last, last - first), strict=True))
+
+
+def _lifespans_beside(used: DataFrame, roles: EventRoles) -> DataFrame:
+    """The measures of its value beside every row; a value's rows are bounded, as it is not hot."""
+    of_value = Window.partitionBy("column", "value")
+    first, last = F.min("__first").over(of_value), F.max("__last").over(of_value)
+    measured = used.select(
+        "column", roles.user, F.count(F.lit(1)).over(of_value).alias("cnt_user"), first.alias("early_day"), last.alias("later_day")
+    )
+    return measured.withColumn("range_day", F.col("later_day") - F.col("early_day"))
+
+
 def shared_resource_stats(
     df: DataFrame,
     resources: Sequence[str],
@@ -173,18 +194,14 @@ def shared_resource_stats(
     )
     entries = F.array(*[F.struct(F.lit(n).alias("column"), v.alias("value")) for n, v in named.items()])
     long = df.select(roles.user, F.col(roles.days).alias("__day"), F.inline(entries))
-    used = (
-        long.where(F.col("value").isNotNull() & F.col(roles.user).isNotNull())
-        .groupBy("column", "value", roles.user)
-        .agg(F.min("__day").alias("__first"), F.max("__day").alias("__last"))
-    )
-    lifespan = used.groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("cnt_user"),
-        F.min("__first").alias("early_day"),
-        F.max("__last").alias("later_day"),
-        (F.max("__last") - F.min("__first")).alias("range_day"),
-    )
-    seen = lookup_join(used.select("column", "value", roles.user), lifespan, ["column", "value"], "cnt_user", hot_rows)
+    long = long.where(F.col("value").isNotNull() & F.col(roles.user).isNotNull())
+    if none_hot(df, [*named.values(), F.col(roles.user)], hot_rows):
+        # dealt out by value and then by user, everything else is local: partial aggregates would hardly shrink and are wide
+        seen = _lifespans_beside(_days_used(long.repartition("column", "value"), roles), roles).repartition(roles.user)
+    else:
+        used = _days_used(long, roles)
+        lifespan = used.groupBy("column", "value").agg(*[x.alias(name) for name, x in _lifespan().items()])
+        seen = lookup_join(used.select("column", "value", roles.user), lifespan, ["column", "value"], "cnt_user", hot_rows)
     stats = [
         Stat(f"{measure}|{kind}", kind, F.col(measure)) for measure in MEASURES for kind in ("max", "min", "mean", "skew")
     ]

@@ -8,7 +8,7 @@ import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
-from riskfeat.operators import sequences, vectors
+from riskfeat.operators import popularity, sequences, vectors
 from riskfeat.plans import tables
 from riskfeat.plans.feature_matrix import assemble, star_matrix
 from riskfeat.plans.queries import REGISTRY
@@ -72,6 +72,18 @@ def test_matrix_of_blocks_is_assembled_without_a_shuffle(spark):
     assert "Exchange" not in plan(star_matrix(spark, DATA))
 
 
+def test_shared_resources_are_dealt_out_by_value_and_by_user_only(spark):
+    rows = [(u % 5, u % 7, u * 3 % 11 if u % 4 else None, u % 3) for u in range(60)] + [(None, 1, 1, 9), (1, None, 2, 0)]
+    df = spark.createDataFrame(rows, "user_id long, days_diff int, a int, b int").repartition(3)
+    for pairs_of in (False, True):
+        found = popularity.shared_resource_stats(df, ("a", "b"), pairs_of=pairs_of)
+        # the rows of the test are dealt out themselves
+        assert plan(found).count("Exchange hashpartitioning") == 2
+        parts = popularity.shared_resource_stats(df, ("a", "b"), pairs_of=pairs_of, hot_rows=1)
+        rounded = [sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in f.collect()) for f in (found, parts)]
+        assert rounded[0] == rounded[1] and len(rounded[0]) == 5
+
+
 def test_term_weights_move_texts_and_rare_terms_only(spark, monkeypatch):
     texts = ["aa bb bb cc", "bb cc dd", "cc", None, "", "aa ee ee ee " + "x" * 300]
     docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)] + [(None, "aa")], "doc_id long, text string")
