@@ -56,6 +56,26 @@ def test_lines_in_long_lists(spark, prose, monkeypatch, longest):
     assert {(r["doc_id"], r["line_no"]) for r in got} == brute.lines_that_go(docs)
 
 
+def test_lines_with_one_rare_word_in_common_are_no_candidates(spark, monkeypatch):
+    asked, similar = [], line_dedup._similar
+    monkeypatch.setattr(line_dedup, "_similar", lambda docs, pairs, percent: asked.append(pairs.count()) or similar(docs, pairs, percent))
+    own = [" ".join(["shared", *(f"w{i}x{j}" for j in range(200))]) for i in range(20)]
+    # 20 words differ: still similar
+    near = own[3].replace("w3x1", "v3x1", 20)
+    docs = list(enumerate([*own, near]))
+    got = line_dedup.duplicate_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["line_no"]) for r in got} == brute.lines_that_go(docs) == {(20, 0)}
+    assert sum(asked) == 1
+
+
+@pytest.mark.parametrize("percent", [20, 50, 95])
+def test_lines_with_few_words_and_other_white_space(spark, percent):
+    lines = ["a", "a b", " a  b c", "A\tb\x0bc d", "b\x0cd\r", "", " \t", "a b c d e", "e  d c b", "f", "x y z f", "F\x0b"]
+    docs = [(i, "\n".join(lines[i:] + lines[:i][::2])) for i in range(len(lines))]
+    got = line_dedup.duplicate_lines(spark.createDataFrame(docs, "doc_id long, text string"), percent).collect()
+    assert {(r["doc_id"], r["line_no"]) for r in got} == brute.lines_that_go(docs, percent)
+
+
 def test_language_scores(spark, prose):
     got = rows_by_id(REGISTRY["op6_hmm_scores"](spark, DATA))
     want = brute.base_scores(prose)
