@@ -62,7 +62,9 @@ def test_lines_with_one_rare_word_in_common_are_no_candidates(spark, monkeypatch
     own = [" ".join(["shared", *(f"w{i}x{j}" for j in range(200))]) for i in range(20)]
     # 20 words differ: still similar
     near = own[3].replace("w3x1", "v3x1", 20)
-    docs = list(enumerate([*own, near]))
+    # the other words are more frequent, so the shared one is the first of each line
+    often = " ".join(own).replace("shared ", "")
+    docs = list(enumerate([*own, near, " ".join([often] * 50)]))
     got = line_dedup.duplicate_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {(r["doc_id"], r["line_no"]) for r in got} == brute.lines_that_go(docs) == {(20, 0)}
     assert sum(asked) == 1
