@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskfeat.functions.stats import Stat, stats_of
 from riskfeat.operators import encoders, grouping, ordered, profile, scoring, skew, vectors
+from riskfeat.plans import feature_matrix, queries
 
 
 def test_leave_fold_out_equals_refits(spark):
@@ -269,6 +270,20 @@ def test_folds_are_fitted_side_by_side_over_vectors_built_once(small_matrix, mon
     assert sorted(map(tuple, got.collect())) == sorted(tuple(r) for w in want for r in w.collect())
 
 
+def test_the_ablation_boosts_full_size_trees(spark, small_matrix, monkeypatch):
+    asked = []
+
+    def trained(matrix, features, k, runs, roles):
+        asked.append((k, list(runs)))
+        return [(matrix.select("user_id", F.lit("oof").alias("split"), F.lit(0.5).alias("score")), [])] * len(runs)
+
+    monkeypatch.setattr(scoring, "trained_runs", trained)
+    monkeypatch.setattr(feature_matrix, "star_matrix", lambda *_: small_matrix)
+    queries.feature_set_ablation(spark, "")
+    full = scoring.TreeSettings(rounds=5000, patience=100, depth=8, step=0.02)
+    assert asked == [(5, [dataclasses.replace(full, seed=s) for s in (2020, 779)])] * 3
+
+
 def test_feature_vectors_are_those_of_an_assembler(small_matrix):
     got = small_matrix.select("user_id", vector_to_array(scoring.feature_vector(["a", "b"])).alias("x")).collect()
     filled = VectorAssembler(inputCols=["a", "b"], outputCol="v").transform(small_matrix.na.fill(scoring.MISSING, ["a", "b"]))
