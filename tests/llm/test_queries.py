@@ -1,5 +1,8 @@
 """The registered queries against SQL or brute force on the smallest tables."""
 
+import re
+import time
+
 import brute
 import pytest
 from compare import differences, duck
@@ -56,6 +59,30 @@ def test_lines_in_long_lists(spark, prose, monkeypatch, longest):
     assert {(r["doc_id"], r["line_no"]) for r in got} == brute.lines_that_go(docs)
 
 
+@pytest.mark.parametrize("longest", [3, 256])
+def test_lines_in_passes_and_rounds(spark, prose, monkeypatch, longest):
+    for name, value in (("LONG_LIST", longest), ("PASS_ENTRIES", 100), ("MOST_PASSES", 2), ("SOME_OTHERS", 1)):
+        monkeypatch.setattr(line_dedup, name, value)
+    dealt, in_pass = set(), line_dedup._in_pass
+    monkeypatch.setattr(line_dedup, "_in_pass", lambda entries, i, passes: dealt.add((i, passes)) or in_pass(entries, i, passes))
+    variants = [(10_000 + i, "\n".join(f"alpha beta gamma delta epsilon zeta eta theta iota w{j}" for j in range(i, i + 2))) for i in range(12)]
+    docs = prose[:100] + variants
+    got = line_dedup.duplicate_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["line_no"]) for r in got} == brute.lines_that_go(docs)
+    assert dealt == {(0, 2), (1, 2)}
+
+
+def test_lines_leave_no_shuffle_files(spark, prose):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: set(re.findall(r"shuffle_(\d+)_", disk.getAllBlocks().mkString(" ")))
+    before = shuffles()
+    line_dedup.duplicate_lines(spark.createDataFrame(prose[:100], "doc_id long, text string"))
+    until = time.time() + 20
+    while not shuffles() <= before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffles() <= before
+
+
 def test_lines_with_one_rare_word_in_common_are_no_candidates(spark, monkeypatch):
     asked, similar = [], line_dedup._similar
     monkeypatch.setattr(line_dedup, "_similar", lambda docs, pairs, percent: asked.append(pairs.count()) or similar(docs, pairs, percent))
